@@ -1,9 +1,11 @@
 """The queries of this subpackage and their SQL."""
 
+from tidewell.llm.piece_codec import op10_piece_codec
 from tidewell.llm.token_store import op1_token_store
 
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op10_piece_codec": op10_piece_codec,
 }
 
 ORACLE_SQL: dict[str, str] = {}
