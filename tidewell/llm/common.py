@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _SHIPPED: set[str] = set()
 
@@ -84,3 +85,8 @@ def _delete(spark: SparkSession, path: str) -> None:
 def row_bytes(df: DataFrame) -> int:
     """Bytes of a table read from files, as the planner knows them."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def widened(df: DataFrame, **columns: str) -> T.StructType:
+    """The schema of df with more columns."""
+    return T.StructType([*df.schema.fields, *(T.StructField(k, T._parse_datatype_string(v)) for k, v in columns.items())])

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import read, ship
+from tidewell.llm.common import read, ship, widened
 
 MARK = "▁"
 KNOWN_RUNS = 300_000  # runs remembered by a task; beyond it the memory starts anew
@@ -149,7 +149,7 @@ def encode_documents(docs: DataFrame, model: str, text: str = "text") -> DataFra
     ship(docs.sparkSession)
     docs = docs.drop("ids", "decoded")
     at = docs.columns.index(text)
-    schema = docs.schema.add("ids", "array<int>").add("decoded", "string")
+    schema = widened(docs, ids="array<int>", decoded="string")
 
     def code(batches):
         codec = _codec(model)

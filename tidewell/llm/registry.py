@@ -1,10 +1,12 @@
 """The queries of this subpackage and their SQL."""
 
+from tidewell.llm.decontaminate import op8_decontaminate
 from tidewell.llm.piece_codec import op10_piece_codec
 from tidewell.llm.token_store import op1_token_store
 
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op8_decontaminate": op8_decontaminate,
     "op10_piece_codec": op10_piece_codec,
 }
 
