@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _SHIPPED: set[str] = set()
@@ -90,3 +91,8 @@ def row_bytes(df: DataFrame) -> int:
 def widened(df: DataFrame, **columns: str) -> T.StructType:
     """The schema of df with more columns."""
     return T.StructType([*df.schema.fields, *(T.StructField(k, T._parse_datatype_string(v)) for k, v in columns.items())])
+
+
+def sized_join(left: DataFrame, right: DataFrame, on, how: str, rows: int = 500_000) -> DataFrame:
+    """Broadcast right, a written table of narrow rows, only if it has at most so many; else both sides shuffle."""
+    return left.join(F.broadcast(right) if right.count() <= rows else right, on, how)
