@@ -33,5 +33,6 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     out = steps[0]
     for step in steps[1:]:
-        out = out.join(step.withColumnsRenamed({"node": "root", "root": "next"}), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+        beyond = step.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        out = out.join(beyond, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
     return scratch.keep(out)
