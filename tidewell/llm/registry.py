@@ -2,6 +2,7 @@
 
 from tidewell.llm.decontaminate import op8_decontaminate
 from tidewell.llm.near_dups import op7_near_dups
+from tidewell.llm.near_vectors import op4_near_vectors
 from tidewell.llm.pii import op2_pii
 from tidewell.llm.piece_codec import op10_piece_codec
 from tidewell.llm.quality import op9_quality
@@ -10,6 +11,7 @@ from tidewell.llm.token_store import op1_token_store
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_pii": op2_pii,
+    "op4_near_vectors": op4_near_vectors,
     "op7_near_dups": op7_near_dups,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
