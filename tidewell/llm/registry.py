@@ -5,17 +5,23 @@ from tidewell.llm.near_dups import op7_near_dups
 from tidewell.llm.near_vectors import op4_near_vectors
 from tidewell.llm.pii import op2_pii
 from tidewell.llm.piece_codec import op10_piece_codec
+from tidewell.llm.preference import OP5_SQL, op5_preference
 from tidewell.llm.quality import op9_quality
+from tidewell.llm.sharding import op6_sharding
 from tidewell.llm.token_store import op1_token_store
 
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_pii": op2_pii,
     "op4_near_vectors": op4_near_vectors,
+    "op5_preference": op5_preference,
+    "op6_sharding": op6_sharding,
     "op7_near_dups": op7_near_dups,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_piece_codec": op10_piece_codec,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_preference": OP5_SQL,
+}
