@@ -6,9 +6,10 @@ both (sketches merge), and equal registers tell similarity. Work is done on clas
 
 1. one pass makes each document's set key and registers; documents of one key form a class;
 2. bands of ROWS registers put classes in buckets. In a bucket all members are compared with one of them (the
-   pivot), linked members become one component, and the pivot leaves; buckets whose rest is one component are
-   done. So a group of n copies costs about n comparisons, not n squared. Once the pairs left in all buckets are
-   fewer than PAIRS_PER_CLASS for each class, they are compared as they are. No bucket is cut or dropped;
+   pivot, of the smallest component), linked members become one component, and the pivot leaves; buckets whose
+   rest is one component are done. So a group of n copies costs about n comparisons, not n squared. Once the pairs
+   of different components in all buckets are fewer than PAIRS_PER_CLASS for each class, they are compared as they
+   are. No bucket is cut or dropped;
 3. a pair is dropped if, given its registers and set sizes, a similarity over the threshold is less likely than
    the best one by a factor of exp(-LIKELIHOOD); others are confirmed on their full sets, made from the texts.
 
@@ -57,25 +58,42 @@ def set_key(elements: np.ndarray) -> bytes:
         return np.array([a.sum(dtype=np.uint64) + _U(len(elements)), b.sum(dtype=np.uint64)], np.uint64).tobytes()
 
 
-def registers(elements: np.ndarray) -> np.ndarray:
-    """The set's sketch, 16 bits a register.
+def registers(sets: list[np.ndarray]) -> np.ndarray:
+    """The sets' sketches, a row each, 16 bits a register.
 
     An element's points are a Poisson process of rate REGISTERS, each at a random register; those beyond the
     largest register's least point cannot count, so long sets need few points each.
     """
-    least = np.full(REGISTERS, np.inf)
-    at, points, turn = elements, np.zeros(len(elements)), 0
+    least = np.full((len(sets), REGISTERS), np.inf)
+    at = np.concatenate([np.zeros(0, np.uint64), *sets])
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    points, turn, bound = np.zeros(len(at)), 0, np.full(len(sets), np.inf)
     while len(at):
         turn += 1
         with np.errstate(over="ignore"):
             bits = splitmix(at + _U((turn * 0xD6E8FEB86659FD93) & 0xFFFFFFFFFFFFFFFF))
         points = points - np.log(((bits >> _U(11)).astype(float) + 0.5) * 2.0**-53) / REGISTERS
-        np.minimum.at(least, (splitmix(bits) % _U(REGISTERS)).astype(np.int64), points)
-        going = points < least.max()
-        at, points = at[going], points[going]
+        np.minimum.at(least.reshape(-1), owner * REGISTERS + ((bits & _U(0x3FF)) * _U(REGISTERS) >> _U(10)).astype(np.int64), points)
+        live = np.flatnonzero(np.bincount(owner, minlength=len(sets)))
+        bound[live] = least[live].max(1)
+        going = points < bound[owner]
+        at, owner, points = at[going], owner[going], points[going]
     return np.clip(np.floor(1 - np.log(least) / np.log(BASE)) + 32768, 0, 65535).astype("<u2")
 
 
+def portions(sets, elements: int = 300_000):
+    """The sets in lists of bounded size."""
+    part, size = [], 0
+    for s in sets:
+        part.append(s)
+        size += len(s)
+        if size >= elements or len(part) == 1024:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 _GRID = np.linspace(0, 1, 401)
 
 
@@ -104,11 +122,10 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
         hasher = spaced_words()
         for batch in batches:
             n, keys, sigs = [], [], []
-            for words in hasher.column(batch.column(2)):
-                s = shingle_set(words)
-                n.append(len(s))
-                keys.append(set_key(s) if len(s) else None)
-                sigs.append(registers(s).tobytes() if len(s) else None)
+            for part in portions(shingle_set(words) for words in hasher.column(batch.column(2))):
+                n += [len(s) for s in part]
+                keys += [set_key(s) if len(s) else None for s in part]
+                sigs += [row.tobytes() if len(s) else None for s, row in zip(part, registers(part), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "text_key", "n_shingles", "k", "sig"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
@@ -173,18 +190,21 @@ def _class_links(docs: DataFrame, classes: DataFrame, percent: int, scratch: Scr
             members = scratch.keep(named.join(live, "bucket"))
         else:
             members = members.withColumn("root", F.col("k"))
-        sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("k").alias("pivot"))
-        left = sizes.agg(F.sum(F.expr("n * (n - 1) / 2"))).head()[0] or 0
+        parts = members.groupBy("bucket", "root").agg(F.count("*").alias("c"), F.min("k").alias("k"))
+        sizes = parts.groupBy("bucket").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("q"), F.min(F.struct("c", "k"))["k"].alias("pivot"), F.max(F.struct("c", "root"))["root"].alias("largest"))
+        sizes = scratch.keep(sizes)
+        left = sizes.agg(F.sum(F.expr("(n * n - q) / 2"))).head()[0] or 0  # pairs of different components
         if not left:
             break
         if left <= PAIRS_PER_CLASS * n_classes:
-            other = members.select("bucket", F.col("k").alias("b"), F.col("root").alias("root_b"))
-            pairs = members.withColumnRenamed("k", "a").join(other, "bucket").where("a < b and root != root_b")
+            few = members.join(sizes.select("bucket", "largest"), "bucket").where("root != largest").select("bucket", "largest", F.col("k").alias("a"), F.col("root").alias("root_a"))
+            pairs = members.withColumnRenamed("k", "b").join(few, "bucket").where("root != root_a and (root = largest or a < b)")
         else:
-            pivots = scratch.keep(sizes.select("bucket", F.col("pivot").alias("a")))
+            pivots = sizes.select("bucket", F.col("pivot").alias("a"))
             roots = members.select("bucket", F.col("k").alias("a"), F.col("root").alias("root_a")).join(pivots, ["bucket", "a"])
             pairs = members.withColumnRenamed("k", "b").join(roots, "bucket").where("a != b and root != root_a")
             members = members.join(pivots, "bucket").where("k != a")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = scratch.keep(_likely(pairs.select("a", "b").distinct(), classes, percent / 100))
         new = scratch.keep(_confirmed(pairs, texts, percent))
         links = new if links is None else links.unionByName(new)
