@@ -1,6 +1,7 @@
 """The queries of this subpackage and their SQL."""
 
 from tidewell.llm.decontaminate import op8_decontaminate
+from tidewell.llm.main_text import op3_main_text
 from tidewell.llm.near_dups import op7_near_dups
 from tidewell.llm.near_vectors import op4_near_vectors
 from tidewell.llm.pii import op2_pii
@@ -13,6 +14,7 @@ from tidewell.llm.token_store import op1_token_store
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_pii": op2_pii,
+    "op3_main_text": op3_main_text,
     "op4_near_vectors": op4_near_vectors,
     "op5_preference": op5_preference,
     "op6_sharding": op6_sharding,

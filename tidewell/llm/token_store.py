@@ -12,9 +12,9 @@ Shards are key ranges, so ids lie in ascending key order over the whole store. A
 key ranges in the manifest, one hash slot, one fingerprint and one slice; absent keys are refused by the
 fingerprint (1 in 2**32 pass) and then by the stored key.
 
-Texts are encoded chunk by chunk: a chunk is a run of white space and the run of other characters after it. The
-pre-tokenizer of byte-level BPE never looks across such a border, so distinct chunks are encoded once by the
-library and their ids are joined; texts with unusual white space go to the library whole.
+Texts are cut before single spaces. The pre-tokenizer of byte-level BPE never looks across such a border, so
+distinct chunks are encoded once by the library and their ids are joined; texts with other white space than
+single spaces and line ends go to the library whole.
 
 Defined results: a null text is an empty one (end id only); a null key sorts first and is not indexed; repeated
 keys keep all their rows (a lookup returns each of them); equal keys with different texts follow the text's hash;
@@ -24,12 +24,13 @@ an empty table gives an empty store; other columns of the input are ignored.
 from __future__ import annotations
 
 import json
-import re
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,9 +38,10 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import read, shared_dir, ship
 
 MAGIC = b"TWTOK001"
-CHUNK = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
-ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff]")
-CACHE_ENTRIES = 200_000  # chunks remembered by a task; beyond it the memory starts anew
+BORDER = "\r"  # set between chunks, so texts with it go to the library whole
+# texts that go to the library whole: with other white space than single spaces inside and line ends
+ODD_TEXT = r"^\s| $|  |[\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
+CACHE_ENTRIES = 800_000  # chunks remembered by a task; beyond it the memory starts anew
 SHARD_BYTES = 48 << 20  # text a shard aims at
 
 
@@ -56,21 +58,62 @@ class ChunkEncoder:
         self.lib.encode_special_tokens = True
         self.type = np.dtype("<u2") if self.lib.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
+        (self.border,) = self.lib.encode(BORDER, add_special_tokens=False).ids
 
     def library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.type).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.type.char, e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def chunks(self, texts: list[str]) -> list[bytes]:
+        """Many short texts that neither begin nor end with white space (but for one space before) nor hold BORDER.
+
+        They go to the library as one text, between BORDER characters, which stay tokens of their own.
+        """
+        out = []
+        for at in range(0, len(texts), 8192):
+            some = texts[at : at + 8192]
+            ids = np.array(self.lib.encode_batch_fast([BORDER.join(some)], add_special_tokens=False)[0].ids, self.type)
+            cuts = np.flatnonzero(ids == self.border)
+            if len(cuts) != len(some) - 1:
+                raise AssertionError("a chunk border was not kept")
+            raw, n = ids.tobytes(), self.type.itemsize
+            out += [raw[a * n : b * n] for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True)]
+        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [None if ODD_SPACE.search(t) else CHUNK.findall(t) for t in texts]
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word with a space before it."""
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > CACHE_ENTRIES:  # keep what this batch uses
+            self.known = {w: self.known[w] for w in words if w in self.known}
         known = self.known
-        new = list({c for p in parts if p is not None for c in p if c not in known})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            known.update(zip(some, self.library(some), strict=True))
-        get = known.__getitem__
-        return [self.library([t])[0] if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts, strict=True)]
+        inner = [w for w in new if w and not (w[0].isspace() or w[-1].isspace())]
+        known.update(zip(inner, self.chunks([f" {w}" for w in inner]), strict=True))
+        outer = [w for w in new if w not in known]
+        known.update(zip(outer, self.library([f" {w}" for w in outer]), strict=True))
+        return [known[w] for w in words]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column after one another, and how many each has. Null texts have none."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, ODD_TEXT).to_numpy(zero_copy_only=False)
+        parts = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
+        coded = parts.values.dictionary_encode()
+        pieces = self._words(coded.dictionary.to_pylist())
+        at = parts.offsets.to_numpy().astype(np.int64)
+        order = coded.indices.to_numpy().astype(np.int64)
+        # what a text begins with has no space before it; odd texts are such a beginning as a whole
+        firsts = [w for w in parts.values.take(pa.array(at[:-1])).to_pylist()] if len(parts) else []
+        whole = texts.filter(pa.array(odd)).to_pylist()
+        for i, t in zip(np.flatnonzero(odd), whole, strict=True):
+            firsts[i] = t
+        distinct = {t: i for i, t in enumerate(dict.fromkeys(firsts))}
+        order[at[:-1]] = [len(pieces) + distinct[t] for t in firsts]
+        pieces += self.library(list(distinct))
+        sizes = np.array([len(x) for x in pieces], np.int64) // self.type.itemsize
+        ids, starts = np.frombuffer(b"".join(pieces), self.type), np.cumsum(sizes) - sizes
+        each = sizes[order]
+        before = np.cumsum(each) - each
+        out = ids[np.repeat(starts[order] - before, each) + np.arange(each.sum())]
+        return out, np.add.reduceat(each, at[:-1]) if len(parts) else np.zeros(0, np.int64)
 
 
 def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -236,7 +279,6 @@ def write_store(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 0, shar
 
     def write(batches):
         encoder = ChunkEncoder(tokenizer)
-        end = np.array([end_id], encoder.type).tobytes()
         number, (out, where) = TaskContext.get().partitionId(), _fs(uri)
         keys, lengths, nulls, body = [], [], 0, None
         own = f"{where}/shard-{number:05d}.bin.{uuid.uuid4().hex}.tmp"
@@ -247,10 +289,10 @@ def write_store(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 0, shar
             ids, texts = batch.column(0), batch.column(1)
             nulls += ids.null_count
             keys.append(ids.fill_null(0).to_numpy(zero_copy_only=False))
-            for at in range(0, len(texts), 64):
-                coded = encoder.encode([t or "" for t in texts.slice(at, 64).to_pylist()])
-                lengths += [len(c) // encoder.type.itemsize + 1 for c in coded]
-                body.write(end.join([*coded, b""]))
+            for at in range(0, len(texts), 1024):
+                coded, each = encoder.encode(texts.slice(at, 1024))
+                lengths += (each + 1).tolist()
+                body.write(np.insert(coded, np.cumsum(each), end_id).tobytes())
         if body is None:
             return
         body.close()
