@@ -96,3 +96,23 @@ def widened(df: DataFrame, **columns: str) -> T.StructType:
 def sized_join(left: DataFrame, right: DataFrame, on, how: str, rows: int = 500_000) -> DataFrame:
     """Broadcast right, a written table of narrow rows, only if it has at most so many; else both sides shuffle."""
     return left.join(F.broadcast(right) if right.count() <= rows else right, on, how)
+
+
+def groups_of(batches, keys: list[str]):
+    """The groups of a sorted stream of record batches, each as a table. Key columns are numbers."""
+    import numpy as np
+    import pyarrow as pa
+
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        if not rows.num_rows:
+            continue
+        key = np.stack([rows.column(c).to_numpy() for c in keys], 1)
+        bounds = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist()]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield rows.slice(a, b - a)
+        rest = rows.slice(bounds[-1])
+    if rest is not None and rest.num_rows:
+        yield rest

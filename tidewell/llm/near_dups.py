@@ -5,11 +5,10 @@ registers; a register keeps the least point, truncated to a power of BASE. Regis
 both (sketches merge), and equal registers tell similarity. Work is done on classes of equal sets:
 
 1. one pass makes each document's set key and registers; documents of one key form a class;
-2. bands of ROWS registers put classes in buckets. In a bucket all members are compared with one of them (the
-   pivot, of the smallest component), linked members become one component, and the pivot leaves; buckets whose
-   rest is one component are done. So a group of n copies costs about n comparisons, not n squared. Once the pairs
-   of different components in all buckets are fewer than PAIRS_PER_CLASS for each class, they are compared as they
-   are. No bucket is cut or dropped;
+2. bands of ROWS registers put classes in buckets. In a bucket all members are compared with its least one (the
+   pivot), and linked classes become one component. So a group of n copies costs about n comparisons. Of what is
+   left, members of one component need no comparison; others are compared pair by pair in buckets of up to SMALL
+   members, and in blocks of bounded size in larger ones. No bucket is cut or dropped;
 3. a pair is dropped if, given its registers and set sizes, a similarity over the threshold is less likely than
    the best one by a factor of exp(-LIKELIHOOD); others are confirmed on their full sets, made from the texts.
 
@@ -28,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import Scratch, read, ship, sized_join
+from tidewell.llm.common import Scratch, groups_of, read, ship, sized_join
 from tidewell.llm.components import components
 from tidewell.llm.words import WordHasher, grams, splitmix
 
 SHINGLE, REGISTERS, ROWS, BASE = 5, 125, 5, 1.001
 BANDS = REGISTERS // ROWS
 LIKELIHOOD = 14.0
-PAIRS_PER_CLASS = 4
+SMALL, BLOCK = 16, 512  # members of a bucket whose pairs are compared singly; classes of a block
 _U = np.uint64
 
 
@@ -173,7 +172,6 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 def _class_links(docs: DataFrame, classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(node, root) over the classes that have links."""
-    n_classes = classes.count()
     places = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("sig", i * (2 * ROWS) + 1, F.lit(2 * ROWS)))))
     members = classes.select("k", places.alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
@@ -182,37 +180,85 @@ def _class_links(docs: DataFrame, classes: DataFrame, percent: int, scratch: Scr
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"), "text")
     texts = sized_join(rows, wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")), "inner")
     texts = scratch.keep(_own_texts(texts.select("k", "text")).dropDuplicates(["k"]))
-    links = found = None
+    # each bucket's least member meets all others
+    pivots = members.groupBy("bucket").agg(F.min("k").alias("a"))
+    pairs = members.withColumnRenamed("k", "b").join(pivots, "bucket").where("a != b").select("a", "b").distinct()
+    links = scratch.keep(_confirmed(scratch.keep(_likely(pairs, classes, percent / 100)), texts, percent))
+    found = components(links, scratch)
+    # what is left: buckets with members of several components
+    named = members.join(pivots, "bucket").where("k != a").join(found.withColumnRenamed("node", "k"), "k", "left").select("bucket", "k", F.coalesce("root", "k").alias("root"))
+    named = scratch.keep(named)
+    live = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket", "n")
+    named = scratch.keep(named.join(live, "bucket"))
+    small, large = named.where(F.col("n") <= SMALL), named.where(F.col("n") > SMALL)
+    other = small.select("bucket", F.col("k").alias("b"), F.col("root").alias("root_b"))
+    pairs = small.withColumnRenamed("k", "a").join(other, "bucket").where("a < b and root != root_b").select("a", "b").distinct()
+    more = scratch.keep(_confirmed(scratch.keep(_likely(pairs, classes, percent / 100)), texts, percent))
+    links = links.unionByName(more)
+    if large.head(1):
+        links = links.unionByName(_family_links(large, texts, percent, scratch))
+    return components(links, scratch)
+
+
+def similar_in_block(sets: list[np.ndarray], roots: list[bytes], percent: int) -> np.ndarray:
+    """For each set the least row that is reachable by links between sets of different roots."""
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    elements, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(n), sizes)
+    shared = np.bincount(column)[column] > 1
+    names, column = np.unique(column[shared], return_inverse=True)
+    bits = np.zeros((n, -(-max(len(names), 1) // 64) * 8), np.uint8)
+    np.bitwise_or.at(bits, (row[shared], column >> 3), (1 << (column & 7)).astype(np.uint8))
+    words = bits.view(np.uint64)
+    number = np.unique(np.array(roots, dtype=object), return_inverse=True)[1]
+    least = np.arange(n)
+    near = np.zeros((n, n), bool)
+    for i in range(n):
+        both = np.bitwise_count(words & words[i]).sum(1, dtype=np.int64)
+        near[i] = (100 * both >= percent * (sizes + sizes[i] - both)) & (number != number[i])
     while True:
-        if found is not None:
-            named = members.join(found.withColumnsRenamed({"node": "k"}), "k", "left").select("bucket", "k", F.coalesce("root", "k").alias("root"))
-            live = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket")
-            members = scratch.keep(named.join(live, "bucket"))
-        else:
-            members = members.withColumn("root", F.col("k"))
-        parts = members.groupBy("bucket", "root").agg(F.count("*").alias("c"), F.min("k").alias("k"))
-        sizes = parts.groupBy("bucket").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("q"), F.min(F.struct("c", "k"))["k"].alias("pivot"), F.max(F.struct("c", "root"))["root"].alias("largest"))
-        sizes = scratch.keep(sizes)
-        left = sizes.agg(F.sum(F.expr("(n * n - q) / 2"))).head()[0] or 0  # pairs of different components
-        if not left:
-            break
-        if left <= PAIRS_PER_CLASS * n_classes:
-            few = members.join(sizes.select("bucket", "largest"), "bucket").where("root != largest").select("bucket", "largest", F.col("k").alias("a"), F.col("root").alias("root_a"))
-            pairs = members.withColumnRenamed("k", "b").join(few, "bucket").where("root != root_a and (root = largest or a < b)")
-        else:
-            pivots = sizes.select("bucket", F.col("pivot").alias("a"))
-            roots = members.select("bucket", F.col("k").alias("a"), F.col("root").alias("root_a")).join(pivots, ["bucket", "a"])
-            pairs = members.withColumnRenamed("k", "b").join(roots, "bucket").where("a != b and root != root_a")
-            members = members.join(pivots, "bucket").where("k != a")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = scratch.keep(_likely(pairs.select("a", "b").distinct(), classes, percent / 100))
-        new = scratch.keep(_confirmed(pairs, texts, percent))
-        links = new if links is None else links.unionByName(new)
-        found = components(links, scratch)
-        if left <= PAIRS_PER_CLASS * n_classes:
-            break
-        members = members.select("bucket", "k")
-    return found
+        best = np.minimum(least, np.where(near, least[None, :], n).min(1, initial=n))
+        if (best == least).all():
+            return least
+        least = best
+
+
+def _family_links(members: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between classes of different components in large buckets(bucket, k, root).
+
+    Buckets that share members make up a family. Its largest component needs no comparison within itself; the other
+    members (outsiders) are compared with all, block by block: a group is a pair of blocks of at most BLOCK classes,
+    whose full sets are intersected as bit rows. A block gives a row per class at most, no pairs.
+    """
+    hubs = members.groupBy("bucket").agg(F.min("k").alias("b"))
+    family = components(members.join(hubs, "bucket").select(F.col("k").alias("a"), "b"), scratch)
+    info = members.select("k", "root").distinct().join(family.select(F.col("node").alias("k"), F.xxhash64("root").alias("family")), "k")
+    info = scratch.keep(info)
+    sizes = info.groupBy("family", "root").agg(F.count("*").alias("c")).groupBy("family").agg(F.sum("c").alias("all"), F.max(F.struct("c", "root")).alias("m"))
+    blocks = lambda c: F.ceil(c / BLOCK).cast("int")
+    sizes = scratch.keep(sizes.select("family", F.col("m.root").alias("main"), blocks(F.col("m.c")).alias("mains"), blocks(F.col("all") - F.col("m.c")).alias("outs")).where("outs > 0"))
+    rows = sized_join(info, sizes, "family", "inner").withColumn("inside", F.col("root") == F.col("main"))
+    own = F.pmod(F.xxhash64("k"), F.when(F.col("inside"), F.col("mains")).otherwise(F.col("outs"))).cast("int")
+    cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    meets = F.when(F.col("inside"), F.transform(upto("outs"), lambda i: cell(1, i, F.col("own")))).otherwise(
+        F.concat(F.transform(upto("outs"), lambda j: cell(0, F.least("own", j), F.greatest("own", j))), F.transform(upto("mains"), lambda j: cell(1, F.col("own"), j)))
+    )
+    dealt = rows.withColumn("own", own).select("k", "root", "family", F.explode(meets).alias("m")).select("k", "root", "family", "m.kind", "m.i", "m.j").join(texts, "k")
+    group = ["family", "kind", "i", "j"]
+
+    def compare(batches):
+        hasher = spaced_words()
+        for rows in groups_of(batches, group):
+            k, roots = rows.column("k").to_pylist(), rows.column("root").to_pylist()
+            if len(set(roots)) > 1:
+                sets = [shingle_set(w) for w in hasher.column(rows.column("text").combine_chunks())]
+                least = similar_in_block(sets, roots, percent)
+                at = np.flatnonzero(least != np.arange(len(k)))
+                yield pa.RecordBatch.from_pydict({"a": pa.array([k[i] for i in at], pa.binary()), "b": pa.array([k[least[i]] for i in at], pa.binary())})
+
+    parts = dealt.repartition(*group).sortWithinPartitions(*group).select(*group, "k", "root", "text")
+    return scratch.keep(parts.mapInArrow(compare, "a binary, b binary"))
 
 
 def _own_texts(rows: DataFrame) -> DataFrame:
