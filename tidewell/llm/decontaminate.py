@@ -26,13 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import read, row_bytes, shared_dir, ship, widened
+from tidewell.llm.common import read, shared_dir, ship, trim, widened
 from tidewell.llm.token_store import _fs, _put
 from tidewell.llm.words import WordHasher, grams
 
 SPAN, K = 10, 5
 BLOCK_BYTES = 16 << 20  # of item text in a block of the index
-PORTION_WORDS = 4 << 20  # of documents that meet the blocks together
+PORTION_WORDS = 1 << 20  # of documents that meet the blocks together
 
 
 def leak_words() -> WordHasher:
@@ -119,7 +119,7 @@ def write_blocks(benchmark: DataFrame, uri: str) -> int:
     spark = benchmark.sparkSession
     ship(spark)
     benchmark = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text")
-    blocks = 1 + row_bytes(benchmark) * 2 // BLOCK_BYTES
+    blocks = 1 + (benchmark.agg(F.sum(F.octet_length("text"))).head()[0] or 0) // BLOCK_BYTES
     fs, path = _fs(uri)
     fs.create_dir(path, recursive=True)
 
@@ -181,6 +181,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
                 more = [pa.array([len(x[0]) for x in portion], pa.int64()), pa.array([int(x[3].sum()) for x in portion], pa.int64()), pa.array([sorted(x[4]) for x in portion], pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*part.schema.names, "n_words", "n_hit", "items"])
                 row += len(portion)
+        trim()
 
     return docs.mapInArrow(scan, schema)
 
