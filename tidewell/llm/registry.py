@@ -4,6 +4,7 @@ from tidewell.llm.decontaminate import op8_decontaminate
 from tidewell.llm.main_text import op3_main_text
 from tidewell.llm.near_dups import op7_near_dups
 from tidewell.llm.near_vectors import op4_near_vectors
+from tidewell.llm.oracles import OP4_SQL, OP7_SQL, OP8_SQL
 from tidewell.llm.pii import op2_pii
 from tidewell.llm.piece_codec import op10_piece_codec
 from tidewell.llm.preference import OP5_SQL, op5_preference
@@ -25,5 +26,8 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_near_vectors": OP4_SQL,
     "op5_preference": OP5_SQL,
+    "op7_near_dups": OP7_SQL,
+    "op8_decontaminate": OP8_SQL,
 }
