@@ -83,9 +83,10 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def row_bytes(df: DataFrame) -> int:
-    """Bytes of a table read from files, as the planner knows them."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def row_bytes(df: DataFrame, text: str) -> int:
+    """About the bytes of a table: twice its files' size, as the planner knows it, else the size of its texts."""
+    known = 2 * int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return known if known < 1 << 60 else df.agg(F.sum(F.octet_length(text))).head()[0] or 0
 
 
 def widened(df: DataFrame, **columns: str) -> T.StructType:
@@ -116,3 +117,18 @@ def groups_of(batches, keys: list[str]):
         rest = rows.slice(bounds[-1])
     if rest is not None and rest.num_rows:
         yield rest
+
+
+def trim() -> None:
+    """Give memory that a task no longer uses back to the system; its worker may live on."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        return

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import Scratch, groups_of, read, ship, sized_join
+from tidewell.llm.common import Scratch, groups_of, read, ship, sized_join, trim
 from tidewell.llm.components import components
 from tidewell.llm.words import WordHasher, grams, splitmix
 
@@ -126,6 +126,7 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
                 keys += [set_key(s) if len(s) else None for s in part]
                 sigs += [row.tobytes() if len(s) else None for s, row in zip(part, registers(part), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "text_key", "n_shingles", "k", "sig"])
+        trim()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     return rows.mapInArrow(sketch, "doc_id long, text_key long, n_shingles long, k binary, sig binary")
@@ -166,6 +167,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                 keep.append(set_key(x) == a[i] and set_key(y) == b[i] and 100 * both >= percent * (len(x) + len(y) - both))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], names=["a", "b"])
+        trim()
 
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(check, "a binary, b binary")
 

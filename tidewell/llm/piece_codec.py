@@ -24,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import read, ship, widened
+from tidewell.llm.common import read, ship, trim, widened
 
 MARK = "▁"
-KNOWN_RUNS = 300_000  # runs remembered by a task; beyond it the memory starts anew
+KNOWN_RUNS = 200_000  # runs remembered by a task; beyond it the memory starts anew
 UNKNOWN = 1 << 24  # characters without a piece have numbers from here on
-KNOWN_PAIRS = 1_000_000
+KNOWN_PAIRS = 300_000
 LONG_RUN = 80  # runs of more characters are not remembered
 
 
@@ -162,6 +162,7 @@ def encode_documents(docs: DataFrame, model: str, text: str = "text") -> DataFra
                 decoded = [codec.decode(ids[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 more = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*part.schema.names, "ids", "decoded"])
+        trim()
 
     return docs.mapInArrow(code, schema)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import read, ship, widened
+from tidewell.llm.common import read, ship, trim, widened
 
 BLOCK = 2048
 LEVEL = 3
@@ -140,6 +140,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> D
                 part = batch.slice(start, 512)
                 texts = [b or b"" for b in part.column(at).cast(pa.binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.score(texts), pa.float64())], names=[*part.schema.names, "score"])
+        trim()
 
     return docs.mapInArrow(score, widened(docs, score="double"))
 
