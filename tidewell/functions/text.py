@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from tidewell.functions import constants as C
 
 
+def once(x: Column, make) -> Column:
+    """make of a value that is computed once per row, however often make uses it."""
+    return F.element_at(F.transform(F.array(x), make), 1)
+
+
 def matches(x: Column, pattern: str) -> Column:
     """Case-insensitive search; null texts don't match."""
     return F.coalesce(x.rlike(f"(?i){pattern}"), F.lit(False))

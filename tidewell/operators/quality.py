@@ -61,7 +61,8 @@ def normalize_offers(df: DataFrame) -> DataFrame:
     df = offers(df)
     kind = F.coalesce(F.nullif(F.col("source_type"), F.lit("")), U.source_type(F.col("source_url")))
     df = df.withColumns({"normalized_url": U.normalize_url(F.col("source_url")), "source_type": kind, "offer_title": F.nullif(T.clean_text(F.col("offer_title")), F.lit("")), "offer_description": F.nullif(T.clean_text(F.col("offer_description")), F.lit(""))})
-    seen = T.infer_discount(F.concat_ws(" ", _text("offer_title"), _text("offer_description")), T.normalize_discount_type(F.col("discount_type")), F.nullif(F.col("discount_value"), F.lit("")))
+    words = F.concat_ws(" ", _text("offer_title"), _text("offer_description"))
+    seen = T.once(words, lambda x: T.infer_discount(x, T.normalize_discount_type(F.col("discount_type")), F.nullif(F.col("discount_value"), F.lit(""))))
     found = T.distinct_filled(F.concat(F.coalesce("categories", F.array()), T.categories(body())))
     coupon = F.nullif(F.upper(T.clean_text(F.col("coupon_code"))), F.lit(""))
     return df.withColumns(

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from tidewell.functions import keys as K
 from tidewell.functions import text as T
 from tidewell.functions import url as U
+from tidewell.operators import crawl_quality as CQ
+from tidewell.operators import discovery as D
 from tidewell.operators import extract as X
 from tidewell.operators import health as H
 from tidewell.operators import payment as P
 from tidewell.operators import quality as Q
 from tidewell.operators import relational as R
+from tidewell.operators import site_offers as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -249,6 +252,25 @@ def crawl_frontier(spark, sf):
     return X.frontier(table(spark, sf, "pages"), "url", "html", 0, 2)
 
 
+@query("""WITH u AS (SELECT page_id, lower(url) AS u, regexp_matches(url, '^[a-z]+://[^/?#]*/?([?#]|$)') AS bare FROM pages)
+SELECT page_id, CASE WHEN regexp_matches(u, '/campaigns?/|/utm_|/track(?:ing)?/') THEN 'campaign_or_tracking' WHEN bare THEN 'empty_path'
+WHEN regexp_matches(u, '/search|/login|/register|/about-us|/business|/careers|/cookie|/fraud|/loans/|/accounts/|/sitemap|/investor') THEN 'blocked:generic-noise' WHEN regexp_matches(u, '\\.(jpg|jpeg|png|gif|svg|css|js|woff|ico)(\\?|$)') THEN 'blocked:asset'
+WHEN NOT regexp_matches(u, 'deal|offer|promo|promotion|benefit|reward|perk|coupon|cashback|discount|campaign|mastercard|visa-offer') THEN 'generic:no-keyword' ELSE 'allowed' END AS reason FROM u""")
+def link_rules(spark, sf):
+    return table(spark, sf, "pages").select("page_id", D.enqueue(F.col("url"), F.lit("generic"), F.lit(0))["reason"].alias("reason"))
+
+
+@query(ORDER_OFFERS + """SELECT o_orderkey, greatest(0.0, least(1.0, floor((0.15 + CASE WHEN garbage THEN 0.0 WHEN length(title) >= 10 THEN 0.2 ELSE 0.1 END + CASE WHEN kind IS NOT NULL THEN 0.15 ELSE 0.0 END + CASE WHEN val > 0 THEN 0.1 ELSE 0.0 END + CASE WHEN m < 2 THEN 0.1 ELSE 0.0 END) * 100 + 0.5) / 100)) AS confidence FROM r""")
+def crawler_confidence(spark, sf):
+    return order_offers(spark, sf).select("o_orderkey", CQ.confidence().alias("confidence"))
+
+
+@query()
+def page_offers(spark, sf):
+    pages = table(spark, sf, "pages").withColumn("html", F.concat(F.lit("<h1>20% off at Lulu</h1>"), F.col("html")))
+    return S.page_offers(pages).select("source_url", "offer_title", "discount_type", "discount_value", "merchant_name", "parser_reason")
+
+
 # ---- keys and duplicates
 
 
