@@ -24,6 +24,7 @@ an empty table gives an empty store; other columns of the input are ignored.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
 from array import array
@@ -35,13 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import read, shared_dir, ship
+from tidewell.llm.common import read, shared_dir, ship, trim
 
 MAGIC = b"TWTOK001"
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 BORDER = "\r"  # set between chunks, so texts with it go to the library whole
 # texts that go to the library whole: with other white space than single spaces inside and line ends
 ODD_TEXT = r"^\s| $|  |[\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
-CACHE_ENTRIES = 800_000  # chunks remembered by a task; beyond it the memory starts anew
+CACHE_ENTRIES = 550_000  # chunks remembered by a task; beyond it the memory starts anew
+PORTION_BYTES = 12 << 20  # text encoded together
 SHARD_BYTES = 48 << 20  # text a shard aims at
 
 
@@ -58,6 +61,9 @@ class ChunkEncoder:
         self.lib.encode_special_tokens = True
         self.type = np.dtype("<u2") if self.lib.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
+        self.marks = dict(zip(".,", self.library([".", ","]), strict=True))
+        (self.line,) = self.library(["\n"])
         (self.border,) = self.lib.encode(BORDER, add_special_tokens=False).ids
 
     def library(self, texts: list[str]) -> list[bytes]:
@@ -80,16 +86,43 @@ class ChunkEncoder:
         return out
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word with a space before it."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHE_ENTRIES:  # keep what this batch uses
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        known = self.known
-        inner = [w for w in new if w and not (w[0].isspace() or w[-1].isspace())]
+        """The ids of each word with a space before it.
+
+        The pre-tokenizer parts letters from a full stop or comma after them in any case, and lines from each other,
+        so these are taken apart before the library sees them; only the parts are remembered.
+        """
+        known, heads, marks = self.known, self.heads, self.marks
+        new = [w for w in words if w not in known]
+        lines, marked, parts = {}, {}, {}
+        for w in new:
+            if "\n" in w and "\t" not in w:
+                p = w.split("\n")
+                if all(p):
+                    lines[w] = p
+                    w = p[0]
+                    if w in known:
+                        continue
+            if w[-1:] in marks and LETTERS.fullmatch(w, 0, len(w) - 1):
+                marked[w] = base = w[:-1]
+                if base not in known:
+                    parts[base] = None
+            else:
+                parts[w] = None
+        if len(known) + len(parts) > CACHE_ENTRIES:  # start anew with what this batch uses
+            used = {*words, *marked.values(), *(p[0] for p in lines.values())}
+            self.known = known = {w: known[w] for w in used if w in known}
+        inner = [w for w in parts if w and w[0] not in "\n\t" and w[-1] not in "\n\t"]
         known.update(zip(inner, self.chunks([f" {w}" for w in inner]), strict=True))
-        outer = [w for w in new if w not in known]
+        outer = [w for w in parts if w not in known]
         known.update(zip(outer, self.library([f" {w}" for w in outer]), strict=True))
-        return [known[w] for w in words]
+        if len(heads) > CACHE_ENTRIES // 4:
+            heads.clear()
+        starts = list({x for p in lines.values() for x in p[1:] if x not in heads})
+        heads.update(zip(starts, self.chunks(starts), strict=True))
+        own = {w: known[base] + marks[w[-1]] for w, base in marked.items()}
+        for w, p in lines.items():
+            own[w] = self.line.join([own.get(p[0]) or known[p[0]], *(heads[x] for x in p[1:])])
+        return [known.get(w) or own[w] for w in words]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a column after one another, and how many each has. Null texts have none."""
@@ -108,11 +141,12 @@ class ChunkEncoder:
         distinct = {t: i for i, t in enumerate(dict.fromkeys(firsts))}
         order[at[:-1]] = [len(pieces) + distinct[t] for t in firsts]
         pieces += self.library(list(distinct))
-        sizes = np.array([len(x) for x in pieces], np.int64) // self.type.itemsize
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.type.itemsize
         ids, starts = np.frombuffer(b"".join(pieces), self.type), np.cumsum(sizes) - sizes
         each = sizes[order]
         before = np.cumsum(each) - each
-        out = ids[np.repeat(starts[order] - before, each) + np.arange(each.sum())]
+        small = np.int32 if max(len(ids), int(each.sum())) < 1 << 31 else np.int64
+        out = ids[np.repeat((starts[order] - before).astype(small), each) + np.arange(each.sum(), dtype=small)]
         return out, np.add.reduceat(each, at[:-1]) if len(parts) else np.zeros(0, np.int64)
 
 
@@ -263,6 +297,16 @@ class TokenStore:
         return [ids for s in self.shards if s["low"] is not None and s["low"] <= key <= s["high"] for ids in self.shard(s["shard"]).get(key)]
 
 
+_ENCODERS: dict[str, ChunkEncoder] = {}
+
+
+def _encoder(path: str) -> ChunkEncoder:
+    """One encoder for all tasks of a worker, so that later tasks find its parts known."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = ChunkEncoder(path)
+    return _ENCODERS[path]
+
+
 def write_store(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 0, shards: int | None = None) -> TokenStore:
     """Encode docs(doc_id, text) to a new store at uri; each text is followed by end_id."""
     spark = docs.sparkSession
@@ -273,12 +317,12 @@ def write_store(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 0, shar
     if shards is None:
         from tidewell.llm.common import row_bytes
 
-        shards = max(spark.sparkContext.defaultParallelism, min(400_000, row_bytes(docs) * 2 // SHARD_BYTES))
+        shards = max(spark.sparkContext.defaultParallelism, min(400_000, row_bytes(docs, "text") // SHARD_BYTES))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
     placed = docs.repartitionByRange(shards, *order[:2]).sortWithinPartitions(*order)
 
     def write(batches):
-        encoder = ChunkEncoder(tokenizer)
+        encoder = _encoder(tokenizer)
         number, (out, where) = TaskContext.get().partitionId(), _fs(uri)
         keys, lengths, nulls, body = [], [], 0, None
         own = f"{where}/shard-{number:05d}.bin.{uuid.uuid4().hex}.tmp"
@@ -289,10 +333,15 @@ def write_store(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 0, shar
             ids, texts = batch.column(0), batch.column(1)
             nulls += ids.null_count
             keys.append(ids.fill_null(0).to_numpy(zero_copy_only=False))
-            for at in range(0, len(texts), 1024):
-                coded, each = encoder.encode(texts.slice(at, 1024))
+            at = 0
+            while at < len(texts):
+                part = texts.slice(at, 2560)
+                while len(part) > 1 and part.nbytes > PORTION_BYTES:
+                    part = part.slice(0, len(part) // 2)
+                coded, each = encoder.encode(part)
                 lengths += (each + 1).tolist()
                 body.write(np.insert(coded, np.cumsum(each), end_id).tobytes())
+                at += len(part)
         if body is None:
             return
         body.close()
@@ -303,6 +352,7 @@ def write_store(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 0, shar
             out.delete_file(own)
         _put(out, f"{where}/shard-{number:05d}.idx", [pack_index(keys, nulls, np.array(lengths, np.int64), encoder.type.itemsize)])
         real = keys[nulls:]
+        trim()
         yield pa.RecordBatch.from_pydict({"shard": [number], "rows": [len(keys)], "tokens": [sum(lengths)], "low": pa.array([int(real[0]) if len(real) else None], pa.int64()), "high": pa.array([int(real[-1]) if len(real) else None], pa.int64())})
 
     # one row per shard comes to the driver
