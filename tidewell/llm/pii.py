@@ -112,16 +112,16 @@ FEATURES = {
 
 
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with, per kind, base_<kind> (valid matches) and more_<kind> (proposals with their features as f)."""
-    df = docs.withColumn("_t", F.coalesce(F.col(text), F.lit("")))
+    """docs with, per kind, __base_<kind> (valid matches) and __more_<kind> (proposals with their features as f)."""
+    df = docs.withColumn("__t", F.coalesce(F.col(text), F.lit("")))
     for kind in KINDS:
-        df = df.withColumn(f"base_{kind}", F.expr(f"filter({_found('_t', BASE[kind])}, c -> {_VALID[kind]})"))
+        df = df.withColumn(f"__base_{kind}", F.expr(f"filter({_found('__t', BASE[kind])}, c -> {_VALID[kind]})"))
         values = ", ".join(f"'{name}', cast({x.format(kind=KINDS.index(kind), hint=HINTS[kind], luhn=_luhn('n')) if name in ('kind', 'hint', 'luhn') else x} as double)" for name, x in FEATURES.items())
         scored = _let("n", _digits("c.m"), f"named_struct('m', c.m, 's', c.s, 'e', c.e, 'f', named_struct({values}))")
-        proposed = f"transform({_found('_t', PROPOSED[kind])}, c -> {scored})"
+        proposed = f"transform({_found('__t', PROPOSED[kind])}, c -> {scored})"
         if kind == "card":  # those that are base matches themselves are not proposed again
             proposed = f"filter({proposed}, c -> NOT (c.f.luhn = 1 AND c.f.digits >= 16 AND c.m rlike '^[0-9](?:[ -]?[0-9])+$'))"
-        df = df.withColumn(f"more_{kind}", F.expr(proposed))
+        df = df.withColumn(f"__more_{kind}", F.expr(proposed))
     return df
 
 
@@ -153,14 +153,14 @@ def find_personal_data(docs: DataFrame, model: dict | None = None, text: str = "
     def shaped(name: str, number: int, score: str, base: str) -> str:
         return f"transform({name}, c -> named_struct('kind', {number}, 'start', shiftright(c.s, 32), 'end', shiftright(c.e, 32), 'score', cast({score} as double), 'base', {base}, 'from_byte', c.s & {_SHIFT - 1}L, 'to_byte', c.e & {_SHIFT - 1}L))"
 
-    df = df.withColumn("_base", F.expr("concat(" + ", ".join(shaped(f"base_{k}", i, "1.0", "true") for i, k in enumerate(KINDS)) + ")"))
-    picked = [f"filter({shaped(f'more_{k}', i, _probability(model, k), 'false')}, c -> c.score >= {model['thresholds'][k]!r})" for i, k in enumerate(KINDS)]
-    df = df.withColumn("_more", F.expr(f"CASE WHEN {' + '.join(f'size(more_{k})' for k in KINDS)} = 0 THEN slice(_base, 1, 0) ELSE concat({', '.join(picked)}) END"))
+    df = df.withColumn("__base", F.expr("concat(" + ", ".join(shaped(f"__base_{k}", i, "1.0", "true") for i, k in enumerate(KINDS)) + ")"))
+    picked = [f"filter({shaped(f'__more_{k}', i, _probability(model, k), 'false')}, c -> c.score >= {model['thresholds'][k]!r})" for i, k in enumerate(KINDS)]
+    df = df.withColumn("__more", F.expr(f"CASE WHEN {' + '.join(f'size(__more_{k})' for k in KINDS)} = 0 THEN slice(__base, 1, 0) ELSE concat({', '.join(picked)}) END"))
     overlap = "c.from_byte < o.to_byte AND o.from_byte < c.to_byte"
     better = "(o.score > c.score OR o.score = c.score AND (o.start < c.start OR o.start = c.start AND o.kind < c.kind))"
-    chosen = f"CASE WHEN size(_more) = 0 THEN _more ELSE filter(_more, c -> NOT exists(_base, o -> {overlap}) AND NOT exists(_more, o -> {overlap} AND {better})) END"
+    chosen = f"CASE WHEN size(__more) = 0 THEN __more ELSE filter(__more, c -> NOT exists(__base, o -> {overlap}) AND NOT exists(__more, o -> {overlap} AND {better})) END"
     names = ", ".join(f"'{k}'" for k in KINDS)
-    ordered = _let("u", f"concat(_base, {chosen})", "array_sort(u, (p, q) -> CASE WHEN p.kind < q.kind THEN -1 WHEN p.kind > q.kind THEN 1 WHEN p.start < q.start THEN -1 WHEN p.start > q.start THEN 1 ELSE 0 END)")
+    ordered = _let("u", f"concat(__base, {chosen})", "array_sort(u, (p, q) -> CASE WHEN p.kind < q.kind THEN -1 WHEN p.kind > q.kind THEN 1 WHEN p.start < q.start THEN -1 WHEN p.start > q.start THEN 1 ELSE 0 END)")
     named = f"transform({ordered}, c -> named_struct('kind', element_at(array({names}), c.kind + 1), 'start', c.start, 'end', c.end, 'score', c.score, 'base', c.base, 'from_byte', c.from_byte, 'to_byte', c.to_byte))"
     return df.withColumn("spans", F.expr(named)).select(*columns, "spans")
 

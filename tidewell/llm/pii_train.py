@@ -153,7 +153,7 @@ def training_rows(spark: SparkSession, texts: int = TEXTS, seed: int = 11) -> tu
     r = random.Random(seed)
     made = [(i, *sample(r)) for i in range(texts)]
     df = candidates(spark.createDataFrame([(i, t) for i, t, _ in made], "i long, text string"))
-    rows = df.select("i", F.explode(F.expr(f"concat({', '.join(f'more_{k}' for k in KINDS)})")).alias("c")).select("i", "c.m", "c.f.*").collect()
+    rows = df.select("i", F.explode(F.expr(f"concat({', '.join(f'__more_{k}' for k in KINDS)})")).alias("c")).select("i", "c.m", "c.f.*").collect()
     real = {i: set(x) for i, _, x in made}
     x = np.array([[row[n] for n in FEATURES] for row in rows], float)
     y = np.array([float((KINDS[int(row["kind"])], row["m"]) in real[row["i"]]) for row in rows])
