@@ -123,7 +123,7 @@ def score_floor_route(spark, sf):
 @query("""WITH s AS (SELECT source, count(*) AS n, floor(avg(n_chars) / 10) / 1000 AS c FROM documents GROUP BY source),
 b AS (SELECT source, n, c, CASE WHEN n % 3 = 0 THEN 'approved' WHEN n % 3 = 1 THEN 'probation' ELSE 'rejected' END AS status FROM s)
 SELECT source, floor((CASE status WHEN 'probation' THEN (0.6 * 0.7 + c * 0.3) * 0.92 WHEN 'rejected' THEN (0.6 * 0.7 + c * 0.3) * 0.5 ELSE 0.6 * 0.7 + c * 0.3 END) * 1000 + 0.5) / 1000 AS blended,
-CASE status WHEN 'rejected' THEN 0.99 WHEN 'probation' THEN 0.45 ELSE 0.4 END AS floor FROM b""")
+CAST(CASE status WHEN 'rejected' THEN 0.99 WHEN 'probation' THEN 0.45 ELSE 0.4 END AS DOUBLE) AS floor FROM b""")
 def score_blend_floor(spark, sf):
     s = table(spark, sf, "documents").groupBy("source").agg(F.count("*").alias("n"), (F.floor(F.avg("n_chars") / 10) / 1000).alias("c"))
     s = s.withColumn("status", F.when(F.col("n") % 3 == 0, "approved").when(F.col("n") % 3 == 1, "probation").otherwise("rejected"))
@@ -407,7 +407,7 @@ def latest_per_key(spark, sf):
 
 @query("SELECT event_id, running FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS running FROM events) WHERE running <= 5 + user_id % 3")
 def running_budget(spark, sf):
-    return R.within_budget(table(spark, sf, "events"), "user_id", [F.col("ts"), F.col("event_id")], 5 + F.col("user_id") % 3).select("event_id", "running")
+    return R.within_budget(table(spark, sf, "events"), "user_id", [F.col("ts"), F.col("event_id")], 5 + F.col("user_id") % 3).select("event_id", F.col("running").cast("long").alias("running"))
 
 
 # ---- changes
