@@ -29,7 +29,7 @@ from tidewell.llm.common import read, ship, trim, widened
 MARK = "▁"
 KNOWN_RUNS = 200_000  # runs remembered by a task; beyond it the memory starts anew
 UNKNOWN = 1 << 24  # characters without a piece have numbers from here on
-KNOWN_PAIRS = 300_000
+KNOWN_PAIRS = 500_000
 LONG_RUN = 80  # runs of more characters are not remembered
 
 
@@ -83,52 +83,64 @@ class PieceCodec:
         self.piece[token] = char
         return token
 
-    def run(self, text: str) -> bytes:
-        """The ids of one run as little-endian 32-bit integers."""
-        fits, last = self.fits, [0]  # last[i]: the token that ends the encoding of the first i characters
-        at = 0
-        for end, (length, token) in self.automaton.iter(text):
-            if end < at:
-                continue  # found already: of the tokens that end here only one fits
-            while end > at:
-                last.append(self.unknown(text[at]))
+    def runs(self, texts: list[str]) -> list[bytes]:
+        """The ids of each of several runs, in sorted order, as little-endian 32-bit integers.
+
+        The table of a run begins with that of the prefix it shares with the run before.
+        """
+        fits, piece, iterate, out = self.fits, self.piece, self.automaton.iter, []
+        last, before = [0], ""  # last[i]: the token that ends the encoding of the first i characters
+        for text in texts:
+            at = 0
+            for x, y in zip(before, text, strict=False):
+                if x != y:
+                    break
                 at += 1
-            key = last[end + 1 - length] << 32 | token
-            ok = fits.get(key)
-            if ok or ok is None and self.fit(key):
-                last.append(token)
+            del last[at + 1 :]
+            before = text
+            for end, (length, token) in iterate(text):
+                if end < at:
+                    continue  # found already: of the tokens that end here only one fits
+                while end > at:
+                    last.append(self.unknown(text[at]))
+                    at += 1
+                key = last[end + 1 - length] << 32 | token
+                ok = fits.get(key)
+                if ok or ok is None and self.fit(key):
+                    last.append(token)
+                    at += 1
+            while at < len(text):
+                last.append(self.unknown(text[at]))
                 at += 1
-        while at < len(text):
-            last.append(self.unknown(text[at]))
-            at += 1
-        out, piece = [], self.piece
-        while at:
-            token = last[at]
-            if token < UNKNOWN:
-                out.append(token)
-                at -= len(piece[token])
-            else:
-                out += [self.bytes[b] for b in reversed(piece[token].encode("utf-8", "surrogatepass"))]
-                at -= 1
-        return array("i", out[::-1]).tobytes()
+            ids = []
+            while at:
+                token = last[at]
+                if token < UNKNOWN:
+                    ids.append(token)
+                    at -= len(piece[token])
+                else:
+                    ids += [self.bytes[b] for b in reversed(piece[token].encode("utf-8", "surrogatepass"))]
+                    at -= 1
+            out.append(array("i", ids[::-1]).tobytes())
+        return out
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of whole texts, the end id last."""
+        if len(self.known) > KNOWN_RUNS:
+            self.known.clear()
+        if len(self.fits) > KNOWN_PAIRS:
+            self.fits.clear()
+        known, cut, end = self.known, self.cut.findall, array("i", [self.end]).tobytes()
+        parts = [cut(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        new = sorted({r for p in parts for r in p if r not in known})
+        found = dict(zip(new, self.runs(new), strict=True))
+        known.update((r, ids) for r, ids in found.items() if len(r) <= LONG_RUN)
+        long = {r: ids for r, ids in found.items() if len(r) > LONG_RUN}
+        get = (lambda r: long.get(r) or known[r]) if long else known.__getitem__
+        return [b"".join(map(get, p)) + end for p in parts]
 
     def encode(self, text: str) -> bytes:
-        """The ids of a whole text, the end id last."""
-        known, out = self.known, []
-        if text:
-            if len(known) > KNOWN_RUNS:
-                known.clear()
-            if len(self.fits) > KNOWN_PAIRS:
-                self.fits.clear()
-            for run in self.cut.findall(MARK + text.replace(" ", MARK)):
-                ids = known.get(run)
-                if ids is None:
-                    ids = self.run(run)
-                    if len(run) <= LONG_RUN:
-                        known[run] = ids
-                out.append(ids)
-        out.append(np.array([self.end], "<i4").tobytes())
-        return b"".join(out)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         return self.lib.decode(ids)
@@ -156,7 +168,7 @@ def encode_documents(docs: DataFrame, model: str, text: str = "text") -> DataFra
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                coded = [codec.encode(t or "") for t in part.column(at).to_pylist()]
+                coded = codec.encode_all([t or "" for t in part.column(at).to_pylist()])
                 ids = np.frombuffer(b"".join(coded), "<i4")
                 offsets = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
                 decoded = [codec.decode(ids[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
