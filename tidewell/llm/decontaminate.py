@@ -114,8 +114,8 @@ class Block:
         return set(self.names[items])
 
 
-def write_blocks(benchmark: DataFrame, uri: str) -> int:
-    """The index of benchmark(item_id, text) in files at uri; returns their number."""
+def write_blocks(benchmark: DataFrame, uri: str) -> list[int]:
+    """The index of benchmark(item_id, text) in files at uri; returns the numbers of those that hold items."""
     spark = benchmark.sparkSession
     ship(spark)
     benchmark = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text")
@@ -130,11 +130,11 @@ def write_blocks(benchmark: DataFrame, uri: str) -> int:
             names += batch.column(0).to_pylist()
             texts += list(hasher.column(batch.column(1)))
         number = TaskContext.get().partitionId()
-        _put(out, f"{where}/block-{number:05d}.npz", [Block(names, texts).dump()])
-        yield pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64())})
+        if names:
+            _put(out, f"{where}/block-{number:05d}.npz", [Block(names, texts).dump()])
+            yield pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64())})
 
-    benchmark.repartition(blocks, F.xxhash64("item_id", "text")).mapInArrow(build, "block long").count()
-    return blocks
+    return sorted(r.block for r in benchmark.repartition(blocks).mapInArrow(build, "block long").collect())
 
 
 _BLOCKS: dict[tuple[str, int], Block] = {}
@@ -173,7 +173,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
                     size += len(w)
                     if size >= PORTION_WORDS:
                         break
-                for number in range(blocks):
+                for number in blocks:
                     block = _block(uri, number)
                     for w, prints, places, hit, names in portion:
                         names |= block.search(w, prints, places, hit)
