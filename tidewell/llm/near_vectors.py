@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.llm.common import Scratch, read, ship
 from tidewell.llm.components import components
@@ -45,7 +46,17 @@ def planes(dimension: int, bits: int, tables: int) -> np.ndarray:
 def signatures(x: np.ndarray, bits: int, tables: int) -> np.ndarray:
     """One integer for each row and table."""
     signs = (x @ planes(x.shape[1], bits, tables) > 0).reshape(len(x), tables, bits)
-    return (signs * (1 << np.arange(bits))).sum(2).astype("<i4")
+    return (signs * (1 << np.arange(bits))).sum(2).astype(_number(bits))
+
+
+def _number(bits: int) -> str:
+    return "<u2" if bits <= 16 else "<i4"
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows in double precision with 1 as the greatest size of a component, so that no square overflows."""
+    x = x.astype(np.float64)
+    return x / np.abs(x).max(1)[:, None]
 
 
 def linked_block(x: np.ndarray, sig: np.ndarray, weight: np.ndarray, table: int, own: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +90,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     zeroed = F.transform("v", lambda c: c + F.lit(0.0))
     keyed = rows.select("vec_id", F.when(sound, zeroed).alias("v")).select("vec_id", "v", F.when(F.col("v").isNotNull(), F.concat(F.hex(F.xxhash64("v")), F.lit("-"), F.hex(F.xxhash64(F.lit(7), F.reverse("v"))))).alias("k"))
     classes = scratch.keep(keyed.where("k is not null").groupBy("k").agg(F.min("vec_id").alias("low"), F.count("*").alias("n"), F.first("v").alias("v")))
-    found = _class_links(classes, cosine, scratch)
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    found = _class_links(classes, cosine, "<f4" if single else "<f8", scratch)
     links = found.groupBy("k").agg(F.sum("links").alias("links"))
     roots = components(found.where("k != root").select(F.col("k").alias("a"), F.col("root").alias("b")), scratch)
     named = classes.drop("v").join(links, "k", "left").join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
@@ -92,8 +104,11 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     return scratch.final(out)
 
 
-def _class_links(classes: DataFrame, cosine: float, scratch: Scratch) -> DataFrame:
-    """(k, links, root) rows: links of a class in a block, and the least class it is linked to there."""
+def _class_links(classes: DataFrame, cosine: float, number: str, scratch: Scratch) -> DataFrame:
+    """(k, links, root) rows: links of a class in a block, and the least class it is linked to there.
+
+    number: how components travel; single precision holds those that came so exactly.
+    """
     bits, tables = tables_for(classes.count(), cosine)
 
     def sign(batches):
@@ -105,11 +120,10 @@ def _class_links(classes: DataFrame, cosine: float, scratch: Scratch) -> DataFra
             for d in np.unique(sizes):
                 at = np.flatnonzero(sizes == d)
                 x = flat[starts[at][:, None] + np.arange(d)]
-                x = x / np.abs(x).max(1)[:, None]
-                sig = signatures(x, bits, tables)
+                sig = signatures(scaled(x), bits, tables)
                 for t in range(0, len(at), 4096):
                     part = at[t : t + 4096]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(part)), batch.column(1).take(pa.array(part)), pa.array([r.tobytes() for r in x[t : t + 4096].astype("<f8")], pa.binary()), pa.array([r.tobytes() for r in sig[t : t + 4096]], pa.binary()), pa.array(np.full(len(part), d, np.int32)), pa.array(list(sig[t : t + 4096]), pa.list_(pa.int32()))], names=["k", "n", "x", "sig", "d", "buckets"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(part)), batch.column(1).take(pa.array(part)), pa.array([r.tobytes() for r in x[t : t + 4096].astype(number)], pa.binary()), pa.array([r.tobytes() for r in sig[t : t + 4096]], pa.binary()), pa.array(np.full(len(part), d, np.int32)), pa.array(list(sig[t : t + 4096].astype(np.int32)), pa.list_(pa.int32()))], names=["k", "n", "x", "sig", "d", "buckets"])
 
     signed = scratch.keep(classes.select("k", "n", "v").mapInArrow(sign, "k string, n long, x binary, sig binary, d int, buckets array<int>"))
     placed = signed.select("k", "d", F.posexplode("buckets").alias("table", "bucket"))
@@ -127,8 +141,8 @@ def _class_links(classes: DataFrame, cosine: float, scratch: Scratch) -> DataFra
         k = rows.column("k").to_pylist()
         if len(k) < 2:
             return None
-        x = np.frombuffer(b"".join(rows.column("x").to_pylist()), "<f8").reshape(len(k), -1)
-        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), "<i4").reshape(len(k), -1)
+        x = scaled(np.frombuffer(b"".join(rows.column("x").to_pylist()), number).reshape(len(k), -1))
+        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), _number(bits)).reshape(len(k), -1)
         own, i, j = rows.column("own").to_numpy(), rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
         pairs = np.ones((len(k), len(k)), bool) if i == j else own[:, None] != own[None, :]
         links, least = linked_block(x, sig, rows.column("n").to_numpy(), rows.column("table")[0].as_py(), pairs, cosine)
