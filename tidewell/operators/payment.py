@@ -57,63 +57,62 @@ def options(requests: DataFrame) -> DataFrame:
     return out.withColumn("member_percent", F.when(F.col("_m") == 1, F.col("membership"))).drop("_cards", "_banks", "_i", "_l", "_j", "_c", "_k", "_m")
 
 
-def _then(value: Column, body) -> Column:
-    """body of a value that is computed once, however often the body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def layers(combos: DataFrame) -> DataFrame:
-    """Adds the four layers, what is paid, totals and rewards to combinations (card_discount: of the best card offer)."""
+    """Adds the four layers, what is paid, totals and rewards to combinations (card_discount: of the best card offer).
+
+    Combinations that would cost more than the amount are left out. Each step is a projection over the one before; the last goes through a generator of one row, past which no later
+    filter is pushed: pushed filters would repeat all steps in each reference.
+    """
     amount, df = F.col("amount"), combos
     if "card_discount" not in df.columns:
         df = df.withColumn("card_discount", F.lit(None).cast("double"))
-    named = lambda **x: F.struct(*(v.alias(k) for k, v in x.items()))
-    loyalty = named(l=_or0(loyalty_value(F.col("account"), amount)))
-    one = lambda s: named(l=s["l"], r=round2(amount - s["l"]))
-    two = lambda s: named(l=s["l"], r=s["r"], c=_or0(coupon_value(F.col("coupon"), s["r"], amount)))
-    left = lambda s: named(l=s["l"], c=s["c"], r=round2(s["r"] - s["c"]))
-    three = lambda s: named(l=s["l"], c=s["c"], r=s["r"], m=_or0(membership_value(F.col("member_percent"), s["r"])))
-    rest = lambda s: named(l=s["l"], c=s["c"], m=s["m"], r=round2(s["r"] - s["m"]))
-    four = lambda s: named(l=s["l"], c=s["c"], m=s["m"], r=s["r"], o=F.when(F.col("card_discount").isNotNull(), F.least(F.col("card_discount"), s["r"])).otherwise(0.0))
-    capped = lambda s: named(l=s["l"], c=s["c"], m=s["m"], o=s["o"], r=round2(s["r"] - s["o"]), over=F.greatest(F.lit(0.0), round2(s["l"] + s["c"] + s["m"] + s["o"] - amount * MAX_SHARE)))
-
-    def trimmed(s):  # what is over the share comes off the last layer that applied
-        cut = lambda x: round2(F.greatest(F.lit(0.0), x - s["over"]))
-        o, m, c = s["o"] > 0, s["m"] > 0, s["c"] > 0
-        return named(
-            loyalty_aed=F.when(o | m | c, s["l"]).otherwise(cut(s["l"])),
-            coupon_aed=F.when(~o & ~m & c, cut(s["c"])).otherwise(s["c"]),
-            member_aed=F.when(~o & m, cut(s["m"])).otherwise(s["m"]),
-            offer_aed=F.when(o, cut(s["o"])).otherwise(s["o"]),
-            pay=round2(F.greatest(F.lit(0.0), s["r"] + s["over"])),
-        )
-
-    def rewarded(s):
-        base = F.greatest(F.lit(0.0), s["pay"] - (s["coupon_aed"] + s["member_aed"]))
-        kept = {k: s[k] for k in ("loyalty_aed", "coupon_aed", "member_aed", "offer_aed", "pay")}
-        total = round2(s["loyalty_aed"] + s["coupon_aed"] + s["member_aed"] + s["offer_aed"])
-        return named(**kept, total=total, points=F.floor(_or0(base * F.col("card")["points_rate"]) + 1e-9), gold_mg=round2(_or0(base * F.col("card")["gold_rate"])))
-
-    value = loyalty
-    for step in (one, two, left, three, rest, four, capped, trimmed, rewarded):
-        value = _then(value, step)
-    df = df.withColumn("_e", value)
-    names = ("loyalty_aed", "coupon_aed", "member_aed", "offer_aed", "pay", "total", "points", "gold_mg")
-    return df.select(*combos.columns, *(F.col(f"_e.{n}").alias(n) for n in names))
+    c = F.col
+    df = df.withColumn("_l", _or0(loyalty_value(c("account"), amount)))
+    df = df.withColumn("_r1", round2(amount - c("_l")))
+    df = df.withColumn("_c", _or0(coupon_value(c("coupon"), c("_r1"), amount)))
+    df = df.withColumn("_r2", round2(c("_r1") - c("_c")))
+    df = df.withColumn("_m", _or0(membership_value(c("member_percent"), c("_r2"))))
+    df = df.withColumn("_r3", round2(c("_r2") - c("_m")))
+    df = df.withColumn("_o", F.when(c("card_discount").isNotNull(), F.least(c("card_discount"), c("_r3"))).otherwise(0.0))
+    df = df.withColumn("_r4", round2(c("_r3") - c("_o"))).withColumn("_over", F.greatest(F.lit(0.0), round2(c("_l") + c("_c") + c("_m") + c("_o") - amount * MAX_SHARE)))
+    # what is over the share comes off the last layer that applied
+    cut = lambda x: round2(F.greatest(F.lit(0.0), c(x) - c("_over")))
+    o, m, k = c("_o") > 0, c("_m") > 0, c("_c") > 0
+    df = df.withColumns(
+        {
+            "_l5": F.when(o | m | k, c("_l")).otherwise(cut("_l")),
+            "_c5": F.when(~o & ~m & k, cut("_c")).otherwise(c("_c")),
+            "_m5": F.when(~o & m, cut("_m")).otherwise(c("_m")),
+            "_o5": F.when(o, cut("_o")).otherwise(c("_o")),
+            "_pay": round2(F.greatest(F.lit(0.0), c("_r4") + c("_over"))),
+        }
+    )
+    df = df.withColumn("_base", F.greatest(F.lit(0.0), c("_pay") - (c("_c5") + c("_m5"))))
+    out = F.struct(
+        c("_l5").alias("loyalty_aed"),
+        c("_c5").alias("coupon_aed"),
+        c("_m5").alias("member_aed"),
+        c("_o5").alias("offer_aed"),
+        c("_pay").alias("pay"),
+        round2(c("_l5") + c("_c5") + c("_m5") + c("_o5")).alias("total"),
+        F.floor(_or0(c("_base") * c("card")["points_rate"]) + 1e-9).alias("points"),
+        round2(_or0(c("_base") * c("card")["gold_rate"])).alias("gold_mg"),
+    )
+    return df.select(*combos.columns, F.explode(F.filter(F.array(out), lambda e: e["pay"] <= amount)).alias("_e")).select(*combos.columns, "_e.*")
 
 
 def ranked(evaluated: DataFrame) -> DataFrame:
     """Of equal card, bank and total the first; rank by total, then enumeration."""
     same = Window.partitionBy("request_id", F.col("card.id"), "bank_id", "total").orderBy("ord")
     best = Window.partitionBy("request_id").orderBy(F.col("total").desc(), "ord")
-    kept = evaluated.where("pay <= amount").withColumn("_n", F.row_number().over(same)).where("_n = 1").drop("_n")
+    kept = evaluated.withColumn("_n", F.row_number().over(same)).where("_n = 1").drop("_n")
     return kept.withColumn("rank", F.row_number().over(best))
 
 
 def best_combination(requests: DataFrame) -> DataFrame:
     """The best combination per request, found by an aggregate: no request is sorted as a group."""
     fields = ["card.id", "bank_id", "loyalty_aed", "coupon_aed", "member_aed", "offer_aed", "total", "pay", "points", "gold_mg"]
-    rows = layers(options(requests)).where("pay <= amount")
+    rows = layers(options(requests))
     best = rows.groupBy("request_id", "amount").agg(F.max_by(F.struct(*(F.col(f).alias("card_id" if f == "card.id" else f) for f in fields)), F.struct("total", -F.col("ord"))).alias("b"), F.count("*").alias("combinations"))
     return best.select("request_id", "amount", "combinations", "b.*")
 

@@ -475,7 +475,7 @@ w AS (SELECT *, CAST(floor(coalesce(base * pr, 0.0::DOUBLE) + 1e-9::DOUBLE) AS B
 @query(PAY + "SELECT request_id, ord, l2 AS loyalty_aed, cp2 AS coupon_aed, mb2 AS member_aed, pay, total, points, gold_mg FROM w WHERE request_id % 5 = 0")
 def pay_layers(spark, sf):
     r = requests(spark, sf).where("request_id % 5 = 0")
-    return P.layers(P.options(r)).where("pay <= amount").select("request_id", F.col("ord").cast("int").alias("ord"), "loyalty_aed", "coupon_aed", "member_aed", "pay", "total", F.col("points").cast("long").alias("points"), "gold_mg")
+    return P.layers(P.options(r)).select("request_id", "ord", "loyalty_aed", "coupon_aed", "member_aed", "pay", "total", F.col("points").cast("long").alias("points"), "gold_mg")
 
 
 @query(PAY + "SELECT request_id, card AS card_id, bank AS bank_id, total, pay, points FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY total DESC, ord) AS n FROM w) WHERE n = 1")
@@ -486,7 +486,7 @@ def pay_best(spark, sf):
 @query(PAY + """, z AS (SELECT *, coalesce(card, bank) AS instrument, row_number() OVER (PARTITION BY request_id, coalesce(card, bank) ORDER BY total DESC, ord) AS n, row_number() OVER (PARTITION BY request_id ORDER BY total DESC, ord) AS t FROM w)
 SELECT request_id, instrument, total, pay, t = 1 AS recommended FROM z WHERE n = 1""")
 def pay_instruments(spark, sf):
-    return P.per_instrument(P.layers(P.options(requests(spark, sf))).where("pay <= amount"))
+    return P.per_instrument(P.layers(P.options(requests(spark, sf))))
 
 
 @query("""SELECT owner, code, max_by(value, pri * 1000000 + value) AS value FROM (SELECT p_brand AS owner, upper(p_type) AS code, p_retailprice AS value, 1 AS pri FROM part WHERE p_size < 25 UNION ALL SELECT p_brand, upper(p_type), p_retailprice, 0 FROM part) GROUP BY 1, 2""")
