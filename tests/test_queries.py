@@ -4,6 +4,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tidewell.queries import QUERIES, SQL
 
@@ -40,6 +41,11 @@ def test_query(spark, con, name):
     assert list(map(repr, got)) == list(map(repr, expected))
 
 
+def test_layers_of_every_order(spark):
+    left = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey").join(QUERIES["pay_layers_all"](spark, SF), F.col("o_orderkey") == F.col("request_id"), "left_anti")
+    assert left.count() == 0
+
+
 def test_filters_reach_the_scan(spark):
     plan = QUERIES["list_filter_page"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "o_totalprice" in plan and "PushedFilters: [IsNotNull(o_totalprice), GreaterThanOrEqual(o_totalprice" in plan

@@ -478,6 +478,11 @@ def pay_layers(spark, sf):
     return P.layers(P.options(r)).select("request_id", "ord", "loyalty_aed", "coupon_aed", "member_aed", "pay", "total", F.col("points").cast("long").alias("points"), "gold_mg")
 
 
+@query(PAY + "SELECT request_id, ord, l2 AS loyalty_aed, cp2 AS coupon_aed, mb2 AS member_aed, pay, total, points, gold_mg FROM w")
+def pay_layers_all(spark, sf):
+    return P.layers(P.options(requests(spark, sf))).select("request_id", "ord", "loyalty_aed", "coupon_aed", "member_aed", "pay", "total", F.col("points").cast("long").alias("points"), "gold_mg")
+
+
 @query(PAY + "SELECT request_id, card AS card_id, bank AS bank_id, total, pay, points FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY total DESC, ord) AS n FROM w) WHERE n = 1")
 def pay_best(spark, sf):
     return P.best_combination(requests(spark, sf)).select("request_id", "card_id", "bank_id", "total", "pay", F.col("points").cast("long").alias("points"))
