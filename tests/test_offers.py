@@ -7,6 +7,7 @@ from tidewell.operators import health as H
 from tidewell.operators import payment as P
 from tidewell.operators import quality as Q
 from tidewell.operators import relational as R
+from tidewell.operators import wallet as W
 from tidewell.plans import ingestion as I
 from tidewell.sources import crawl
 from tidewell.streaming.ingest import stream
@@ -120,6 +121,44 @@ def test_worked_payment(spark):
     assert capped == 180.0
 
 
+def test_card_offers(spark):
+    """Best offer per card against brute force, and what it changes in totals, payment and coins earned."""
+    names = ["canonical_key", "merchant_name", "bank_name", "card_name", "discount_type", "discount_value", "min_spend", "cap_value", "coupon_code", "freshness", "valid_to", "confidence"]
+    rows = [(f"k{i:03}", m, b, n, kind, value, spend, cap, "CODE20" if i % 11 == 5 else None, "stale" if i % 13 == 7 else "fresh", "2025-01-01" if i % 17 == 3 else None, 0.5)
+            for i, (m, b, n, kind, value, spend, cap) in enumerate((m, b, n, kind, value, spend, cap) for m in (None, "Lulu", "IKEA") for b in (None, "F A B", "ADCB") for n in (None, "Visa Infinite") for kind, value in (("percent", "20"), ("fixed", "45"), ("cashback", "7"), ("emi", "6 months")) for spend, cap in ((None, None), (150.0, 12.0)))]
+    offers = spark.createDataFrame(rows, ", ".join(f"{n} {'double' if n in ('min_spend', 'cap_value', 'confidence') else 'string'}" for n in names)).withColumns({"categories": F.array().cast("array<string>"), "eligible_mcc_list": F.array().cast("array<string>")})
+    cards = [("c1", "fab", "Visa"), ("c2", "ADCB", "Mastercard"), ("c3", None, "Visa"), ("c4", "HSBC", "Amex")]
+    merchants = ["LULU Hypermarket", None, "Carrefour"]
+    requests = [(i, amount, m, None, [("smiles", 0.0, None, 100.0, True, 1.5)], [], None, [(n, b, w, 0.0, 0.0, True) for n, b, w in cards], [("b", True)]) for i, (amount, m) in enumerate((a, m) for a in (40.0, 100.0, 400.0) for m in merchants)]
+    schema = "request_id int, amount double, merchant string, mcc string, loyalty array<struct<program:string,balance_coins:double,max_coins:double,rate:double,enabled:boolean,earn_rate:double>>, coupons array<struct<code:string,kind:string,value:double,min_spend:double,cap:double,enabled:boolean>>, membership double, cards array<struct<id:string,bank:string,network:string,points_rate:double,gold_rate:double,enabled:boolean>>, banks array<struct<id:string,enabled:boolean>>"
+    df = spark.createDataFrame(requests, schema)
+    day = F.lit("2026-01-01").cast("date")
+
+    def discount(amount, merchant, bank, network, o):
+        o = dict(zip(names, o))
+        fold = lambda x: x.lower().replace(" ", "")
+        mine = (bank and fold(o["bank_name"]) == fold(bank)) if o["bank_name"] else (o["card_name"] and network.lower() in o["card_name"].lower())
+        wrong = not o["merchant_name"] and not o["bank_name"] or o["card_name"] and network.lower() not in o["card_name"].lower() or o["merchant_name"] and merchant and fold(o["merchant_name"]) not in fold(merchant)
+        if not mine or wrong or o["coupon_code"] or o["freshness"] == "stale" or o["valid_to"] or amount < (o["min_spend"] or 0):
+            return 0.0
+        raw = {"fixed": 45.0, "percent": amount * 0.2, "cashback": amount * 0.07, "emi": 0.0}[o["discount_type"]]
+        return round(min(raw, o["cap_value"] or raw, amount), 2)
+
+    expected = {(i, n): max(discount(amount, m, b, w, o) for o in rows) for i, amount, m, *_ in requests for n, b, w in cards}
+    combos = P.options(P.with_card_offers(df, offers, day))
+    got = {(r.request_id, r.id or r.bank_id): r.d for r in combos.select("request_id", "card.id", "bank_id", F.col("card_discount").alias("d")).collect()}
+    assert {k: v or 0.0 for k, v in got.items() if k[1] != "b"} == expected and len(set(expected.values())) > 3
+    assert all(v is None for k, v in got.items() if k[1] == "b")
+    for r in P.best_combination(df, offers, day).collect():
+        amount = requests[r.request_id][1]
+        total = min(max(expected[r.request_id, n] for n, *_ in cards), round(amount * 0.9, 2))
+        assert (r.total, r.offer_aed, r.pay, r.loyalty_earned) == (total, total, round(amount - total, 2), {"smiles": int((amount - total) * 1.5 + 1e-9)})
+    wallets = df.where("request_id = 8").select(F.lit(1).alias("user_id"), "loyalty", "coupons", "membership", "cards", "banks")
+    sessions = spark.createDataFrame([(7, 1, 200.0, "open", None, None, None, None, None, "Lulu", None)], "session_id int, user_id int, amount double, status string, loyalty_percent int, coupon_code string, card_id string, use_membership boolean, use_coupons boolean, merchant string, mcc string")
+    s = W.confirmed(sessions, wallets, offers, day).first()
+    assert (s.offer_aed, s.net_amount, s.loyalty_earned) == (45.0, 155.0, {"smiles": 232})
+
+
 def test_offer_rejections(spark):
     schema = "id int, offer struct<categories:array<string>,merchant:string,bank:string,card:string,mcc:array<string>,min_spend:double,freshness:string,valid_to:date>, card struct<bank:string,network:string>, merchant string, mcc string, amount double"
     o = lambda **x: {"categories": [], "merchant": "Lulu", "bank": "FAB", "card": None, "mcc": None, "min_spend": None, "freshness": "fresh", "valid_to": None} | x

@@ -36,10 +36,18 @@ def membership_value(percent: Column, remaining: Column) -> Column:
     return F.when(value > 0, value)
 
 
+def loyalty_earned(accounts: Column, pay: Column) -> Column:
+    """Coins that each enabled account with an earn rate gains from what is paid, by program; of accounts of one program the last counts."""
+    coins = F.transform(F.filter(F.coalesce(accounts, F.array()), lambda a: a["enabled"] & (a["earn_rate"] > 0) & a["program"].isNotNull()), lambda a: F.struct(a["program"].alias("program"), F.floor(pay * a["earn_rate"] + 1e-9).cast("long").alias("coins")))
+    some = F.filter(coins, lambda e: e["coins"] > 0)
+    return F.map_from_entries(F.filter(some, lambda e, i: ~F.exists(F.slice(some, i + 2, F.size(some)), lambda later: later["program"] == e["program"])))
+
+
 def options(requests: DataFrame) -> DataFrame:
     """Every combination of a request(request_id, amount, loyalty[], coupons[], membership, cards[], banks[]).
 
-    Cards come before banks, and within these the given order; `ord` numbers the combinations.
+    Cards come before banks, and within these the given order; `ord` numbers the combinations. Requests of
+    `with_card_offers` give card_discount too.
     """
     usable = lambda xs, cond: F.filter(F.coalesce(xs, F.array()), cond)
     cards = usable(F.col("cards"), lambda c: c["enabled"])
@@ -48,6 +56,8 @@ def options(requests: DataFrame) -> DataFrame:
     first = requests.withColumn("_cards", cards).withColumn("_banks", F.when(F.size(banks) > 0, F.transform(banks, lambda b: b["id"])).otherwise(none))
     out = first.withColumn("_i", F.explode(F.sequence(F.lit(0), F.size("_cards") + F.size("_banks") - 1)))
     out = out.withColumn("card", F.when(F.col("_i") < F.size("_cards"), F.try_element_at("_cards", F.col("_i") + 1))).withColumn("bank_id", F.when(F.col("_i") >= F.size("_cards"), F.try_element_at("_banks", F.col("_i") - F.size("_cards") + 1)))
+    if "card_discounts" in requests.columns:
+        out = out.withColumn("card_discount", F.when(F.col("_i") < F.size("_cards"), F.try_element_at("card_discounts", F.col("_i")))).drop("card_discounts")
     live = usable(F.col("loyalty"), lambda a: a["enabled"] & (a["balance_coins"] > 0))
     out = out.withColumn("_l", live).withColumn("_j", F.explode(F.sequence(F.lit(0), F.size("_l")))).withColumn("account", F.try_element_at("_l", F.greatest(F.col("_j"), F.lit(1)))).withColumn("account", F.when(F.col("_j") > 0, F.col("account")))
     open_coupons = usable(F.col("coupons"), lambda c: c["enabled"])
@@ -58,7 +68,7 @@ def options(requests: DataFrame) -> DataFrame:
 
 
 def layers(combos: DataFrame) -> DataFrame:
-    """Adds the four layers, what is paid, totals and rewards to combinations (card_discount: of the best card offer).
+    """Adds the four layers, what is paid, totals and rewards to combinations (card_discount: of the best card offer), and loyalty_earned where accounts have a program and an earn rate.
 
     Combinations that would cost more than the amount are left out. Each step is a projection over the one before; the last goes through a generator of one row, past which no later
     filter is pushed: pushed filters would repeat all steps in each reference.
@@ -73,7 +83,7 @@ def layers(combos: DataFrame) -> DataFrame:
     df = df.withColumn("_r2", round2(c("_r1") - c("_c")))
     df = df.withColumn("_m", _or0(membership_value(c("member_percent"), c("_r2"))))
     df = df.withColumn("_r3", round2(c("_r2") - c("_m")))
-    df = df.withColumn("_o", F.when(c("card_discount").isNotNull(), F.least(c("card_discount"), c("_r3"))).otherwise(0.0))
+    df = df.withColumn("_o", F.when(c("card_discount").isNotNull() & c("card").isNotNull(), F.least(c("card_discount"), c("_r3"))).otherwise(0.0))
     df = df.withColumn("_r4", round2(c("_r3") - c("_o"))).withColumn("_over", F.greatest(F.lit(0.0), round2(c("_l") + c("_c") + c("_m") + c("_o") - amount * MAX_SHARE)))
     # what is over the share comes off the last layer that applied
     cut = lambda x: round2(F.greatest(F.lit(0.0), c(x) - c("_over")))
@@ -88,17 +98,23 @@ def layers(combos: DataFrame) -> DataFrame:
         }
     )
     df = df.withColumn("_base", F.greatest(F.lit(0.0), c("_pay") - (c("_c5") + c("_m5"))))
+    total = round2(c("_l5") + c("_c5") + c("_m5") + c("_o5"))
     out = F.struct(
         c("_l5").alias("loyalty_aed"),
         c("_c5").alias("coupon_aed"),
         c("_m5").alias("member_aed"),
         c("_o5").alias("offer_aed"),
         c("_pay").alias("pay"),
-        round2(c("_l5") + c("_c5") + c("_m5") + c("_o5")).alias("total"),
+        F.when(o, F.least(total, round2(amount * MAX_SHARE))).otherwise(total).alias("total"),
         F.floor(_or0(c("_base") * c("card")["points_rate"]) + 1e-9).alias("points"),
         round2(_or0(c("_base") * c("card")["gold_rate"])).alias("gold_mg"),
     )
-    return df.select(*combos.columns, F.explode(F.filter(F.array(out), lambda e: e["pay"] <= amount)).alias("_e")).select(*combos.columns, "_e.*")
+    out = df.select(*combos.columns, F.explode(F.filter(F.array(out), lambda e: e["pay"] <= amount)).alias("_e")).select(*combos.columns, "_e.*")
+    return out.withColumn("loyalty_earned", loyalty_earned(c("loyalty"), c("pay"))) if _earns(combos) else out
+
+
+def _earns(df: DataFrame) -> bool:
+    return "loyalty" in df.columns and {"program", "earn_rate"} <= set(df.schema["loyalty"].dataType.elementType.names)
 
 
 def ranked(evaluated: DataFrame) -> DataFrame:
@@ -109,12 +125,19 @@ def ranked(evaluated: DataFrame) -> DataFrame:
     return kept.withColumn("rank", F.row_number().over(best))
 
 
-def best_combination(requests: DataFrame) -> DataFrame:
-    """The best combination per request, found by an aggregate: no request is sorted as a group."""
+def best_combination(requests: DataFrame, offers: DataFrame | None = None, as_of: Column | None = None) -> DataFrame:
+    """The best combination per request, found by an aggregate: no request is sorted as a group.
+
+    offers: card offers to choose from, valid on as_of, as `with_card_offers` takes them.
+    """
+    requests = requests if offers is None else with_card_offers(requests, offers, as_of)
     fields = ["card.id", "bank_id", "loyalty_aed", "coupon_aed", "member_aed", "offer_aed", "total", "pay", "points", "gold_mg"]
     rows = layers(options(requests))
+    earns = "loyalty_earned" in rows.columns
+    fields += ["loyalty_earned"] if earns else []
     best = rows.groupBy("request_id", "amount").agg(F.max_by(F.struct(*(F.col(f).alias("card_id" if f == "card.id" else f) for f in fields)), F.struct("total", -F.col("ord"))).alias("b"), F.count("*").alias("combinations"))
-    return best.select("request_id", "amount", "combinations", "b.*")
+    best = best.select("request_id", "amount", "combinations", "b.*")
+    return best if earns else best.withColumn("loyalty_earned", F.create_map().cast("map<string,bigint>"))
 
 
 def per_instrument(evaluated: DataFrame) -> DataFrame:
@@ -149,7 +172,7 @@ def offer_rejection(as_of: Column) -> Column:
         .when(o("merchant").isNull() & o("bank").isNull(), "no_merchant_or_bank")
         .when(o("bank").isNotNull() & c("bank").isNotNull() & (fold(o("bank")) != fold(c("bank"))), "bank_mismatch")
         .when(o("card").isNotNull() & c("network").isNotNull() & ~F.contains(F.lower(o("card")), F.lower(c("network"))), "network_mismatch")
-        .when(o("merchant").isNotNull() & ~merchants_match(o("merchant"), F.col("merchant")), "merchant_mismatch")
+        .when(o("merchant").isNotNull() & F.col("merchant").isNotNull() & ~merchants_match(o("merchant"), F.col("merchant")), "merchant_mismatch")
         .when((F.size(F.coalesce(o("mcc"), F.array())) > 0) & F.col("mcc").isNotNull() & ~F.array_contains(o("mcc"), F.col("mcc")), "mcc_mismatch")
         .when(F.col("amount") < F.coalesce(o("min_spend"), F.lit(0.0)), "min_spend")
         .when(o("freshness") == "stale", "stale")
@@ -157,6 +180,58 @@ def offer_rejection(as_of: Column) -> Column:
     )
 
 
+def offer_discount(amount: Column) -> Column:
+    """What offer.* (kind, value, cap) takes off the original amount; null if nothing."""
+    o = lambda n: F.col(f"offer.{n}")
+    raw = F.when(o("kind").isin("percent", "cashback"), amount * (o("value") / 100)).when(o("kind") == "fixed", o("value"))
+    value = round2(F.least(raw, F.coalesce(o("cap"), raw), amount))
+    return F.when(raw.isNotNull() & ~F.isnan(raw) & (value > 0), value)
+
+
+def _containing(wholes: DataFrame, parts: DataFrame) -> DataFrame:
+    """(whole, part) of texts where one contains the other, both of one column: an equi-join on the wholes' substrings."""
+    w, n = F.col("whole"), F.length("whole")
+    inner = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: w.substr(i, k))))
+    wholes = wholes.toDF("whole").where("whole != ''").distinct()
+    return wholes.select("whole", F.explode(F.array_distinct(inner)).alias("part")).join(parts.toDF("part").where("part != ''").distinct(), "part").select("whole", "part")
+
+
+def with_card_offers(requests: DataFrame, offers: DataFrame, as_of: Column) -> DataFrame:
+    """requests(.., merchant, mcc, cards[id, bank, network, enabled]) with card_discounts: by place among the enabled cards, the discount of the best offer.
+
+    offers: stored offers, or the card offers of `listing.offers_for_payment`; those with a coupon code are none of
+    a card. Cards meet offers by bank, or by network where an offer has no bank, and by merchant: all are equi-joins.
+    """
+    if as_of is None:
+        raise ValueError("card offers need as_of, the day they are asked for")
+    c = F.col
+    text = lambda x: F.nullif(x, F.lit(""))
+    number = lambda name: c(name).try_cast("double")
+    squeezed = lambda x: F.regexp_replace(F.lower(x), r"\s+", "")
+    plain = lambda x: F.coalesce(F.regexp_replace(F.lower(x), "[^a-z0-9]", ""), F.lit(""))
+    instrument = lambda kind, x: F.concat(F.lit(kind), x)
+    offer = F.struct(
+        text(c("merchant_name")).alias("merchant"), text(c("bank_name")).alias("bank"), text(c("card_name")).alias("card"), c("categories").alias("categories"), c("eligible_mcc_list").alias("mcc"),
+        number("min_spend").alias("min_spend"), c("freshness").alias("freshness"), c("valid_to").cast("string").try_cast("date").alias("valid_to"),
+        c("discount_type").alias("kind"), number("discount_value").alias("value"), number("cap_value").alias("cap"), F.coalesce(c("confidence"), F.lit(0.0)).alias("confidence"), c("canonical_key").alias("key"),
+    )
+    open_offers = offers.where(F.coalesce("coupon_code", F.lit("")) == "").select(offer.alias("offer"))
+    open_offers = open_offers.withColumns({"_m": plain(c("offer.merchant")), "_k": F.when(c("offer.bank").isNotNull(), instrument("bank ", squeezed(c("offer.bank")))).otherwise(instrument("card ", F.lower("offer.card")))})
+    cards = requests.select("request_id", "amount", text(c("merchant")).alias("merchant"), text(c("mcc")).alias("mcc"), F.posexplode(F.filter(F.coalesce("cards", F.array()), lambda x: x["enabled"])).alias("_at", "card"))
+    cards = cards.withColumns({"_own": plain(c("merchant")), "_net": F.lower("card.network")})
+    own, theirs = cards.select("_own").distinct(), open_offers.select("_m").distinct()
+    meets = _containing(own, theirs).toDF("_own", "_m").unionByName(_containing(theirs, own).toDF("_m", "_own")).unionByName(own.select("_own", F.lit("").alias("_m")))
+    # a request without a merchant takes offers of any
+    meets = meets.unionByName(theirs.select(F.lit("").alias("_own"), "_m")).distinct()
+    nets = _containing(open_offers.where("offer.bank is null").select(F.lower("offer.card")), cards.select("_net")).select(c("part").alias("_net"), instrument("card ", c("whole")).alias("_k"))
+    keyed = cards.where("card.bank != ''").withColumn("_k", instrument("bank ", squeezed(c("card.bank")))).unionByName(cards.join(nets, "_net"))
+    found = keyed.join(meets, "_own").join(open_offers, ["_m", "_k"])
+    found = found.where(offer_fits_card(c("offer.bank"), c("offer.card"), c("card.bank"), c("card.network")) & offer_rejection(as_of).isNull()).withColumn("discount", offer_discount(c("amount"))).where("discount is not null")
+    best = found.groupBy("request_id", "_at").agg(F.min_by("discount", F.struct(-c("discount"), -c("offer.confidence"), "offer.key")).alias("discount"))
+    by_card = best.groupBy("request_id").agg(F.map_from_entries(F.collect_list(F.struct("_at", "discount"))).alias("card_discounts"))
+    return requests.join(by_card, "request_id", "left")
+
+
 def merged_coupons(wallet: DataFrame, crawled: DataFrame) -> DataFrame:
     """One row per owner and upper-case code; the wallet's wins."""
     from tidewell.operators.relational import union_first

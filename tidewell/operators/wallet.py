@@ -26,7 +26,7 @@ def instruments(users: DataFrame, loyalty: DataFrame, cards: DataFrame, banks: D
     gather = lambda df, name, *fields: df.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
     e = F.coalesce("enabled", F.lit(True)).alias("enabled")
     parts = [
-        gather(loyalty, "loyalty", "program", positive(F.col("balance_coins")).alias("balance_coins"), F.col("max_coins").try_cast("double").alias("max_coins"), F.coalesce(F.nullif(positive(F.col("rate")), F.lit(0.0)), F.lit(100.0)).alias("rate"), e),
+        gather(loyalty, "loyalty", "program", positive(F.col("balance_coins")).alias("balance_coins"), F.col("max_coins").try_cast("double").alias("max_coins"), F.coalesce(F.nullif(positive(F.col("rate")), F.lit(0.0)), F.lit(100.0)).alias("rate"), e, (positive(F.col("earn_rate")) if "earn_rate" in loyalty.columns else F.lit(0.0)).alias("earn_rate")),
         gather(cards, "cards", "id", "bank", F.coalesce(_known(F.col("network"), NETWORKS), F.col("network")).alias("network"), positive(F.col("points_rate")).alias("points_rate"), positive(F.col("gold_rate")).alias("gold_rate"), e),
         gather(banks.where("id is not null"), "banks", "id", "bank", e),
         gather(coupons.where(F.coalesce("code", F.lit("")) != ""), "coupons", F.upper("code").alias("code"), discount_kind(F.col("kind")).alias("kind"), positive(F.col("value")).alias("value"), F.col("min_spend").try_cast("double").alias("min_spend"), F.col("cap").try_cast("double").alias("cap"), e),
@@ -100,7 +100,7 @@ def merchant_names(merchants: DataFrame, aliases: DataFrame, term: str) -> DataF
 
 
 def session_requests(sessions: DataFrame, wallets: DataFrame) -> DataFrame:
-    """Open sessions as requests: the share of coins in use, the chosen card and coupon (else the first coupon only)."""
+    """Open sessions as requests: the share of coins in use, the chosen card and coupon (else the first coupon only), the merchant and mcc if sessions have them."""
     df = sessions.where("status = 'open'").join(wallets, "user_id")
     share = F.least(F.greatest(F.coalesce("loyalty_percent", F.lit(100)), F.lit(0)), F.lit(100)) / 100
     loyalty = F.transform("loyalty", lambda a: a.withField("balance_coins", F.floor(a["balance_coins"] * share).cast("double")))
@@ -108,13 +108,13 @@ def session_requests(sessions: DataFrame, wallets: DataFrame) -> DataFrame:
     coupons = F.when(F.coalesce("use_coupons", F.lit(True)), F.when(F.col("coupon_code").isNotNull(), chosen).otherwise(F.slice("coupons", 1, 1))).otherwise(F.slice("coupons", 1, 0))
     cards = F.when(F.col("card_id").isNotNull(), F.filter("cards", lambda c: c["id"] == F.col("card_id"))).otherwise(F.col("cards"))
     member = F.when(F.coalesce("use_membership", F.lit(True)), F.col("membership"))
-    return df.select(F.col("session_id").alias("request_id"), F.col("amount").cast("double").alias("amount"), loyalty.alias("loyalty"), coupons.alias("coupons"), member.alias("membership"), cards.alias("cards"), "banks")
+    return df.select(F.col("session_id").alias("request_id"), F.col("amount").cast("double").alias("amount"), loyalty.alias("loyalty"), coupons.alias("coupons"), member.alias("membership"), cards.alias("cards"), "banks", *((F.col(x) if x in sessions.columns else F.lit(None).cast("string")).alias(x) for x in ("merchant", "mcc")))
 
 
-def confirmed(sessions: DataFrame, wallets: DataFrame) -> DataFrame:
-    """Open sessions with what their best combination takes off and leaves to pay."""
-    best = P.best_combination(session_requests(sessions, wallets))
-    return best.select(F.col("request_id").alias("session_id"), F.lit("confirmed").alias("status"), F.col("amount").alias("gross_amount"), F.col("pay").alias("net_amount"), "loyalty_aed", "coupon_aed", F.col("member_aed").alias("membership_aed"))
+def confirmed(sessions: DataFrame, wallets: DataFrame, offers: DataFrame | None = None, as_of: Column | None = None) -> DataFrame:
+    """Open sessions with what their best combination takes off, card offers on as_of included, leaves to pay and earns."""
+    best = P.best_combination(session_requests(sessions, wallets), offers, as_of)
+    return best.select(F.col("request_id").alias("session_id"), F.lit("confirmed").alias("status"), F.col("amount").alias("gross_amount"), F.col("pay").alias("net_amount"), "loyalty_aed", "coupon_aed", F.col("member_aed").alias("membership_aed"), "offer_aed", "loyalty_earned")
 
 
 def explanation(best: DataFrame) -> DataFrame:
