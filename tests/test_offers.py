@@ -70,6 +70,23 @@ def test_upsert_and_snapshots(spark, registry, tmp_path):
     assert {r.merchant_name: r.freshness for r in stale.collect()} == {"Carrefour": "fresh", "Lulu": "stale"}
 
 
+def test_likely_duplicates_are_merged(spark, registry, tmp_path):
+    """By host, merchant, bank and title, or by URL, title and coupon: into the stored offer, one row per offer."""
+    seen = lambda day: F.lit(f"2026-01-0{day}").cast("timestamp")
+    for n in "12":
+        (tmp_path / n).mkdir()
+    no_shop = {**GOOD, "sourceUrl": "https://www.adcb.com/offers/z", "offerTitle": "15% cashback on fuel", "merchantName": None, "discountType": "cashback", "discountValue": 15}
+    first = rows_of(spark, {"a": GOOD, "b": {**GOOD, "offerTitle": "30% off at Lulu", "merchantName": "Lulu", "discountValue": 30}, "c": no_shop}, registry, tmp_path / "1").persist()
+    empty = I.preferred(first).withColumns({"first_seen_at": seen(1), "last_seen_at": seen(1), "freshness": F.lit("fresh")}).limit(0)
+    one = I.upsert(empty, first, seen(1)).drop("action").persist()
+    assert one.count() == 3
+    other = {**GOOD, "sourceUrl": "https://www.adcb.com/offers/y", "offerTitle": "20% off at Carrefour this week"}
+    batch = {"longer": other, "again": {**other, "sourceUrl": "https://www.adcb.com/offers/w"}, "value": {**no_shop, "discountValue": 16}, "host": {**other, "sourceUrl": "https://shop.adcb.com/offers/y"}, "shop": {**other, "merchantName": "Ikea"}}
+    two = I.upsert(one, rows_of(spark, batch, registry, tmp_path / "2").persist(), seen(2)).persist()
+    old = {r.canonical_key for r in one.collect()}
+    assert sorted((r.merchant_name or "", r.action, r.canonical_key in old) for r in two.collect()) == [("", "updated", True), ("Carrefour", "inserted", False), ("Carrefour", "updated", True), ("Ikea", "inserted", False), ("Lulu", "kept", True)]
+
+
 def test_stream_equals_batch(spark, registry, tmp_path):
     records = {k: r for k, (r, _, _) in CASES.items()}
     folder = write(tmp_path / "in", records)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions import text as T
 from tidewell.functions import url as U
+from tidewell.functions.keys import dedupe_hash, joined
 from tidewell.operators import quality as Q
 from tidewell.operators import relational as R
 from tidewell.sources.crawl import discovery_index, source_index
@@ -44,11 +46,36 @@ def preferred(rows: DataFrame) -> DataFrame:
     return R.best_by(rows.withColumn("filled", Q.filled_fields()), ["canonical_key"], [F.col("confidence"), F.col("filled"), F.col("row_id")], [*STORED, "filled"])
 
 
+def duplicates_of_stored(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """(canonical_key, stored_key): new rows with the stored offer of their key, else the last seen of those that they are likely duplicates of.
+
+    Likely duplicates have the same URL, title and coupon, or the same host, merchant and bank and similar titles.
+    All are one equi-join: a row is dealt out under each of its keys.
+    """
+    c, slug, url = F.col, lambda n: F.coalesce(T.slugify(F.col(n)), F.lit("")), F.nullif(F.col("normalized_url"), F.lit(""))
+    host = F.nullif(U.hostname(url), F.lit(""))
+    key = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+    keys = [
+        key("key", c("canonical_key")),
+        F.when(host.isNotNull(), key("page", joined(url, slug("offer_title"), F.lower(T.clean_text(c("coupon_code")))))),
+        F.when(host.isNotNull(), key("hash", dedupe_hash(url, c("offer_title"), c("coupon_code")))),
+        F.when(host.isNotNull() & (slug("merchant_name") != ""), key("near", joined(host, slug("merchant_name"), slug("bank_name")))),
+    ]
+    dealt = lambda df, *more: df.select(*more, F.explode(F.array(*keys)).alias("_k")).where("_k is not null")
+    left = dealt(new, "canonical_key", c("offer_title").alias("_new"))
+    right = dealt(stored, c("canonical_key").alias("stored_key"), c("offer_title").alias("_old"), c("last_seen_at").alias("_at"))
+    met = left.join(right, "_k").where((c("_k.kind") != "near") | (Q.title_similarity(c("_old"), c("_new")) >= 0.85))
+    return met.groupBy("canonical_key").agg(F.max_by("stored_key", F.struct(c("_k.kind") == "key", "_at", "stored_key")).alias("stored_key"))
+
+
 def upsert(stored: DataFrame, accepted: DataFrame, seen_at: Column) -> DataFrame:
     """The offers table after a batch: stored(canonical_key, STORED, filled, first_seen_at, last_seen_at, freshness).
 
-    action: inserted, updated (the material fields changed), seen, or kept (not in the batch).
+    action: inserted, updated (the material fields changed), seen, or kept (not in the batch). Rows without a key
+    match are merged into the stored offer that they are likely duplicates of.
     """
+    known = duplicates_of_stored(stored, preferred(accepted))
+    accepted = accepted.join(known, "canonical_key", "left").withColumn("canonical_key", F.coalesce("stored_key", "canonical_key")).drop("stored_key")
     new = preferred(accepted).withColumns({"first_seen_at": seen_at, "last_seen_at": seen_at, "freshness": F.lit("fresh")})
     columns = [*STORED, "filled", "first_seen_at", "last_seen_at", "freshness"]
     o, n = (lambda c: F.col(f"o_{c}")), (lambda c: F.col(f"n_{c}"))
