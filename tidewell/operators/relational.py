@@ -12,6 +12,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan whose rows take long, dealt out over all cores where its files give fewer tasks than there are cores.
+
+    Larger inputs have more tasks than cores and stay where they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan._jdf.rdd().getNumPartitions() < cores else scan
+
+
 def contains_any(columns: Sequence[str], term: str) -> Column:
     """Case-insensitive search for a text in any of the columns."""
     needle = F.lit(term.lower())
