@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -11,11 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.operators.relational import spread
+
 _SHIPPED: set[str] = set()
 
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
+    """A table or some of its columns. Named columns are dealt out over all cores where a small file gives few tasks."""
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread(df.select(*columns)) if columns else df
 
 
 def ship(spark: SparkSession) -> None:
@@ -35,10 +40,26 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of df has, in any case: the given ones, with underscores before them where needed."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share. Where the session names none (tests), a local one is set."""
+    """The folder that all executors share. Where a session with a local master names none (tests), a local one is set.
+
+    On a cluster a machine's own folder would hide files from other machines, so there a missing setting is an error.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = f"/tmp/checkpoints/{uuid.uuid4().hex}"
         spark.sparkContext.setCheckpointDir(path)
     elif not spark.sparkContext.getCheckpointDir():
@@ -52,8 +73,8 @@ class Scratch:
     drop() deletes them; what an operator returns must not read them any more (see final()).
     """
 
-    def __init__(self, spark: SparkSession):
-        self.spark, self.base = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    def __init__(self, spark: SparkSession, kind: str = "scratch"):
+        self.spark, self.base = spark, f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
         self.n = 0
 
     def keep(self, df: DataFrame) -> DataFrame:
@@ -76,6 +97,20 @@ class Scratch:
     def drop(self) -> None:
         _delete(self.spark, self.base)
 
+    def quietly_drop(self) -> None:
+        """For the end of the driver, when the session may be gone already."""
+        try:
+            self.drop()
+        except Exception:  # noqa: BLE001
+            return
+
+
+def shared_files(spark: SparkSession, kind: str) -> str:
+    """A new folder of shared files that plans still read; it goes when the driver ends."""
+    own = Scratch(spark, kind)
+    atexit.register(own.quietly_drop)
+    return own.base
+
 
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
@@ -99,6 +134,25 @@ def sized_join(left: DataFrame, right: DataFrame, on, how: str, rows: int = 500_
     return left.join(F.broadcast(right) if right.count() <= rows else right, on, how)
 
 
+HOT = 1000  # rows of one key beyond which a join deals them out
+
+
+def salted_join(many: DataFrame, one: DataFrame, key: str, scratch: Scratch, before=lambda df: df) -> DataFrame:
+    """many (a written table) joined with one (a row per key) on key. A key of more than HOT rows is dealt out.
+
+    The hot keys' rows in `many` get a part by a hash of the whole row, and their row in `one` is repeated for each part,
+    so no task gets all rows of a key. before: what else is joined to the rows of `many` first.
+    """
+    hot = many.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > HOT)
+    hot = scratch.keep(hot.select(key, F.ceil(F.col("n") / HOT).cast("int").alias("_parts")))
+    if not hot.head(1):
+        return before(many).join(one, key)
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = sized_join(many, hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(*many.columns), parts).cast("int")).drop("_parts")
+    repeated = sized_join(one, hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return before(dealt).join(repeated, [key, "_part"]).drop("_part")
+
+
 def groups_of(batches, keys: list[str]):
     """The groups of a sorted stream of record batches, each as a table. Key columns are numbers."""
     import numpy as np
