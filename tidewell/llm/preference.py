@@ -4,9 +4,9 @@ Chosen and rejected conversations meet by a pair id. Their longest common turn p
 text) becomes the prompt, rendered once; what follows in each becomes its completion. In completions the assistant's
 turns are trained, all else is masked; a prompt is masked as a whole.
 
-The result has a row per rendered turn, so no conversation has to fit a task: turns are compared by sums of hashes
-per pair and turn, which combine before the shuffle, and the first difference comes back by a join that Spark can
-split. assembled() joins the rows of a pair to strings and mask spans where conversations are of ordinary length.
+preference_turns() has a row per rendered turn: turns are compared by sums of hashes per pair and turn, which combine
+before the shuffle, and the first difference comes back by a join that Spark can split. preference_pairs() joins
+them up to a row per pair with the completions' masks, in pieces of bounded length.
 
 Defined results: a missing partner leaves the other side whole as a completion; null roles are "unknown", null texts
 empty; several rows of one turn are compared as a whole and all kept; a null turn number comes before all others;
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import read
 
 TRAINED = "assistant"
+TURNS = 1024  # turn numbers that a row of a pair holds
 _FIRST = -(1 << 62)
 
 
@@ -54,31 +55,52 @@ def preference_turns(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     return out.select("pair_id", "part", "conv_id", "turn", "role", rendered(F.col("role"), F.col("text")).alias("rendered"), trained.alias("trained"))
 
 
-def assembled(turns: DataFrame) -> DataFrame:
-    """A row per pair: prompt, chosen and rejected as strings, and the trained spans of the completions.
+def preference_pairs(turns: DataFrame) -> DataFrame:
+    """(pair_id, piece, prompt, chosen, rejected, chosen_trained, rejected_trained) from the rows of preference_turns.
 
-    Spans are code points, ends exclusive. A pair's turns meet in one row, so this is for conversations of
-    ordinary length.
+    A row per pair: the common prefix rendered once, both completions, and what is trained of each (start and end in
+    code points, ends exclusive; all else is masked). A row holds at most TURNS turn numbers: longer conversations
+    go on in further pieces, whose spans count from the piece's start, and rows without a turn number are a piece
+    before the others. Turns of more than TURNS rows are not joined up: each of their rows is a row here, and so is each
+    row without a pair id (as a prompt).
     """
-    rows = turns.where("part != 'unpaired'").groupBy("pair_id").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("turn", F.lit(_FIRST)).alias("at"), "role", "rendered", "trained", "part"))).alias("t"))
+    at = F.coalesce("turn", F.lit(_FIRST)).cast("long")
+    paired = turns.where("pair_id is not null").withColumns({"_at": at, "piece": F.floor(at / TURNS).cast("long")})
+    crowded = paired.groupBy("pair_id", "_at").agg(F.count("*").alias("n")).where(F.col("n") > TURNS).select("pair_id", "_at")
+    single = turns.where("pair_id is null").withColumns({"_at": at, "piece": F.lit(None).cast("long")})
+    if crowded.head(1):
+        single = single.unionByName(paired.join(crowded, ["pair_id", "_at"], "left_semi").select(single.columns))
+        paired = paired.join(crowded, ["pair_id", "_at"], "left_anti")
+    entry = F.struct("_at", "role", "rendered", "trained", F.when(F.col("part") == "unpaired", "prompt").otherwise(F.col("part")).alias("part"))
+    rows = paired.groupBy("pair_id", "piece").agg(F.sort_array(F.collect_list(entry)).alias("t")).unionByName(single.select("pair_id", "piece", F.array(entry).alias("t")))
     parts = {p: F.filter("t", lambda x: x["part"] == p) for p in ("prompt", "chosen", "rejected")}  # noqa: B023
 
     def spans(xs: Column) -> Column:
-        step = lambda a, x: F.struct((a["pos"] + F.length(x["rendered"])).alias("pos"), F.when(x["trained"], F.concat(a["out"], F.array(F.struct((a["pos"] + F.length(x["role"]) + 5).alias("start"), (a["pos"] + F.length(x["rendered"])).alias("end"))))).otherwise(a["out"]).alias("out"))
+        def step(a, x):
+            end = a["pos"] + F.length(x["rendered"])
+            span = F.struct((a["pos"] + F.length(x["role"]) + 5).alias("start"), end.alias("end"))
+            return F.struct(end.alias("pos"), F.when(x["trained"], F.concat(a["out"], F.array(span))).otherwise(a["out"]).alias("out"))
+
         return F.aggregate(xs, F.struct(F.lit(0).alias("pos"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("out")), step)["out"]
 
     strings = [F.array_join(F.transform(x, lambda y: y["rendered"]), "").alias(p) for p, x in parts.items()]
-    return rows.select("pair_id", *strings, spans(parts["chosen"]).alias("chosen_trained"), spans(parts["rejected"]).alias("rejected_trained"))
+    return rows.select("pair_id", "piece", *strings, spans(parts["chosen"]).alias("chosen_trained"), spans(parts["rejected"]).alias("rejected_trained"))
 
 
-def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+def given_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations 2n (chosen) and 2n + 1 (rejected) are a pair."""
     turns = read(spark, sf_dir, "conversations").withColumn("pair_id", F.floor(F.col("conv_id") / 2).cast("long"))
     odd = F.pmod(F.col("conv_id"), F.lit(2)) == 1
     return preference_turns(turns.where(~odd | F.col("conv_id").isNull()), turns.where(odd))
 
 
-OP5_SQL = """
+def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs of the given conversations; spans as "start-end" joined by commas."""
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",").alias(spans)
+    return preference_pairs(given_turns(spark, sf_dir)).select("pair_id", "piece", "prompt", "chosen", "rejected", text("chosen_trained"), text("rejected_trained"))
+
+
+_PARTS = """
 WITH t AS (
   SELECT CAST(floor(conv_id / 2.0) AS BIGINT) AS pair_id, conv_id % 2 AS odd, conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
   FROM conversations
@@ -92,7 +114,23 @@ WITH t AS (
   SELECT t.*, CASE WHEN differs IS NULL OR turn < differs THEN CASE WHEN odd = 0 THEN 'prompt' END WHEN odd = 0 THEN 'chosen' ELSE 'rejected' END AS part
   FROM t LEFT JOIN firsts USING (pair_id)
 )
-SELECT pair_id, part, conv_id, turn, role, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered,
+"""
+TURNS_SQL = _PARTS + """SELECT pair_id, part, conv_id, turn, role, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered,
   part IN ('chosen', 'rejected') AND role = 'assistant' AS trained
 FROM parts WHERE part IS NOT NULL
 """
+OP5_SQL = _PARTS + f""", r AS (
+  SELECT pair_id, CAST(CASE WHEN pair_id IS NOT NULL THEN floor(coalesce(turn, {_FIRST}) / {TURNS}.0) END AS BIGINT) AS piece, part, turn, role, conv_id, row_number() OVER () AS n,
+    '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered, part IN ('chosen', 'rejected') AND role = 'assistant' AS trained
+  FROM parts WHERE part IS NOT NULL
+), g AS (SELECT *, CASE WHEN pair_id IS NULL THEN n END AS own FROM r),
+p AS (SELECT *, sum(length(rendered)) OVER (PARTITION BY pair_id, piece, own, part ORDER BY turn NULLS FIRST, role, rendered, n ROWS UNBOUNDED PRECEDING) AS stop FROM g),
+s AS (SELECT *, CASE WHEN trained THEN (stop - length(rendered) + length(role) + 5) || '-' || stop END AS span FROM p)
+SELECT pair_id, piece,
+  coalesce(string_agg(rendered, '' ORDER BY turn NULLS FIRST, role, rendered) FILTER (part = 'prompt'), '') AS prompt,
+  coalesce(string_agg(rendered, '' ORDER BY turn NULLS FIRST, role, rendered) FILTER (part = 'chosen'), '') AS chosen,
+  coalesce(string_agg(rendered, '' ORDER BY turn NULLS FIRST, role, rendered) FILTER (part = 'rejected'), '') AS rejected,
+  coalesce(string_agg(span, ',' ORDER BY stop) FILTER (part = 'chosen'), '') AS chosen_trained,
+  coalesce(string_agg(span, ',' ORDER BY stop) FILTER (part = 'rejected'), '') AS rejected_trained
+FROM s GROUP BY pair_id, piece, own
+"""

@@ -7,7 +7,7 @@ from tidewell.llm.near_vectors import op4_near_vectors
 from tidewell.llm.oracles import OP4_SQL, OP7_SQL, OP8_SQL
 from tidewell.llm.pii import op2_pii
 from tidewell.llm.piece_codec import op10_piece_codec
-from tidewell.llm.preference import OP5_SQL, op5_preference
+from tidewell.llm.preference import OP5_SQL, TURNS_SQL, given_turns, op5_preference
 from tidewell.llm.quality import op9_quality
 from tidewell.llm.sharding import op6_sharding
 from tidewell.llm.token_store import op1_token_store
@@ -23,6 +23,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_piece_codec": op10_piece_codec,
+    "preference_turns": given_turns,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -30,4 +31,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_preference": OP5_SQL,
     "op7_near_dups": OP7_SQL,
     "op8_decontaminate": OP8_SQL,
+    "preference_turns": TURNS_SQL,
 }
