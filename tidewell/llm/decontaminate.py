@@ -3,22 +3,24 @@
 Of each SPAN consecutive words, the fingerprint is the least hash among its K-word grams (the rightmost of equals).
 A benchmark item and a document that share SPAN words in a row therefore share a fingerprint within them. Document
 fingerprints are joined with those of the items; each hit is extended to the SPAN-word windows around it, and a
-window counts if an item has the same words. Items of fewer words are one window each, looked up by its length.
+window counts if an item has a window of the same 64-bit hash of its words (two windows of different words have one
+hash with probability 2**-64). Items of fewer words are one window each, looked up by its length.
 
 The benchmark's index is written once to the shared folder in blocks of bounded size, built by tasks; no side is
 collected or broadcast. Documents stay where they are: a task loads block after block for each portion of its
 documents, so memory is bounded by one block and one portion, and there is no shuffle of documents.
 
 Defined results: null or wordless texts have no words and no hits; an item without words never occurs; a null item
-id is named "null"; rows that repeat, in either table, count for themselves among documents and once among items;
-an empty table on either side gives no hits; other columns of the documents stay, but those named like an output
-column are replaced.
+id is named "null", an empty one is a name like others; rows that repeat, in either table, count for themselves among
+documents and once among items; an empty table on either side gives no hits; other columns of the documents stay, but
+those named like an output column are replaced (out gives the output columns other names).
 """
 
 from __future__ import annotations
 
 import io
-import uuid
+import json
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import read, shared_dir, ship, trim, widened
+from tidewell.llm.common import fresh, read, shared_files, ship, trim, widened
 from tidewell.llm.token_store import _fs, _put
 from tidewell.llm.words import WordHasher, grams
 
 SPAN, K = 10, 5
+OUT = ("n_words", "n_hit", "items")
 BLOCK_BYTES = 16 << 20  # of item text in a block of the index
 PORTION_WORDS = 1 << 20  # of documents that meet the blocks together
 
@@ -69,7 +72,8 @@ class Block:
             self.windows[n] = hashes[order], items[order]
 
     def dump(self) -> bytes:
-        out = {"names": np.array("\0".join(self.names)), "prints": self.prints, "lengths": np.array(sorted(self.windows))}
+        names = np.frombuffer(json.dumps(list(self.names)).encode(), np.uint8)
+        out = {"names": names, "prints": self.prints, "lengths": np.array(sorted(self.windows))}
         for n, (h, i) in self.windows.items():
             out |= {f"h{n}": h, f"i{n}": i.astype(np.int32)}
         file = io.BytesIO()
@@ -79,7 +83,7 @@ class Block:
     @classmethod
     def load(cls, data: bytes) -> Block:
         x, own = np.load(io.BytesIO(data)), cls([], [])
-        own.names, own.prints = np.array(str(x["names"]).split("\0"), dtype=object), x["prints"]
+        own.names, own.prints = np.array(json.loads(x["names"].tobytes()), dtype=object), x["prints"]
         own.windows = {int(n): (x[f"h{n}"], x[f"i{n}"]) for n in x["lengths"]}
         return own
 
@@ -151,14 +155,13 @@ def _block(uri: str, number: int) -> Block:
     return _BLOCKS[uri, number]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: Sequence[str] = OUT) -> DataFrame:
     """docs with n_words, n_hit (words inside occurring windows) and items (their item ids, sorted as strings)."""
-    spark = docs.sparkSession
-    uri = f"{shared_dir(spark)}/leaks-{uuid.uuid4().hex}"
+    uri = shared_files(docs.sparkSession, "leaks")
     blocks = write_blocks(benchmark, uri)
-    docs = docs.drop("n_words", "n_hit", "items")
+    docs = docs.drop(*out)
     at = docs.columns.index(text)
-    schema = widened(docs, n_words="long", n_hit="long", items="array<string>")
+    schema = widened(docs, **dict(zip(out, ("long", "long", "array<string>"), strict=True)))
 
     def scan(batches):
         hasher = leak_words()
@@ -179,7 +182,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
                         names |= block.search(w, prints, places, hit)
                 part = batch.slice(row, len(portion))
                 more = [pa.array([len(x[0]) for x in portion], pa.int64()), pa.array([int(x[3].sum()) for x in portion], pa.int64()), pa.array([sorted(x[4]) for x in portion], pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*part.schema.names, "n_words", "n_hit", "items"])
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*part.schema.names, *out])
                 row += len(portion)
         trim()
 
@@ -187,7 +190,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_leaks(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    found = find_leaks(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id",
         "n_words",
@@ -200,4 +203,5 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark window are removed."""
-    return find_leaks(docs, read(spark, sf_dir, "benchmark")).where("n_hit = 0").select(docs.columns)
+    out = fresh(docs, *OUT)
+    return find_leaks(docs, read(spark, sf_dir, "benchmark"), out=out).where(F.col(out[1]) == 0).select(docs.columns)
