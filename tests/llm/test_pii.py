@@ -69,3 +69,47 @@ def test_training_reaches_its_precision(spark):
 def test_no_python_in_the_plan(spark, docs):
     plan = pii.find_personal_data(docs([(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def written_text(r):
+    """An English text with personal data and look-alikes, unlike those of the training, and the data as (kind, text)."""
+    digit = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    name, host, tld = r.choice(["jane.doe", "k_miller", "sam", "peter.w", "office", "anna-lena"]), r.choice(["example", "mail-host", "acme", "uni", "posteo"]), r.choice(["com", "org", "net", "de", "edu"])
+    h = lambda: "%x" % r.randrange(1, 65536)
+    amex = next(d for d in iter(lambda: r.choice(["34", "37"]) + digit(13), None) if luhn(d))
+    real = [
+        ("email", r.choice([f"{name} (at) {host} (dot) {tld}", f"{name}[at]{host}[dot]{tld}", f"{name} at {host} dot {tld}"]), "If anything is missing, write to {} before Friday."),
+        ("ip", r.choice([f"2001:db8::{h()}:{h()}", f"fe80::{h()}:{h()}:{h()}:{h()}", f"2a02:{h()}:{h()}::{h()}", ":".join(h() for _ in range(8))]), "The old server still answers on {} most days."),
+        ("card", amex, "She paid with her credit card {} last week."),
+        ("phone", r.choice([f"({digit(3)}) 555-{digit(4)}", f"{digit(3)}-555-{digit(4)}", f"0{digit(3)} 555 {digit(4)}"]), "Please call {} after nine."),
+    ]
+    other = ["The meeting is at noon in room 12.", f"It was signed on 2019-{r.randint(10, 12)}-{r.randint(10, 28)} at 10:2{digit(1)}.", f"The library lists it as isbn 978-3-16-{digit(6)}-0.", "Use std::vector or Foo::bar here.", f"Lunch at cafe.Bring your own cup for {digit(1)}.{digit(2)}.", f"Invoice {digit(14)} is due.", f"The board runs version {digit(2)}.{digit(2)}.{digit(3)}.", ":".join(digit(2) for _ in range(6)) + " is the address of the adapter.", f"Between {digit(3)} and {digit(4)} people came at dusk.", f"Ticket {digit(3)} {digit(3)} {digit(3)} was closed.", "We met him at the corner dot matrix shop."]
+    found, parts = [], []
+    for _ in range(r.randint(2, 6)):
+        if r.random() < 0.5:
+            kind, x, sentence = r.choice(real)
+            found.append((kind, x))
+            parts.append(sentence.format(x))
+        else:
+            parts.append(r.choice(other))
+    return " ".join(parts), found
+
+
+def test_shipped_trees_on_texts_of_another_kind(spark):
+    r = random.Random(77)
+    made = [(i, *written_text(r)) for i in range(600)]
+    found = {x.i: x for x in pii.find_personal_data(spark.createDataFrame([(i, t) for i, t, _ in made], "i long, text string")).collect()}
+    right = wrong = missed = 0
+    for i, text, real in made:
+        left = list(real)
+        for s in found[i].spans:
+            if not s.base:
+                x = (s.kind, text[s.start : s.end])
+                if x in left:
+                    left.remove(x)
+                    right += 1
+                else:
+                    wrong += 1
+        missed += len(left)
+    print("precision", right / (right + wrong), "recall", right / (right + missed))
+    assert right >= 0.97 * (right + wrong) and right >= 0.95 * (right + missed)

@@ -1,7 +1,7 @@
 """Operator 2: personal data, by rules that stand and boosted trees that add to them. DataFrame and SQL only.
 
 Base spans follow fixed rules per kind. Generators of high recall then propose further spans, which may overlap each
-other and the base: obscured addresses, IPv6, grouped or long card numbers, phone numbers without a plus. Boosted
+other and the base: obscured addresses, IPv6 in full or with "::", grouped or long card numbers, phone numbers without a plus. Boosted
 trees score each proposal by its format and its context; a logistic step per kind calibrates the sum to a
 probability; a proposal over its kind's threshold is selected unless it overlaps a base span or a better proposal.
 The trees were trained by pii_train.py on generated texts and are read from models/pii_trees.json.
@@ -10,7 +10,8 @@ Everything happens in one projection, row by row: no shuffle, no Python. Positio
 matches and of the gaps between them, summed in blocks, so long texts with many matches take no quadratic time.
 
 Defined results: a null text has no spans and stays null when redacted; rows with null or repeated keys are kept;
-positions are code points, ends exclusive; other columns stay, but those named like an output column are replaced.
+positions are code points, ends exclusive; other columns stay, but one named like the output column is replaced (out
+gives the spans another name).
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import read
+from tidewell.llm.common import fresh, read
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -36,18 +37,19 @@ BASE = {
 }
 PROPOSED = {
     "email": r"(?i)(?:\G|(?<![a-z0-9._%+-]))[a-z0-9._%+-]++\x20?(?:(?<=\x20)@|@(?=\x20)|\(at\)|\[at\]|\{at\}|\x20at\x20)\x20?[a-z0-9-]++(?:(?:\.|\x20?(?:\(dot\)|\[dot\]|\{dot\}|\x20dot\x20)\x20?)[a-z0-9-]++)++",
-    "ip": r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
+    "ip": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![0-9A-Za-z:])",
     "card": r"(?<![0-9])(?:[0-9]{4}(?:[\x20._/-]{1,3}[0-9]{4}){2,3}(?:[\x20._/-]{1,3}[0-9]{1,4})?|[0-9]{13,19})(?![0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\(0?[0-9]{2,4}\)|0{1,2}[0-9]{1,4}|[0-9]{3})[\x20./-]?[0-9]{2,4}(?:[\x20./-][0-9]{2,4}){1,3}(?![0-9])",
 }
-# context words, looked for in the characters before a proposal
+# context words, looked for in the characters before a proposal (a space before the text's start and after a match;
+# where whole words are meant, the character before them is asked for, as the window may cut a word)
 HINTS = {
     "email": r"(?i)mail|contact|write|reach|address|kontakt|correo|courriel",
-    "ip": r"(?i)\bip\b|ipv6|host|server|addr|ping",
-    "card": r"(?i)card|visa|amex|master|credit|debit|karte|carte|tarjeta|payment|\bcc\b",
+    "ip": r"(?i)(?<=[^a-z])ip\b|ipv6|host|server|addr|ping",
+    "card": r"(?i)card|visa|amex|master|credit|debit|karte|carte|tarjeta|payment|(?<=[^a-z])cc\b",
     "phone": r"(?i)phone|tel|call|mobile|cell|fax|dial|whatsapp|appel|anruf|llam",
 }
-AGAINST = r"(?i)isbn|order|invoice|serial|version|part|ref|issue|ticket|doi|page|build|\bid\b|sku|#\s*$|[$€£]\s*$"
+AGAINST = r"(?i)(?<=[^a-z])(?:isbn|order|invoice|serial|version|part|ref|issue|ticket|doi|page|build|id|sku|token|price)\b|#\s*$|[$€£]\s*$"
 
 _SPAN = "array<struct<m:string,s:bigint,e:bigint,before:string,after:string>>"
 _BLOCK = 256
@@ -68,7 +70,7 @@ def _found(text: str, pattern: str) -> str:
     step = f"(length(g[i]) + length(m)) * {_SHIFT}L + octet_length(g[i]) + octet_length(m)"
     end = f"o[cast(i / {_BLOCK} as int)] + {_total(f'slice(l, i - i % {_BLOCK} + 1, i % {_BLOCK} + 1)')}"
     size = f"(length(m) * {_SHIFT}L + octet_length(m))"
-    spans = f"transform(x, (m, i) -> {_let('z', end, f'''named_struct('m', m, 's', z - {size}, 'e', z, 'before', substring(g[i], -24), 'after', substring(g[i + 1], 1, 2))''')})"
+    spans = f"transform(x, (m, i) -> {_let('z', end, f'''named_struct('m', m, 's', z - {size}, 'e', z, 'before', substring(concat(' ', g[i]), -24), 'after', substring(g[i + 1], 1, 2))''')})"
     offsets = _let("b", f"transform(sequence(0, cast((size(x) - 1) / {_BLOCK} as int)), k -> {_total(f'slice(l, k * {_BLOCK} + 1, {_BLOCK})')})", f"transform(b, (v, k) -> {_total('slice(b, 1, k)')})")
     inner = _let("g", f"split({text}, r'{pattern}', -1)", _let("l", f"transform(x, (m, i) -> {step})", _let("o", offsets, spans)))
     return _let("x", f"regexp_extract_all({text}, r'{pattern}', 0)", f"CASE WHEN size(x) = 0 THEN cast(array() as {_SPAN}) ELSE {inner} END")
@@ -108,6 +110,8 @@ FEATURES = {
     "parens": "cast(c.m rlike r'^[(]' as int)",
     "first": "coalesce(try_cast(substring(n, 1, 1) as int), -1)",
     "colons": "length(regexp_replace(c.m, '[^:]', ''))",
+    "doubled": "cast(contains(c.m, '::') as int)",
+    "groups": "size(filter(split(c.m, ':'), p -> length(p) >= 3))",
 }
 
 
@@ -144,11 +148,12 @@ def _probability(model: dict, kind: str) -> str:
     return f"1 / (1 + exp(-({a!r} * ({margin}) + {b!r})))"
 
 
-def find_personal_data(docs: DataFrame, model: dict | None = None, text: str = "text") -> DataFrame:
+def find_personal_data(docs: DataFrame, model: dict | None = None, text: str = "text", out: str = "spans") -> DataFrame:
     """docs with spans: array<struct<kind, start, end, score, base, from_byte, to_byte>>, by kind, then start."""
     model = model or load_model()
-    columns = [c for c in docs.columns if c != "spans"]
-    df = candidates(docs.select(columns), text)
+    docs = docs.drop(out)
+    # the columns travel in one struct, so that none clashes with the steps' own
+    df = candidates(docs.select(F.struct(*docs.columns).alias("__row"), F.col(text).alias("__text")), "__text")
 
     def shaped(name: str, number: int, score: str, base: str) -> str:
         return f"transform({name}, c -> named_struct('kind', {number}, 'start', shiftright(c.s, 32), 'end', shiftright(c.e, 32), 'score', cast({score} as double), 'base', {base}, 'from_byte', c.s & {_SHIFT - 1}L, 'to_byte', c.e & {_SHIFT - 1}L))"
@@ -162,21 +167,21 @@ def find_personal_data(docs: DataFrame, model: dict | None = None, text: str = "
     names = ", ".join(f"'{k}'" for k in KINDS)
     ordered = _let("u", f"concat(__base, {chosen})", "array_sort(u, (p, q) -> CASE WHEN p.kind < q.kind THEN -1 WHEN p.kind > q.kind THEN 1 WHEN p.start < q.start THEN -1 WHEN p.start > q.start THEN 1 ELSE 0 END)")
     named = f"transform({ordered}, c -> named_struct('kind', element_at(array({names}), c.kind + 1), 'start', c.start, 'end', c.end, 'score', c.score, 'base', c.base, 'from_byte', c.from_byte, 'to_byte', c.to_byte))"
-    return df.withColumn("spans", F.expr(named)).select(*columns, "spans")
+    return df.select("__row.*", F.expr(named).alias(out))
 
 
-def redacted(found: DataFrame, text: str = "text") -> DataFrame:
+def redacted(found: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
     """found, with [KIND] in place of each span of the text; overlapping spans become one, named by the first."""
     before = f"greatest(0L, coalesce(array_max(slice(h, 1, cast(i / {_BLOCK} as int))), 0L), coalesce(array_max(slice(r, i - i % {_BLOCK} + 1, i % {_BLOCK})), 0L))"
     piece = _let("p", before, "CASE WHEN i > 0 AND c.from_byte < p THEN '' ELSE concat(cast(substring(t, int(p + 1), int(c.from_byte - p)) as string), '[', upper(c.kind), ']') END")
     body = _let("r", "transform(q, c -> c.to_byte)", _let("h", f"transform(sequence(0, cast((size(r) - 1) / {_BLOCK} as int)), k -> array_max(slice(r, k * {_BLOCK} + 1, {_BLOCK})))", f"concat(array_join(transform(q, (c, i) -> {piece}), ''), cast(substring(t, int(array_max(r) + 1)) as string))"))
-    ordered = "array_sort(spans, (p, q) -> CASE WHEN p.from_byte < q.from_byte THEN -1 WHEN p.from_byte > q.from_byte THEN 1 ELSE 0 END)"
+    ordered = f"array_sort(`{spans}`, (p, q) -> CASE WHEN p.from_byte < q.from_byte THEN -1 WHEN p.from_byte > q.from_byte THEN 1 ELSE 0 END)"
     whole = _let("t", f"cast(`{text}` as binary)", _let("q", ordered, body))
-    return found.withColumn(text, F.expr(f"CASE WHEN size(spans) = 0 OR `{text}` IS NULL THEN `{text}` ELSE {whole} END"))
+    return found.withColumn(text, F.expr(f"CASE WHEN size(`{spans}`) = 0 OR `{text}` IS NULL THEN `{text}` ELSE {whole} END"))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = find_personal_data(read(spark, sf_dir, "documents", "doc_id", "text"))
     joined = "array_join(transform({}, c -> concat(c.kind, ':', c.start, ':', c.end)), ',')"
     base = "filter(spans, c -> c.base)"
     return found.select(
@@ -189,7 +194,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every span is replaced by its kind in brackets; n_chars follows the text."""
-    out = redacted(find_personal_data(docs))
+    (spans,) = fresh(docs, "spans")
+    out = redacted(find_personal_data(docs, out=spans), spans=spans)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)

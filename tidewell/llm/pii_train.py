@@ -46,7 +46,7 @@ def sample(r: random.Random) -> tuple[str, list[tuple[str, str]]]:
     out, real = [], []
     for _ in range(r.randint(1, 4)):
         out.append(" ".join(_word(r) for _ in range(r.randint(2, 12))))
-        what, tld = r.randrange(17), say("com", "org", "net", "de", "fr", "io", "edu")
+        what, tld = r.randrange(19), say("com", "org", "net", "de", "fr", "io", "edu")
         name, host = say(_word(r), f"{_word(r)}.{_word(r)}", f"{_word(r)}{_digits(r, 2)}"), _word(r)
         if what in (0, 1):
             x = say(f"{name} (at) {host} (dot) {tld}", f"{name}[at]{host}[dot]{tld}", f"{name} at {host} dot {tld}", f"{name} @ {host}.{tld}", f"{name}(at){host}.{tld}", f"{name} at {host}.{tld}")
@@ -56,6 +56,12 @@ def sample(r: random.Random) -> tuple[str, list[tuple[str, str]]]:
             x = ":".join("%x" % r.randrange(65536) for _ in range(8))
             out.append(say("", "host", "ip", "server") + " " + x)
             real.append(("ip", x))
+        elif what == 17:
+            left = ["%x" % (r.choice([0x2001, 0x2A02, 0xFE80, 0xFD00, 0x2600]) + r.randrange(4)), *("%x" % r.choice([r.randrange(65536), r.randrange(16)]) for _ in range(r.randint(0, 3)))]
+            right = ["%x" % r.choice([r.randrange(65536), r.randrange(16)]) for _ in range(r.randint(1, 4))]
+            x = ":".join(left) + "::" + ":".join(right)
+            out.append(say("", "host", "ip", "server", "ping") + " " + x)
+            real.append(("ip", x))
         elif what in (3, 4):
             x = _check_digit(say("34", "37") + _digits(r, 12)) if r.random() < 0.4 else _check_digit("4" + _digits(r, 14)) if r.random() < 0.8 else _check_digit("4" + _digits(r, 11))
             x = _grouped(x, say(".", " - ", "/", "_")) if len(x) == 16 else x
@@ -73,6 +79,7 @@ def sample(r: random.Random) -> tuple[str, list[tuple[str, str]]]:
                     f"{_word(r)} @ {_word(r)}.{_word(r)}",
                     f"price @ {_digits(r, 2)}.{_digits(r, 2)}",
                     f"{_digits(r, 2)}:{_digits(r, 2)}:{_digits(r, 2)}:{_digits(r, 2)}",
+                    say("a::b", "::", f"{_digits(r, 1)}::{_digits(r, 1)}", f"{_digits(r, 2)}::{_digits(r, 2)}", "f::c", "::a", "d::", f"ab::{_digits(r, 1)}"),
                     ":".join("%02x" % r.randrange(256) for _ in range(6)),
                     f"order {_digits(r, 3)} {_digits(r, 3)} {_digits(r, 4)}",
                     f"{_digits(r, 16)}",
