@@ -6,12 +6,15 @@ both. The normalised difference (bad - good) / (bad + good) of the summed sizes,
 length, goes through a logistic calibration fitted on labelled texts that the dictionaries have not seen.
 
 Fitting uses a bounded sample: at most SAMPLE_ROWS labelled texts of each class, those of least key hash among
-texts of at most SAMPLE_TEXT bytes. Scoring covers every row and whole texts, in place, without a shuffle.
+texts of at most SAMPLE_TEXT bytes. Of two thirds of them, cut in blocks, at most DICTIONARY_BLOCKS blocks in random
+order train a class's dictionary; where these are too few or too alike for zstandard's training, the blocks
+themselves, up to DICTIONARY_BYTES, are the dictionary's content. The other third fits the calibration. Scoring covers
+every row and whole texts, in place, without a shuffle.
 
 Defined results: a null text scores as an empty one, an empty text gets the calibration's value for an empty
 block; repeated rows score alike; if one class has no labelled text, every score is the smoothed share of good
 labels, (good + 1) / (good + bad + 2); labels of 0/1 other than those or null are ignored, as are labels without a
-document; other columns stay, but those named like an output column are replaced.
+document; other columns stay, but one named like the output column is replaced (out gives the score another name).
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import read, ship, trim, widened
+from tidewell.llm.common import fresh, read, ship, trim, widened
 
 BLOCK = 2048
 LEVEL = 3
@@ -46,7 +49,7 @@ def dictionary(texts: list[bytes], order: np.random.RandomState) -> bytes:
     parts = parts[:DICTIONARY_BLOCKS]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes()
-    except zstandard.ZstdError:  # too few samples: their own bytes serve
+    except zstandard.ZstdError:  # too few or too alike: raw content serves
         return b"".join(parts)[:DICTIONARY_BYTES]
 
 
@@ -128,10 +131,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
     return fit(rows)
 
 
-def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
-    """docs with score (0 to 1) for each row's whole text."""
+def score_quality(docs: DataFrame, model: QualityModel, text: str = "text", out: str = "score") -> DataFrame:
+    """docs with a score (0 to 1) for each row's whole text."""
     ship(docs.sparkSession)
-    docs = docs.drop("score")
+    docs = docs.drop(out)
     at = docs.columns.index(text)
 
     def score(batches):
@@ -139,19 +142,20 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> D
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 texts = [b or b"" for b in part.column(at).cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.score(texts), pa.float64())], names=[*part.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.score(texts), pa.float64())], names=[*part.schema.names, out])
         trim()
 
-    return docs.mapInArrow(score, widened(docs, score="double"))
+    return docs.mapInArrow(score, widened(docs, **{out: "double"}))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = score_quality(docs, fit_quality(docs, read(spark, sf_dir, "labels")))
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    scored = score_quality(docs, fit_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")))
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents scored below the threshold are removed."""
     model = fit_quality(docs, read(spark, sf_dir, "labels"))
-    return score_quality(docs, model).where(F.col("score") >= THRESHOLD).select(docs.columns)
+    (score,) = fresh(docs, "score")
+    return score_quality(docs, model, out=score).where(F.col(score) >= THRESHOLD).select(docs.columns)
