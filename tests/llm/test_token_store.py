@@ -7,6 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import public_tokenizers
+from tokenizers import Tokenizer
+
 from tidewell.llm import token_store as ts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,9 +26,11 @@ def test_chunks_encode_like_the_library(texts):
     assert encoded(texts) == ENCODER.library(texts)
 
 
-def test_special_strings_are_ordinary_text():
-    texts = ["<|endoftext|> a <|endoftext|>", "it's I'll ' s", ""]
-    assert encoded(texts) == ENCODER.library(texts)
+def test_special_strings_like_the_bare_library():
+    texts = ["a <|endoftext|> b", "<|endoftext|> a <|endoftext|>", "x<|endoftext|>", "it's I'll ' s", ""]
+    bare = Tokenizer.from_file(PATH)
+    assert encoded(texts) == [np.array(bare.encode(t, add_special_tokens=False).ids, ENCODER.type).tobytes() for t in texts]
+    assert bare.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 64, 65, 5000])
@@ -55,5 +59,30 @@ def test_empty_table(spark, docs, tmp_path):
     assert ts.read_store(spark, store).count() == 0
 
 
-def test_query(spark):
-    assert ts.op1_token_store(spark, "/root/testdata/sf0.001").count() == 200
+@pytest.mark.parametrize("rows", [200, 20_000])
+def test_lookups_read_a_few_entries(spark, tmp_path, rows):
+    store = ts.write_store(spark.range(rows).selectExpr("id * 3 AS doc_id", "concat('text ', id) AS text"), f"file://{tmp_path}/store", PATH, shards=2)
+    for key in (0, 3, 3 * (rows // 2), 3 * rows - 3):
+        (ids,) = store.get(key)
+        assert ids.tolist() == ENCODER.lib.encode(f"text {key // 3}", add_special_tokens=False).ids + [0]
+    assert store.get(4) == [] and store.get(-1) == [] and store.get(3 * rows) == []
+    assert store.bytes_read < 7 * 1000  # a shard's index has 40 bytes and more a row
+
+
+def test_a_key_of_many_equal_rows_is_spread(spark, tmp_path):
+    df = spark.range(3000).selectExpr("if(id < 2000, 7, id) AS doc_id", "if(id < 2000, 'same text', concat('t', id)) AS text").repartition(4)
+    store = ts.write_store(df, f"file://{tmp_path}/store", PATH, shards=6)
+    assert max(s["rows"] for s in store.shards) < 1500
+    assert len(store.get(7)) == 2000 and len(store.get(2500)) == 1
+    got = ts.read_store(spark, store)
+    assert got.count() == 3000 and got.where("doc_id = 7").count() == 2000
+
+
+def test_query_like_the_library(spark):
+    sf = "/root/testdata/sf0.001"
+    lib, start, expected = Tokenizer.from_file(PATH), 0, []
+    for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect():
+        ids = np.array(lib.encode(r.text or "", add_special_tokens=False).ids + [0], "<u4")
+        expected.append((r.doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert [tuple(r)[:4] for r in ts.op1_token_store(spark, sf).orderBy("doc_id").collect()] == expected

@@ -4,21 +4,24 @@ Layout of a store (one folder in the shared file system):
 
 - ``shard-NNNNN.bin``: magic, then the ids of the shard's rows one after another, little-endian unsigned,
   2 bytes each where the vocabulary allows it, else 4;
-- ``shard-NNNNN.idx``: the rows' keys and token offsets, and a minimal perfect hash of the distinct keys whose
-  slots hold (fingerprint, first row, number of rows);
+- ``shard-NNNNN.idx``: the rows' keys and token offsets, and a minimal perfect hash of the distinct keys (its bits
+  and their running counts) whose slots hold (fingerprint, first row, number of rows);
 - ``manifest.json``: per shard its key range, rows and tokens, and the tokens before it.
 
-Shards are key ranges, so ids lie in ascending key order over the whole store. A lookup finds the shard by the
-key ranges in the manifest, one hash slot, one fingerprint and one slice; absent keys are refused by the
-fingerprint (1 in 2**32 pass) and then by the stored key.
+Shards are key ranges, so ids lie in ascending key order over the whole store. A lookup bisects the key ranges in
+the manifest and reads a few fixed-size entries of the index (about two words of the hash, one slot, one key, two
+offsets), then the row's own ids, whatever the size of the shard; absent keys are refused by the fingerprint
+(1 in 2**32 pass) and then by the stored key.
 
 Texts are cut before single spaces. The pre-tokenizer of byte-level BPE never looks across such a border, so
 distinct chunks are encoded once by the library and their ids are joined; texts with other white space than
-single spaces and line ends go to the library whole.
+single spaces and line ends, and those that hold an added token of the tokenizer, go to the library whole.
 
-Defined results: a null text is an empty one (end id only); a null key sorts first and is not indexed; repeated
-keys keep all their rows (a lookup returns each of them); equal keys with different texts follow the text's hash;
-an empty table gives an empty store; other columns of the input are ignored.
+Defined results: a null text is an empty one (end id only); the string of an added token in a text becomes that
+token, as the library has it unless told otherwise; a null key sorts first and is not indexed; repeated keys keep
+all their rows (a lookup returns each of them); equal keys with different texts follow the text's hash, and a key of
+very many rows, alike or not, spreads over several shards; an empty table gives an empty store; other columns of the
+input are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ import re
 import uuid
 import zlib
 from array import array
+from bisect import bisect_left
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +41,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import read, shared_dir, ship, trim
+from tidewell.llm.common import read, shared_files, ship, trim
 
-MAGIC = b"TWTOK001"
+MAGIC = b"TWTOK002"
+SLOT = np.dtype([("print", "<u4"), ("first", "<u4"), ("count", "<u4")])
 LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 BORDER = "\r"  # set between chunks, so texts with it go to the library whole
 # texts that go to the library whole: with other white space than single spaces inside and line ends
@@ -57,27 +63,39 @@ class ChunkEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
-        self.type = np.dtype("<u2") if self.lib.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.path, self.plain = path, Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True  # for texts without added tokens: it doesn't look for them, so it is faster
+        self.type = np.dtype("<u2") if self.plain.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.added = [t.content for t in self.plain.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
         self.marks = dict(zip(".,", self.library([".", ","]), strict=True))
         (self.line,) = self.library(["\n"])
-        (self.border,) = self.lib.encode(BORDER, add_special_tokens=False).ids
+        (self.border,) = self.plain.encode(BORDER, add_special_tokens=False).ids
+
+    @cached_property
+    def lib(self):
+        """The library as it is, for texts that hold an added token."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def library(self, texts: list[str]) -> list[bytes]:
-        return [array(self.type.char, e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        """The library's own ids of each text."""
+        coded = self.plain.encode_batch_fast(texts, add_special_tokens=False)
+        for i in [i for i, t in enumerate(texts) if any(a in t for a in self.added)]:
+            coded[i] = self.lib.encode(texts[i], add_special_tokens=False)
+        return [array(self.type.char, e.ids).tobytes() for e in coded]
 
     def chunks(self, texts: list[str]) -> list[bytes]:
-        """Many short texts that neither begin nor end with white space (but for one space before) nor hold BORDER.
+        """Many short texts that neither begin nor end with white space (but for one space before) nor hold BORDER or an added token.
 
         They go to the library as one text, between BORDER characters, which stay tokens of their own.
         """
         out = []
         for at in range(0, len(texts), 8192):
             some = texts[at : at + 8192]
-            ids = np.array(self.lib.encode_batch_fast([BORDER.join(some)], add_special_tokens=False)[0].ids, self.type)
+            ids = np.array(self.plain.encode_batch_fast([BORDER.join(some)], add_special_tokens=False)[0].ids, self.type)
             cuts = np.flatnonzero(ids == self.border)
             if len(cuts) != len(some) - 1:
                 raise AssertionError("a chunk border was not kept")
@@ -92,7 +110,9 @@ class ChunkEncoder:
         so these are taken apart before the library sees them; only the parts are remembered.
         """
         known, heads, marks = self.known, self.heads, self.marks
-        new = [w for w in words if w not in known]
+        found = list(map(known.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        new = [words[i] for i in missing]
         lines, marked, parts = {}, {}, {}
         for w in new:
             if "\n" in w and "\t" not in w:
@@ -122,12 +142,17 @@ class ChunkEncoder:
         own = {w: known[base] + marks[w[-1]] for w, base in marked.items()}
         for w, p in lines.items():
             own[w] = self.line.join([own.get(p[0]) or known[p[0]], *(heads[x] for x in p[1:])])
-        return [known.get(w) or own[w] for w in words]
+        for i, w in zip(missing, new, strict=True):
+            found[i] = own.get(w) or known[w]
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a column after one another, and how many each has. Null texts have none."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        odd = pc.match_substring_regex(texts, ODD_TEXT).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, ODD_TEXT)
+        for token in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        odd = odd.to_numpy(zero_copy_only=False)
         parts = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
         coded = parts.values.dictionary_encode()
         pieces = self._words(coded.dictionary.to_pylist())
@@ -170,7 +195,7 @@ class PerfectHash:
         self.sizes, self.bits = sizes, bits
         self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         per = np.unpackbits(bits).reshape(-1, 64).sum(1) if len(bits) else np.zeros(0, np.int64)
-        self.before = np.concatenate([[0], np.cumsum(per)]).astype(np.int64)
+        self.before = np.concatenate([[0], np.cumsum(per)]).astype("<i8")
 
     @classmethod
     def build(cls, keys: np.ndarray) -> PerfectHash:
@@ -211,15 +236,15 @@ def pack_index(keys: np.ndarray, nulls: int, lengths: np.ndarray, width: int) ->
     distinct, first, count = np.unique(own, return_index=True, return_counts=True)
     mph = PerfectHash.build(distinct)
     slots = mph.slots(distinct)
-    table = np.zeros(len(distinct), np.dtype([("print", "<u4"), ("first", "<u4"), ("count", "<u4")]))
+    table = np.zeros(len(distinct), SLOT)
     table["print"][slots], table["first"][slots], table["count"][slots] = fingerprint(distinct), first + nulls, count
     head = json.dumps({"rows": len(keys), "nulls": int(nulls), "width": width, "sizes": mph.sizes}).encode()
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("<i8")
-    return b"".join([MAGIC, np.uint32(len(head)).tobytes(), head, keys.astype("<i8").tobytes(), offsets.tobytes(), mph.bits.tobytes(), table.tobytes()])
+    return b"".join([MAGIC, np.uint32(len(head)).tobytes(), head, keys.astype("<i8").tobytes(), offsets.tobytes(), mph.bits.tobytes(), mph.before.tobytes(), table.tobytes()])
 
 
 class Shard:
-    """One shard, opened for keyed access."""
+    """One shard as a whole, for a scan of its rows."""
 
     def __init__(self, index: bytes, payload: bytes | memoryview):
         if index[:8] != MAGIC or bytes(payload[:8]) != MAGIC:
@@ -232,7 +257,7 @@ class Shard:
         at += 8 * (2 * rows + 1)
         bits = np.frombuffer(index, np.uint8, sum(head["sizes"]) // 8, at)
         self.mph = PerfectHash(head["sizes"], bits)
-        self.table = np.frombuffer(index, np.dtype([("print", "<u4"), ("first", "<u4"), ("count", "<u4")]), -1, at + len(bits))
+        self.table = np.frombuffer(index, SLOT, -1, at + len(bits) + 8 * (len(bits) // 8 + 1))
         self.ids = np.frombuffer(payload, f"<u{head['width']}", -1, 8)
 
     def locate(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -248,9 +273,59 @@ class Shard:
     def row(self, i: int) -> np.ndarray:
         return self.ids[self.offsets[i] : self.offsets[i + 1]]
 
+
+class KeyedShard:
+    """One shard opened for lookups, which read fixed-size entries by their places and never a whole file."""
+
+    def __init__(self, fs, path: str):
+        self.index, self.payload, self.bytes_read = fs.open_input_file(f"{path}.idx"), fs.open_input_file(f"{path}.bin"), 0
+        start = self._read(self.index, 0, 12)
+        if start[:8] != MAGIC or self._read(self.payload, 0, 8) != MAGIC:
+            raise ValueError("not a token store shard")
+        n = int.from_bytes(start[8:], "little")
+        head = json.loads(self._read(self.index, 12, n))
+        self.sizes, self.width = head["sizes"], head["width"]
+        self.keys = 12 + n
+        self.offsets = self.keys + 8 * head["rows"]
+        self.bits = self.offsets + 8 * (head["rows"] + 1)
+        words = sum(self.sizes) // 64
+        self.before = self.bits + 8 * words
+        self.table = self.before + 8 * (words + 1)
+
+    def _read(self, file, at: int, n: int) -> bytes:
+        file.seek(at)
+        self.bytes_read += n
+        return file.read(n)
+
+    def _numbers(self, file, at: int, n: int, kind: str) -> np.ndarray:
+        return np.frombuffer(self._read(file, at, n * np.dtype(kind).itemsize), kind)
+
+    def _slot(self, key: np.ndarray) -> int | None:
+        start = 0
+        for level, size in enumerate(self.sizes):
+            at = start + int(mixed(key, level)[0] % np.uint64(size))
+            bits = np.unpackbits(self._numbers(self.index, self.bits + 8 * (at // 64), 8, "u1"))
+            if bits[at % 64]:
+                return int(self._numbers(self.index, self.before + 8 * (at // 64), 1, "<i8")[0]) + int(bits[: at % 64].sum())
+            start += size
+        return None
+
     def get(self, key: int) -> list[np.ndarray]:
-        first, count = self.locate(np.array([key], np.int64))
-        return [self.row(i) for i in range(first[0], first[0] + count[0])]
+        own = np.array([key], np.int64)
+        slot = self._slot(own)
+        if slot is None:
+            return []
+        entry = np.frombuffer(self._read(self.index, self.table + SLOT.itemsize * slot, SLOT.itemsize), SLOT)[0]
+        first, count = int(entry["first"]), int(entry["count"])
+        if entry["print"] != fingerprint(own)[0] or self._numbers(self.index, self.keys + 8 * first, 1, "<i8")[0] != key:
+            return []
+        at = self._numbers(self.index, self.offsets + 8 * first, count + 1, "<i8")
+        ids = self._numbers(self.payload, 8 + self.width * int(at[0]), int(at[-1] - at[0]), f"<u{self.width}")
+        return np.split(ids, (at[1:-1] - at[0]).tolist())
+
+    def close(self) -> None:
+        self.index.close()
+        self.payload.close()
 
 
 def _fs(uri: str):
@@ -284,6 +359,9 @@ class TokenStore:
             with self.fs.open_input_stream(f"{self.path}/manifest.json") as f:
                 manifest = json.loads(f.read())
         self.shards = manifest["shards"]
+        keyed = [s for s in self.shards if s["low"] is not None]
+        self.numbers, self.lows, self.highs = ([s[k] for s in keyed] for k in ("shard", "low", "high"))
+        self.bytes_read = 0
 
     def shard(self, number: int) -> Shard:
         read = []
@@ -294,7 +372,14 @@ class TokenStore:
 
     def get(self, key: int) -> list[np.ndarray]:
         """The ids of every row with this key, in store order."""
-        return [ids for s in self.shards if s["low"] is not None and s["low"] <= key <= s["high"] for ids in self.shard(s["shard"]).get(key)]
+        found, at = [], bisect_left(self.highs, key)
+        while at < len(self.lows) and self.lows[at] <= key:  # several shards only for a key that was spread
+            shard = KeyedShard(self.fs, f"{self.path}/shard-{self.numbers[at]:05d}")
+            found += shard.get(key)
+            self.bytes_read += shard.bytes_read
+            shard.close()
+            at += 1
+        return found
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -313,13 +398,14 @@ def write_store(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 0, shar
     ship(spark)
     fs, path = _fs(uri)
     fs.create_dir(path, recursive=True)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # equal rows differ by their place only, so that a key of very many can be spread
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.monotonically_increasing_id(), F.lit(4096)).alias("tie"))
     if shards is None:
         from tidewell.llm.common import row_bytes
 
         shards = max(spark.sparkContext.defaultParallelism, min(400_000, row_bytes(docs, "text") // SHARD_BYTES))
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
-    placed = docs.repartitionByRange(shards, *order[:2]).sortWithinPartitions(*order)
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("tie")]
+    placed = docs.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches):
         encoder = _encoder(tokenizer)
@@ -395,5 +481,5 @@ def read_store(spark: SparkSession, store: TokenStore) -> DataFrame:
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    store = write_store(read(spark, sf_dir, "documents"), f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}", public_tokenizers.path("byte_bpe_50k.json"))
+    store = write_store(read(spark, sf_dir, "documents"), shared_files(spark, "tokens"), public_tokenizers.path("byte_bpe_50k.json"))
     return read_store(spark, store)
