@@ -12,22 +12,26 @@ both (sketches merge), and equal registers tell similarity. Work is done on clas
 3. a pair is dropped if, given its registers and set sizes, a similarity over the threshold is less likely than
    the best one by a factor of exp(-LIKELIHOOD); others are confirmed on their full sets, made from the texts.
 
-A pair at the threshold misses all bands with probability 4e-7.
+A pair at the threshold misses all bands with probability 4e-7. Buckets and pivots of many members are dealt out in
+joins (salted_join), so none comes to one task.
 
 Defined results: null or wordless texts have empty sets and link with nothing; texts of one to four words have
 their whole sequence as one shingle; repeated rows are copies of each other; rows without doc_id take part, but
 never name a component (a group without ids has a null component_id, and its rows count as kept); an empty table
-gives an empty result; other columns are ignored.
+gives an empty result; other columns are ignored. stays marks the rows of the one document of each group that the
+pipeline keeps: that of least id (none last), then of least text hash; rows without words all stay.
 """
 
 from __future__ import annotations
 
+import atexit
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import Scratch, groups_of, read, ship, sized_join, trim
+from tidewell.llm.common import Scratch, fresh, groups_of, read, salted_join, ship, sized_join, trim
 from tidewell.llm.components import components
 from tidewell.llm.words import WordHasher, grams, splitmix
 
@@ -132,10 +136,10 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(sketch, "doc_id long, text_key long, n_shingles long, k binary, sig binary")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Those of pairs(a, b) whose sketches don't rule a link out."""
-    for end in ("b", "a"):
-        pairs = pairs.join(classes.select(F.col("k").alias(end), F.col("n").alias(f"n_{end}"), F.col("sig").alias(f"sig_{end}")), end)
+def _likely(pairs: DataFrame, classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """Those of pairs(a, b), a written table, whose sketches don't rule a link out."""
+    a, b = (classes.select(F.col("k").alias(end), F.col("n").alias(f"n_{end}"), F.col("sig").alias(f"sig_{end}")) for end in ("a", "b"))
+    pairs = salted_join(pairs, a, "a", scratch, lambda df: df.join(b, "b"))
 
     def judge(batches):
         for batch in batches:
@@ -149,10 +153,10 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
     return pairs.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(judge, "a binary, b binary")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Those of pairs(a, b) whose full sets are similar enough: 100 * both >= percent * any."""
-    for end in ("b", "a"):
-        pairs = pairs.join(texts.withColumnsRenamed({"k": end, "text": f"text_{end}"}), end)
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Those of pairs(a, b), a written table, whose full sets are similar enough: 100 * both >= percent * any."""
+    a, b = (texts.withColumnsRenamed({"k": end, "text": f"text_{end}"}) for end in ("a", "b"))
+    pairs = salted_join(pairs, a, "a", scratch, lambda df: df.join(b, "b"))
 
     def check(batches):
         hasher, last = spaced_words(), (None, None)
@@ -176,26 +180,25 @@ def _class_links(docs: DataFrame, classes: DataFrame, percent: int, scratch: Scr
     """(node, root) over the classes that have links."""
     places = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("sig", i * (2 * ROWS) + 1, F.lit(2 * ROWS)))))
     members = classes.select("k", places.alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = scratch.keep(members.join(shared, "bucket"))
+    # each bucket's least member (a) meets all others
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("k").alias("a")).where("n > 1")
+    members = scratch.keep(salted_join(members, scratch.keep(shared.select("bucket", "a")), "bucket", scratch))
     wanted = scratch.keep(members.select("k").distinct().join(classes.select("k", "one.doc_id", "one.text_key"), "k"))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"), "text")
     texts = sized_join(rows, wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")), "inner")
     texts = scratch.keep(_own_texts(texts.select("k", "text")).dropDuplicates(["k"]))
-    # each bucket's least member meets all others
-    pivots = members.groupBy("bucket").agg(F.min("k").alias("a"))
-    pairs = members.withColumnRenamed("k", "b").join(pivots, "bucket").where("a != b").select("a", "b").distinct()
-    links = scratch.keep(_confirmed(scratch.keep(_likely(pairs, classes, percent / 100)), texts, percent))
+    pairs = scratch.keep(members.withColumnRenamed("k", "b").where("a != b").select("a", "b").distinct())
+    links = scratch.keep(_confirmed(scratch.keep(_likely(pairs, classes, percent / 100, scratch)), texts, percent, scratch))
     found = components(links, scratch)
     # what is left: buckets with members of several components
-    named = members.join(pivots, "bucket").where("k != a").join(found.withColumnRenamed("node", "k"), "k", "left").select("bucket", "k", F.coalesce("root", "k").alias("root"))
+    named = members.where("k != a").join(found.withColumnRenamed("node", "k"), "k", "left").select("bucket", "k", F.coalesce("root", "k").alias("root"))
     named = scratch.keep(named)
     live = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket", "n")
-    named = scratch.keep(named.join(live, "bucket"))
+    named = scratch.keep(salted_join(named, scratch.keep(live), "bucket", scratch))
     small, large = named.where(F.col("n") <= SMALL), named.where(F.col("n") > SMALL)
     other = small.select("bucket", F.col("k").alias("b"), F.col("root").alias("root_b"))
-    pairs = small.withColumnRenamed("k", "a").join(other, "bucket").where("a < b and root != root_b").select("a", "b").distinct()
-    more = scratch.keep(_confirmed(scratch.keep(_likely(pairs, classes, percent / 100)), texts, percent))
+    pairs = scratch.keep(small.withColumnRenamed("k", "a").join(other, "bucket").where("a < b and root != root_b").select("a", "b").distinct())
+    more = scratch.keep(_confirmed(scratch.keep(_likely(pairs, classes, percent / 100, scratch)), texts, percent, scratch))
     links = links.unionByName(more)
     if large.head(1):
         links = links.unionByName(_family_links(large, texts, percent, scratch))
@@ -233,7 +236,7 @@ def _family_links(members: DataFrame, texts: DataFrame, percent: int, scratch: S
     whose full sets are intersected as bit rows. A block gives a row per class at most, no pairs.
     """
     hubs = members.groupBy("bucket").agg(F.min("k").alias("b"))
-    family = components(members.join(hubs, "bucket").select(F.col("k").alias("a"), "b"), scratch)
+    family = components(salted_join(members, scratch.keep(hubs), "bucket", scratch).select(F.col("k").alias("a"), "b"), scratch)
     info = members.select("k", "root").distinct().join(family.select(F.col("node").alias("k"), F.xxhash64("root").alias("family")), "k")
     info = scratch.keep(info)
     sizes = info.groupBy("family", "root").agg(F.count("*").alias("c")).groupBy("family").agg(F.sum("c").alias("all"), F.max(F.struct("c", "root")).alias("m"))
@@ -277,41 +280,40 @@ def _own_texts(rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """(doc_id, text_key, n_shingles, component_id, kept) per row of docs(doc_id, text)."""
+    """(doc_id, text_key, n_shingles, component_id, kept, stays) per row of docs(doc_id, text)."""
     scratch = Scratch(docs.sparkSession)
     rows = scratch.keep(sketch_documents(docs))
     classes = scratch.keep(rows.where("k is not null").groupBy("k").agg(F.min("doc_id").alias("low"), F.max("n_shingles").alias("n"), F.max("sig").alias("sig"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("one")))
     found = _class_links(docs, classes, percent, scratch)
-    named = classes.select("k", "low")
-    if found is not None:
-        named = named.join(found.withColumnRenamed("node", "k"), "k", "left").select("k", "low", F.coalesce("root", "k").alias("root"))
-        least = named.groupBy("root").agg(F.min("low").alias("component_id"))
-        named = named.join(least, "root").select("k", "component_id")
-    else:
-        named = named.withColumnRenamed("low", "component_id")
+    named = classes.select("k", "low", "one").join(found.withColumnRenamed("node", "k"), "k", "left").select("k", "low", "one", F.coalesce("root", "k").alias("root"))
+    least = named.groupBy("root").agg(F.min("low").alias("component_id"), F.min("one").alias("one"))
+    named = named.select("k", "root").join(least, "root").select("k", "component_id", "one")
     out = rows.drop("sig").join(named, "k", "left")
     component = F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    stays = F.col("k").isNull() | (F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (F.col("text_key") == F.col("one.text_key")))
+    out = out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), stays.alias("stays"))
     return scratch.final(out)
 
 
 def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents")).drop("text_key")
+    return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text")).drop("text_key", "stays")
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near-duplicates the document of least id stays, of repeated rows one."""
+    """Pipeline stage: one document of each group of near-duplicates stays (see stays above), of repeated rows one."""
     scratch = Scratch(spark)
+    atexit.register(scratch.quietly_drop)  # the result still reads its tables
     found = near_duplicates(docs)
-    gone = scratch.keep(found.where("not kept").select("doc_id", "text_key").distinct())
-    twice = scratch.keep(found.where("kept").groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"))
-    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    gone = scratch.keep(found.where("not stays").select("doc_id", "text_key").distinct())
+    twice = scratch.keep(found.where("stays").groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"))
+    own, other, key = fresh(docs, "own_key", "other_id", "other_key")
+    keyed = docs.withColumn(own, F.xxhash64("text"))
 
     def among(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-        keys = keys.withColumnsRenamed({"doc_id": "other_id", "text_key": "other_key"})
-        return sized_join(rows, keys, F.col("doc_id").eqNullSafe(F.col("other_id")) & (F.col("text_key") == F.col("other_key")), how)
+        keys = keys.toDF(other, key)
+        return sized_join(rows, keys, rows["doc_id"].cast("long").eqNullSafe(keys[other]) & (rows[own] == keys[key]), how)
 
     left = among(keyed, gone, "left_anti")
     if twice.head(1):
-        left = among(left, twice, "left_anti").unionByName(among(left, twice, "left_semi").dropDuplicates(["doc_id", "text_key"]))
+        left = among(left, twice, "left_anti").unionByName(among(left, twice, "left_semi").dropDuplicates(["doc_id", own]))
     return left.select(docs.columns)
