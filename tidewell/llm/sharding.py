@@ -4,7 +4,8 @@ Nodes carry a label (their shard). In each round, a Spark join brings the labels
 of the nodes, chosen by a hash, may ask for the label that most of its links have. Requests are granted per pair of
 labels up to the free capacity of the label asked for (and SLACK more, without which full labels could not swap), so
 no label grows over its quota; what is granted is decided
-on sums over at most labels**2 * BINS cells, whatever the size of the graph. Rounds end when nothing moves.
+on sums over at most labels**2 * BINS cells, whatever the size of the graph. Rounds end when two in a row move less
+than the share LEAST of all weight.
 
 Documents of equal text are linked through a node of their own for the text. Those of one text and one first shard
 act as one node with their number as its weight, so a text of any number of copies is at most as many nodes as there
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import Scratch, read, ship, sized_join
 
-SHARDS, ROUNDS, BINS, SLACK = 8, 12, 64, 0.03
+SHARDS, ROUNDS, BINS, SLACK, LEAST = 8, 12, 64, 0.03, 0.005
 
 
 def propagate(nodes: DataFrame, links: DataFrame, labels: int, capacity: int, scratch: Scratch, rounds: int = ROUNDS) -> DataFrame:
@@ -45,13 +46,14 @@ def propagate(nodes: DataFrame, links: DataFrame, labels: int, capacity: int, sc
         load = np.zeros(labels, np.int64)
         for c in cells:
             load[c.label] += c.w
-        granted, open_cells = [], sorted((c for c in cells if c.label != c.goal), key=lambda c: (c.bin, c.label, c.goal))
+        granted, moved, open_cells = [], 0, sorted((c for c in cells if c.label != c.goal), key=lambda c: (c.bin, c.label, c.goal))
         while True:  # what leaves a label makes room for others, so the refused are looked at again
             refused = []
             for c in open_cells:
                 if load[c.goal] + c.w <= capacity * (1 + SLACK):
                     load[c.goal] += c.w
                     load[c.label] -= c.w
+                    moved += c.w
                     granted.append((c.label, c.goal, c.bin))
                 else:
                     refused.append(c)
@@ -65,10 +67,11 @@ def propagate(nodes: DataFrame, links: DataFrame, labels: int, capacity: int, sc
             if back and load[c.goal] + d <= most and load[c.label] - d <= most:
                 load[c.goal] += d
                 load[c.label] -= d
+                moved += c.w + back[0].w
                 granted += [(x.label, x.goal, x.bin) for x in (c, back.pop(0))]
             else:
                 waiting.setdefault((c.label, c.goal), []).append(c)
-        quiet = quiet + 1 if not granted else 0
+        quiet = quiet + 1 if moved <= LEAST * load.sum() else 0
         if granted:
             moves = scratch.spark.createDataFrame(granted, "label int, goal int, bin int").withColumn("moves", F.lit(True))
             nodes = scratch.keep(asked.join(F.broadcast(moves), ["label", "goal", "bin"], "left").select("id", "weight", F.when(F.col("moves"), F.col("goal")).otherwise(F.col("label")).alias("label")))
