@@ -82,7 +82,8 @@ def test_leaks_like_brute_force(spark, docs, odd_rows, monkeypatch, block_bytes)
     word = lambda: r.choice("abcdefg") + str(r.randrange(40))
     items = [(i, " ".join(word() for _ in range(r.randrange(10, 40)))) for i in range(30)] + [(31, "short one"), (32, None), (33, "!!"), (1, "same id with other words in it altogether here now yes"), (None, "an item without an id but with more than ten words in it")]
     items += [(40, "the the the the the the the the the the the")]
-    rows = list(odd_rows) + [(200, "a short, ONE here"), (201, "the " * 300)]
+    items = [(str(i) if i is not None else None, t) for i, t in items] + [("a\0b", "name with a zero byte"), ("", "the item of an empty name")]
+    rows = list(odd_rows) + [(200, "a short, ONE here"), (201, "the " * 300), (202, "is THE item of an empty name here"), (203, "name with a zero byte")]
     for i in range(60):
         text = [word() for _ in range(60)]
         if i % 2:
@@ -90,7 +91,7 @@ def test_leaks_like_brute_force(spark, docs, odd_rows, monkeypatch, block_bytes)
             a = r.randrange(len(part) - 8)
             text[20:30] = part[a : a + r.randrange(8, 15)]
         rows.append((300 + i, " ".join(text)))
-    bench = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, n_hit int")
+    bench = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id string, text string, n_hit int")
     got = dc.find_leaks(docs(rows), bench)
     key = lambda x: (x[0] is not None, x[0] or 0, x[1:])
     assert sorted([(x.doc_id, x.n_words, x.n_hit, x["items"]) for x in got.collect()], key=key) == sorted(brute_leaks(rows, items), key=key)
@@ -152,19 +153,44 @@ def test_quality_of_odd_rows(spark, docs, odd_rows):
     assert ql.score_quality(docs([(1, "a")]), none).first().score == 0.5
 
 
+def test_quality_features_like_separate_compressions(spark):
+    """Sizes by new compressors for each block, the score by the formula."""
+    import zstandard
+
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = ql.fit_quality(docs, labels)
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+
+    def size(text, raw):
+        parts = [text[i : i + 2048] for i in range(0, len(text), 2048)] or [b""]
+        new = lambda: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(raw), write_content_size=False, write_checksum=False, write_dict_id=False)
+        return sum(len(new().compress(p)) for p in parts)
+
+    for r in ql.score_quality(docs.select("doc_id", "text").where("doc_id % 40 = 0"), model).collect():
+        t = texts[r.doc_id]
+        good, bad, n = size(t, model.good), size(t, model.bad), max(len(t), 1)
+        d, g, b, long = 10 * (bad - good) / max(bad + good, 1), min(good / n, 3), min(bad / n, 3), np.log1p(n) / 10
+        margin = np.dot([1, d, g, b, long, d * long, g * g, d * d, min(g, 0.3)], model.weights)
+        assert abs(r.score - 1 / (1 + np.exp(-np.clip(margin, -40, 40)))) < 1e-9
+
+
 # preference
 
 
 def test_preference_like_sql(spark):
-    rows = [(0, 0, "system", "s"), (0, 1, "user", "hi"), (0, 2, "assistant", "yes"), (1, 0, "system", "s"), (1, 1, "user", "hi"), (1, 2, "assistant", "no"), (1, 3, "user", None), (2, 0, "user", "alone"), (5, 0, None, "other side"), (6, 0, "user", "same"), (7, 0, "user", "same"), (8, 0, "user", "a"), (8, 0, "user", "a"), (9, 0, "user", "a")]
+    rows = [(0, 0, "system", "s"), (0, 1, "user", "hi"), (0, 2, "assistant", "yes"), (1, 0, "system", "s"), (1, 1, "user", "hi"), (1, 2, "assistant", "no"), (1, 3, "user", None), (2, 0, "user", "alone"), (5, 0, None, "other side"), (6, 0, "user", "same"), (7, 0, "user", "same"), (8, 0, "user", "a"), (8, 0, "user", "a"), (9, 0, "user", "a"), (10, None, "user", "no turn"), (11, 0, "assistant", "late"), (12, 5, "user", "u"), (12, 2000, "assistant", "far"), (13, 5, "user", "u"), (13, 2000, "assistant", "Ünlike 日")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("part", pf.F.lit("clash"))
     pairs = df.withColumn("pair_id", pf.F.floor(df.conv_id / 2).cast("long"))
     got = pf.preference_turns(pairs.where("conv_id % 2 = 0"), pairs.where("conv_id % 2 = 1"))
     con = duckdb.connect()
     con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
     con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
-    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, con.execute(pf.OP5_SQL).fetchall()))
-    row = pf.assembled(got).where("pair_id = 0").first()
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, con.execute(pf.TURNS_SQL).fetchall()))
+    text = lambda spans: ",".join(f"{s.start}-{s.end}" for s in spans)
+    pairs_found = [(*r[:5], text(r[5]), text(r[6])) for r in pf.preference_pairs(got).collect()]
+    assert sorted(map(repr, pairs_found)) == sorted(map(repr, con.execute(pf.OP5_SQL).fetchall()))
+    row = pf.preference_pairs(got).where("pair_id = 0").first()
     assert row.prompt == "<|system|>\ns<|end|>\n<|user|>\nhi<|end|>\n"
     assert [row.chosen[s.start : s.end] for s in row.chosen_trained] == ["yes<|end|>\n"]
     assert [row.rejected[s.start : s.end] for s in row.rejected_trained] == ["no<|end|>\n"]
@@ -172,6 +198,21 @@ def test_preference_like_sql(spark):
     assert {x.part for x in empty.collect()} == {"rejected"}
     lost = pf.preference_turns(pairs.withColumn("pair_id", pf.F.lit(None).cast("long")), pairs.limit(0))
     assert {(x.part, x.trained) for x in lost.collect()} == {("unpaired", False)}
+    assert pf.preference_pairs(lost).count() == df.count() and not any(x.chosen or x.rejected for x in pf.preference_pairs(lost).collect())
+    assert pf.preference_pairs(empty.limit(0)).count() == 0
+
+
+def test_turns_of_very_many_rows_are_not_joined_up(spark):
+    turns = spark.range(3000).selectExpr("0 AS pair_id", "0 AS conv_id", "if(id < 2000, 1, id) AS turn", "'assistant' AS role", "concat('t', id) AS text")
+    got = pf.preference_pairs(pf.preference_turns(turns, turns.limit(0)))
+    rows = got.collect()
+    assert len(rows) == 2000 + 2 and sum(len(r.chosen_trained) for r in rows) == 3000
+    assert all(r.chosen[s.start : s.end].endswith("<|end|>\n") for r in rows for s in r.chosen_trained)
+
+
+def test_preference_query_has_no_python(spark):
+    plan = pf.op5_preference(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 # shards
@@ -210,6 +251,68 @@ def test_propagation_cuts_fewer_links(spark):
     scratch.drop()
 
 
+def brute_propagation(nodes, links, labels, most, rounds, active, bins):
+    """By the rule, one node after the other: nodes id -> (weight, label)."""
+    at, quiet = {i: label for i, (_, label) in nodes.items()}, 0
+    for turn in range(rounds):
+        votes = defaultdict(Counter)
+        for a, b, w in links:
+            votes[a][at[b]] += w
+            votes[b][at[a]] += w
+        cells, goals = Counter(), {}
+        for i, (w, _) in nodes.items():
+            best = max(votes[i], key=lambda s: (votes[i][s], -s), default=at[i])  # noqa: B023
+            goals[i] = best if active[i, turn] and votes[i][best] > votes[i][at[i]] else at[i]
+            cells[bins[i, turn], at[i], goals[i]] += w
+        load, granted = Counter(), set()
+        for (_, label, _), w in cells.items():
+            load[label] += w
+        total, asked = sum(load.values()), sorted(c for c in cells if c[1] != c[2])
+        again = True
+        while again:
+            again = False
+            for c in [c for c in asked if c not in granted]:
+                if load[c[2]] + cells[c] <= most:
+                    load[c[2]] += cells[c]
+                    load[c[1]] -= cells[c]
+                    granted.add(c)
+                    again = True
+        left = []
+        for c in [c for c in asked if c not in granted]:
+            other = next((x for x in left if (x[1], x[2]) == (c[2], c[1])), None)
+            d = cells[c] - cells[other] if other else 0
+            if other and load[c[2]] + d <= most and load[c[1]] - d <= most:
+                load[c[2]] += d
+                load[c[1]] -= d
+                granted |= {c, other}
+                left.remove(other)
+            else:
+                left.append(c)
+        for i in at:
+            if (bins[i, turn], at[i], goals[i]) in granted:
+                at[i] = goals[i]
+        quiet = quiet + 1 if sum(cells[c] for c in granted) <= sh.LEAST * total else 0
+        if quiet == 2:
+            break
+    return at
+
+
+@pytest.mark.parametrize("capacity", [55, 70, 200])
+def test_propagation_like_brute_force(spark, capacity):
+    r = random.Random(capacity)
+    nodes = {f"n{i}": (r.randrange(1, 4), r.randrange(4)) for i in range(100)}
+    links = [(f"n{i}", f"n{j}", r.randrange(1, 3)) for g in range(12) for i in range(8 * g, 8 * g + 8) for j in range(8 * g, i)] + [(f"n{r.randrange(100)}", f"n{r.randrange(100)}", 1) for _ in range(30)]
+    links = [x for x in links if x[0] != x[1]]
+    df = spark.createDataFrame([(i, w, label) for i, (w, label) in nodes.items()], "id string, weight long, label int")
+    F = pf.F
+    marks = df.select("id", F.explode(F.sequence(F.lit(0), F.lit(sh.ROUNDS - 1))).alias("turn")).select("id", "turn", (F.pmod(F.xxhash64("id", "turn"), F.lit(2)) == 0).alias("active"), F.pmod(F.xxhash64("id", -F.col("turn")), F.lit(sh.BINS)).alias("bin")).collect()
+    active, bins = {(x.id, x.turn): x.active for x in marks}, {(x.id, x.turn): x.bin for x in marks}
+    scratch = Scratch(spark)
+    got = sh.propagate(df, spark.createDataFrame(links, "a string, b string, weight long"), 4, capacity, scratch)
+    assert {x.id: x.label for x in got.collect()} == brute_propagation(nodes, links, 4, capacity * (1 + sh.SLACK), sh.ROUNDS, active, bins)
+    scratch.drop()
+
+
 # pipeline
 
 
@@ -238,6 +341,58 @@ def test_pipeline_like_brute_force(spark):
     assert cp.STAGES[1][1](spark, documents.union(documents), SF).count() == cp.STAGES[1][1](spark, documents, SF).count()
 
 
+CLASHES = ["score", "SPANS", "items", "n_words", "n_hit", "text_key", "other_id", "other_key", "own_key", "k", "sig", "ids", "decoded", "n_tokens", "kept", "stays", "one", "__t", "__base", "__more", "__row", "__text", "__base_email", "__more_ip", "bucket", "root", "label"]
+
+
+def test_stages_keep_columns_of_clashing_names(spark):
+    import corpus_pipeline as cp
+
+    documents = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    more = documents.select("*", *(pf.F.concat(pf.F.lit(f"{c} of "), "doc_id").alias(c) for c in CLASHES))
+    for name, stage in cp.STAGES[:4]:
+        out = stage(spark, more, SF)
+        assert out.columns == more.columns, name
+        plain = {r.doc_id: r.text for r in stage(spark, documents, SF).collect()}
+        rows = out.collect()
+        assert {r.doc_id: r.text for r in rows} == plain
+        assert all(r[c] == f"{c} of {r.doc_id}" for r in rows for c in CLASHES)
+    assert cp.STAGES[4][1](spark, more, SF).count() == more.count()
+
+
+def test_stages_of_odd_rows_and_empty_tables(spark, docs, odd_rows):
+    import corpus_pipeline as cp
+
+    for rows in ([], odd_rows):
+        df = docs(rows)
+        for _, stage in cp.STAGES[:4]:
+            out = stage(spark, df, SF)
+            assert out.columns == df.columns and out.count() <= len(rows)
+        assert cp.STAGES[4][1](spark, df, SF).count() == len(rows)
+
+
+def test_one_document_of_each_group_stays(spark, docs):
+    """Also where ids are missing or repeated."""
+    from tidewell.llm.near_dups import near_dup_stage
+
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, words), (None, words + " end"), (None, words), (5, "another text of more than five words"), (5, "Another text of more than five words"), (5, "another text of more than five words now"), (7, ""), (8, None), (9, "lonely text without any copy at all")]
+    rows += [(3, " ".join(f"v{i}" for i in range(60))), (3, " ".join(f"v{i}" for i in range(61)))]
+    got = Counter(r.doc_id for r in near_dup_stage(spark, docs(rows), SF).collect())
+    assert got == Counter([None, 5, 5, 7, 8, 9, 3])
+
+
+def test_hot_keys_are_dealt_out(spark, monkeypatch):
+    from tidewell.llm import common
+
+    monkeypatch.setattr(common, "HOT", 50)
+    scratch = Scratch(spark)
+    many = scratch.keep(spark.range(1000).selectExpr("if(id < 700, 1, id) AS a", "id AS b"))
+    one = scratch.keep(many.select("a").distinct().selectExpr("a", "a * 10 AS v"))
+    got = common.salted_join(many, one, "a", scratch)
+    assert sorted((r.a, r.b, r.v) for r in got.collect()) == sorted((1 if i < 700 else i, i, 10 if i < 700 else 10 * i) for i in range(1000))
+    scratch.drop()
+
+
 def test_word_hasher_folds_letters_only():
     sep = np.zeros(256, bool)
     sep[32] = True

@@ -191,7 +191,7 @@ def digests(coded: DataFrame) -> DataFrame:
 def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return digests(encode_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")))
+    return digests(encode_documents(read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")))
 
 
 
