@@ -10,7 +10,7 @@ from tidewell.operators import relational as R
 from tidewell.operators import wallet as W
 from tidewell.plans import ingestion as I
 from tidewell.sources import crawl
-from tidewell.streaming.ingest import stream
+from tidewell.streaming.ingest import apply_batch, stream
 
 GOOD = {"sourceUrl": "https://www.adcb.com/offers/x?utm_source=a", "sourceType": "adcb", "offerTitle": "20% off at Carrefour", "merchantName": "Carrefour", "discountType": "percent", "discountValue": 20, "validTo": "31/12/2027", "confidence": 0.8, "pageLength": 2000, "crawlDepth": 1, "scrapedAt": "2026-01-01T00:00:00Z", "parserName": "adcb"}
 
@@ -100,6 +100,60 @@ def test_stream_equals_batch(spark, registry, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/offers")).count() == 3
 
 
+def test_a_batch_that_runs_again_changes_nothing(spark, registry, tmp_path):
+    out = str(tmp_path / "out")
+    batch = lambda n, records: crawl.crawl_records(spark, write(tmp_path / f"in{n}", records))
+    apply_batch(batch(0, {"a": GOOD}), registry, out, 0)
+    second = batch(1, {"a": {**GOOD, "offerDescription": "now with a description"}})
+    apply_batch(second, registry, out, 1)
+    log = lambda: sorted(tuple(r) for r in spark.read.parquet(f"{out}/snapshots").collect())
+    table = lambda: sorted(map(repr, spark.read.parquet(f"{out}/offers").collect()))
+    before = log(), table()
+    assert len(before[0]) == 1 and "now with" in before[0][0][2]
+    apply_batch(second, registry, out, 1)
+    assert (log(), table()) == before
+
+
+def test_material_changes(spark, registry, tmp_path):
+    """A description or coupon makes a change, another spelling of the bank none; of equal scores the fuller row stays."""
+    rows = rows_of(spark, {"a": GOOD, "b": {**GOOD, "offerDescription": "more of it"}, "c": {**GOOD, "couponCode": "SAVE20"}, "d": {**GOOD, "bankName": "Other Bank", "cardName": "Gold"}}, registry, tmp_path)
+    got = {r.file.rsplit("/", 1)[1][0]: (r.snapshot_hash, r.filled) for r in rows.withColumn("filled", Q.filled_fields()).collect()}
+    assert len({got[x][0] for x in "abc"}) == 3 and got["d"][0] == got["a"][0]
+    assert [got[x][1] for x in "abcd"] == [5, 6, 6, 5]
+
+
+def test_reviews_by_content(spark, registry, tmp_path):
+    bad = {**GOOD, "discountValue": 150}
+    for n in "12":
+        (tmp_path / n).mkdir()
+    one = I.quarantined(rows_of(spark, {"a": bad}, registry, tmp_path / "1"))
+    two = I.quarantined(rows_of(spark, {"a": {**bad, "offerTitle": "Another deal"}}, registry, tmp_path / "2"))
+    both = one.unionByName(two)
+    ids = [r.row_id for r in both.collect()]
+    assert len(set(ids)) == 2 and ids[0] == one.first().row_id
+    decided = I.reviewed(both, spark.createDataFrame([(ids[0], "rejected", "ann")], "row_id string, status string, by string"))
+    again = I.reviewed(decided, spark.createDataFrame([(ids[1], "promoted", "bob")], "row_id string, status string, by string"))
+    assert {r.row_id: (r.review_status, r.reviewed_by) for r in again.collect()} == {ids[0]: ("rejected", "ann"), ids[1]: ("promoted", "bob")}
+
+
+def test_likely_duplicates_of_many_rows_and_clashing_names(spark):
+    df = spark.range(300).selectExpr("id AS a", "'h' AS b", "if(id % 2 = 0, 'Ferrari World', 'ferrari  world') AS m", "cast(null AS string) AS bank", "concat('deal ', id % 3) AS t", "if(id < 2, 'k', null) AS k")
+    pairs = R.likely_duplicates(df, "a", "b", "m", "bank", "t", ["k"])
+    assert pairs.count() == 3 * (100 * 99 // 2) + 1
+
+
+def test_frontier_knows_what_was_read(spark):
+    from tidewell.operators import extract as X
+
+    page = '<a href="/offers/a">a</a> <a href="/offers/b">b</a> <a href="https://x.com/login">l</a> <a href="/">home</a>'
+    pages = spark.createDataFrame([("https://x.com/", page)], "url string, html string")
+    urls = lambda df: sorted(r.url for r in df.collect())
+    assert urls(X.frontier(pages, "url", "html", 0, 2)) == ["https://x.com/login", "https://x.com/offers/a", "https://x.com/offers/b"]
+    known = spark.createDataFrame([("https://X.com/offers/a/?utm_source=z",)], "url string")
+    assert urls(X.frontier(pages, "url", "html", 0, 2, known, F.lit("generic"))) == ["https://x.com/offers/b"]
+    assert X.frontier(pages, "url", "html", 2, 2).count() == 0
+
+
 def test_discovery(spark, registry, tmp_path):
     path = tmp_path / "found.json"
     path.write_text(json.dumps({"results": [{"url": "https://www.adcb.com/offers/x", "discoveryQuery": "q1", "serpRank": 3}, {"url": "https://www.adcb.com/offers/x/", "query": "q2", "rank": 1}]}))

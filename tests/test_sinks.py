@@ -35,6 +35,22 @@ def test_replaced_table_may_feed_itself(spark, tmp_path):
     sinks.replace_table(spark.read.parquet(path).where("id > 0"), path)
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2]
     assert len(list(tmp_path.glob("t*"))) == 1
+    assert sinks.last_batch(spark, path) == -1
+    sinks.replace_table(spark.range(2), path, 7)
+    assert sinks.last_batch(spark, path) == 7 and spark.read.parquet(path).count() == 2
+    (tmp_path / "t").rename(tmp_path / "t.old")  # a swap that stopped halfway
+    sinks.recover(spark, path)
+    assert spark.read.parquet(path).count() == 2 and not (tmp_path / "t.old").exists()
+
+
+def test_file_ledger(spark):
+    from tidewell.operators import records as N
+
+    ledger = spark.createDataFrame([("r", "a", "1"), ("q", "a", "1")], "run_id string, file string, content_hash string")
+    after = N.processed_files(ledger, spark.createDataFrame([("a", "2"), ("b", "3")], "file string, content_hash string"), F.lit("r"))
+    assert sorted(tuple(r) for r in after.collect()) == [("q", "a", "1"), ("r", "a", "2"), ("r", "b", "3")]
+    assert N.find(after, file=None).count() == 0 and N.find_text(after, file="A").count() == 2
+    assert N.latest(after, ["file"], [F.col("content_hash").desc()]).count() == 2
 
 
 def test_run_summary(spark, tmp_path):

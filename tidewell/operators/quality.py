@@ -22,7 +22,9 @@ OFFER = {
     "page_type": "string", "crawl_depth": "int", "page_length": "int", "scraped_at": "string", "raw_text": "string", "discovery_query": "string",
     "discovery_source": "string", "serp_rank": "int", "from_discovery": "boolean",
 }
-SNAPSHOT = ["bank_name", "card_name", "merchant_name", "offer_title", "discount_type", "discount_value", "min_spend", "cap_value", "valid_to"]
+# what makes a change of an offer material, and what a fuller row is judged by
+SNAPSHOT = ["offer_title", "offer_description", "discount_type", "discount_value", "valid_to", "coupon_code", "merchant_name", "min_spend", "cap_value"]
+FILLED = ["offer_title", "merchant_name", "discount_type", "discount_value", "valid_to", "coupon_code", "offer_description"]
 KNOWN_CATEGORIES = ["bank", "network", "coupon", "merchant"]
 
 
@@ -224,8 +226,7 @@ def with_keys(df: DataFrame) -> DataFrame:
 
 
 def filled_fields() -> Column:
-    names = ["merchant_name", "bank_name", "card_name", "discount_value", "coupon_code", "valid_to", "offer_description"]
-    return sum((F.when(_filled(n), 1).otherwise(0) for n in names), F.lit(0))
+    return sum((F.when(_filled(n), 1).otherwise(0) for n in FILLED), F.lit(0))
 
 
 def title_similarity(a: Column, b: Column) -> Column:

@@ -21,7 +21,10 @@ def evaluated(raw: DataFrame, sources: DataFrame, found: DataFrame | None = None
     Rows without a URL, and broken records, are routed to quarantine as invalid_schema.
     """
     df = raw if "_corrupt" in raw.columns else raw.withColumn("_corrupt", F.lit(None).cast("string"))
-    df = Q.normalize_offers(df).withColumn("row_id", F.monotonically_increasing_id())
+    # a row's id is that of its content: the same in every run, and of equal rows the same
+    content = F.sha2(F.to_json(F.struct(*(c for c in df.columns)), {"ignoreNullFields": "false"}), 256)
+    # row_at orders equal rows, and keeps the planner from repeating the steps before it in those after it
+    df = Q.normalize_offers(df.withColumn("row_id", content)).withColumn("row_at", F.monotonically_increasing_id())
     if found is not None:
         index = discovery_index(found).select("key", F.col("query").alias("_q"), F.col("source").alias("_s"), F.col("rank").alias("_r"))
         df = R.multi_key_first(df, "row_id", U.discovery_keys(F.col("source_url")), index, "key", ["_q", "_s", "_r"])
@@ -42,8 +45,9 @@ def evaluated(raw: DataFrame, sources: DataFrame, found: DataFrame | None = None
 
 
 def preferred(rows: DataFrame) -> DataFrame:
-    """One row per canonical key: higher confidence, then more filled fields, then the later."""
-    return R.best_by(rows.withColumn("filled", Q.filled_fields()), ["canonical_key"], [F.col("confidence"), F.col("filled"), F.col("row_id")], [*STORED, "filled"])
+    """One row per canonical key: higher confidence, then more filled fields, then the one read later."""
+    order = [F.col("confidence"), F.col("filled"), F.coalesce("scraped_at", F.lit("")), F.col("row_id"), F.col("row_at")]
+    return R.best_by(rows.withColumn("filled", Q.filled_fields()), ["canonical_key"], order, [*STORED, "filled"])
 
 
 def duplicates_of_stored(stored: DataFrame, new: DataFrame) -> DataFrame:
@@ -114,6 +118,7 @@ def mark_stale(offers: DataFrame, as_of: Column) -> DataFrame:
 
 
 def reviewed(quarantine: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Review states applied by id: decisions(row_id, status, by)."""
+    """Review states applied by id: decisions(row_id, status, by). Records without a decision stay as they are."""
+    before = F.col("reviewed_by") if "reviewed_by" in quarantine.columns else F.lit(None).cast("string")
     d = decisions.select("row_id", F.col("status").alias("_s"), F.col("by").alias("_b"))
-    return quarantine.join(d, "row_id", "left").withColumns({"review_status": F.coalesce("_s", "review_status"), "reviewed_by": F.col("_b")}).drop("_s", "_b")
+    return quarantine.join(d, "row_id", "left").withColumns({"review_status": F.coalesce("_s", "review_status"), "reviewed_by": F.coalesce("_b", before)}).drop("_s", "_b")

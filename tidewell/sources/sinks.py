@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,12 +32,13 @@ def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def export_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str) -> DataFrame:
-    """Each table as CSV, and a manifest (name, rows, error); one table's failure doesn't stop the others."""
+    """Each table as CSV, and a manifest (name, rows, error), counted while written; one table's failure doesn't stop the others."""
     done = []
     for name, df in tables.items():
         try:
-            write_csv(df, f"{folder}/{name}")
-            done.append((name, df.count(), None))
+            counted = Observation()
+            write_csv(df.observe(counted, F.count(F.lit(1)).alias("rows")), f"{folder}/{name}")
+            done.append((name, counted.get["rows"], None))
         except Exception as e:  # noqa: BLE001  recorded in the manifest
             done.append((name, None, str(e)[:500]))
     manifest = spark.createDataFrame(done, "name string, rows long, error string")
@@ -45,15 +46,42 @@ def export_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str
     return manifest
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Write beside, then swap: readers see the old or the new table, and df may read the old one."""
+def _files(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), lambda p: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+
+
+def replace_table(df: DataFrame, path: str, batch: int | None = None) -> None:
+    """Write beside, then swap by two renames; df may read the old table.
+
+    Between the renames there is no table at path: a reader then fails, and what stops there is mended by recover().
+    batch: a number that the new table carries (see last_batch).
+    """
     spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    new, old = f"{path}.{uuid.uuid4().hex}.new", f"{path}.{uuid.uuid4().hex}.old"
+    new, old = f"{path}.{uuid.uuid4().hex}.new", f"{path}.old"
     df.write.parquet(new)
-    fs = at(path).getFileSystem(conf)
+    fs, at = _files(spark, path)
+    if batch is not None:
+        fs.create(at(f"{new}/_batch-{batch}")).close()
+    recover(spark, path)
     if fs.exists(at(path)):
         fs.rename(at(path), at(old))
     fs.rename(at(new), at(path))
     fs.delete(at(old), True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Bring the old table back where a swap stopped halfway, or remove it where the swap was done."""
+    fs, at = _files(spark, path)
+    if fs.exists(at(f"{path}.old")):
+        if fs.exists(at(path)):
+            fs.delete(at(f"{path}.old"), True)
+        else:
+            fs.rename(at(f"{path}.old"), at(path))
+
+
+def last_batch(spark: SparkSession, path: str) -> int:
+    """The number that a table carries; -1 without one."""
+    fs, at = _files(spark, path)
+    found = fs.globStatus(at(f"{path}/_batch-*")) if fs.exists(at(path)) else None
+    return max((int(f.getPath().getName().rsplit("-", 1)[1]) for f in found or []), default=-1)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.plans import ingestion as I
 from tidewell.sources.crawl import RAW_OFFER, as_offers, exists
-from tidewell.sources.sinks import replace_table
+from tidewell.sources.sinks import last_batch, recover, replace_table
 
 FILES_PER_BATCH = 50
 STORED = [*I.STORED, "filled", "first_seen_at", "last_seen_at", "freshness"]
@@ -16,9 +16,13 @@ STORED = [*I.STORED, "filled", "first_seen_at", "last_seen_at", "freshness"]
 def apply_batch(raw: DataFrame, sources: DataFrame, folder: str, batch: int) -> None:
     """Merge one batch into folder/offers and write its quarantine and snapshots under its number.
 
-    A batch that runs twice overwrites its own files and merges to the same table.
+    The table carries the number of the last batch in it, in the same swap. A batch that runs again before the swap
+    overwrites its own files; after it, nothing is done, so its snapshots stay.
     """
     spark = raw.sparkSession
+    recover(spark, f"{folder}/offers")
+    if last_batch(spark, f"{folder}/offers") >= batch:
+        return
     rows = I.evaluated(raw, sources).persist()
     try:
         seen = F.lit(None).cast("timestamp") if not rows.head(1) else F.lit(rows.agg(F.max("scraped_at")).head()[0]).cast("timestamp")
@@ -31,7 +35,7 @@ def apply_batch(raw: DataFrame, sources: DataFrame, folder: str, batch: int) ->
         after = I.upsert(stored, accepted, seen)
         I.snapshots(after, seen).write.mode("overwrite").parquet(f"{folder}/snapshots/batch={batch}")
         I.quarantined(rows).write.mode("overwrite").parquet(f"{folder}/quarantine/batch={batch}")
-        replace_table(after.select("canonical_key", *STORED), path)
+        replace_table(after.select("canonical_key", *STORED), path, batch)
     finally:
         rows.unpersist()
 
