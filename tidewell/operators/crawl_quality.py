@@ -15,13 +15,14 @@ COOKIE_WORDS = ["preference cookies", "HTTP Cookie", "stores the user'?s preferr
 CHROME_TITLES = [r"^(credit cards|offers|deals|promotions|rewards|shukran)$", r"^UAE \|", r"^credit and debit card special offers$"]
 MORE_CATEGORY_TITLES = [*C.CATEGORY_TITLES, "^explore the world with", "^card offers$"]
 FAB_TITLES = [r"^(?:seasonal|travel|food|fashion|online|entertainment|wellness)\s+(?:&\s+\w+\s+)?offers?$", r"^0%\s*epp\b"]
+FAB_LISTING = r"/credit-cards/offers(?:/[^/]+)?/?$"
 #: (source, path pattern, page type), first match wins
 PAGES = [
     ("emiratesNbd", r"/deals/?$", "listing"),
     ("emiratesNbd", r"/deals/[^/]+/[^/]+", "detail"),
     ("visaUAE", r"/visa-offers-and-perks/?$", "listing"),
     ("visaUAE", r"/visa-offers-and-perks/.+/\d+/?$", "detail"),
-    ("fab", r"/credit-cards/offers(?:/[^/]+)?/?$", "listing"),
+    ("fab", FAB_LISTING, "listing"),
     ("hsbc", r"/special-offers/[^/]+", "detail"),
     ("hsbc", r"/special-offers/?$", "listing"),
     ("mashreq", r"/neo/offers/?$", "listing"),
@@ -68,7 +69,7 @@ def page_type(url: Column, text: Column, html: Column, source: Column) -> Column
     path, t = F.coalesce(U.part(url, "PATH"), F.lit("")), T.clean_text(text)
     first = F.trim(F.substring_index(F.coalesce(text, F.lit("")), "\n", 1))
     out = F.when(error_page(text), "error")
-    out = out.when((source == "fab") & T.matches(path, PAGES[4][1]) & T.matches(F.coalesce(text, F.lit("")), rf"(?m){FAB_TITLES[0]}") & ~t.rlike(r"\d+\s*%"), "category")
+    out = out.when((source == "fab") & T.matches(path, FAB_LISTING) & T.matches(F.coalesce(text, F.lit("")), rf"(?m){FAB_TITLES[0]}") & ~t.rlike(r"\d+\s*%"), "category")
     for kind, pattern, name in PAGES:
         out = out.when((source == kind) & T.matches(path, pattern), name)
     cards = T.matches(html, r"<article\b|class=\"[^\"]*\b(?:card|offer)\b")

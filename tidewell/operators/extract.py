@@ -73,9 +73,22 @@ def page_type(url: Column, text: Column, html: Column) -> Column:
     )
 
 
-def frontier(pages: DataFrame, url: str, html: str, depth: int, most: int) -> DataFrame:
-    """The next pages to read: (url, depth + 1), each once, none beyond the greatest depth."""
+def frontier(pages: DataFrame, url: str, html: str, depth: int, most: int, known: DataFrame | None = None, source: Column | None = None) -> DataFrame:
+    """The next pages to read: (url, depth + 1), each once, none beyond the greatest depth and none read before.
+
+    known(url): pages read before, besides the given ones. source: the type of source that each page belongs to; if
+    given, only links that its rules allow are followed.
+    """
+    from tidewell.operators.discovery import enqueue
+
     if depth >= most:
         return pages.select(F.col(url).alias("url"), F.lit(depth).alias("depth")).limit(0)
-    found = pages.select(F.col(url).alias("_b"), F.explode(links(F.col(html))).alias("_h"))
-    return found.select(U.normalize_url(resolve(F.col("_h"), F.col("_b"))).alias("url")).where("url != ''").distinct().withColumn("depth", F.lit(depth + 1))
+    kind = F.lit("generic") if source is None else source
+    found = pages.select(F.col(url).alias("_b"), kind.alias("_s"), F.explode(links(F.col(html))).alias("_h"))
+    found = found.select(U.normalize_url(resolve(F.col("_h"), F.col("_b"))).alias("url"), "_s").where("url != ''")
+    if source is not None:
+        found = found.where(enqueue(F.col("url"), F.col("_s"), F.lit(depth + 1))["enqueue"])
+    read = pages.select(U.normalize_url(F.col(url)).alias("url"))
+    if known is not None:
+        read = read.unionByName(known.select(U.normalize_url(F.col("url")).alias("url")))
+    return found.select("url").distinct().join(read.distinct(), "url", "left_anti").withColumn("depth", F.lit(depth + 1))

@@ -49,7 +49,7 @@ def within_budget(df: DataFrame, key: str, order: Sequence[Column], budget: Colu
 
 
 def best_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], columns: Sequence[str]) -> DataFrame:
-    """The columns of the greatest row per key, as an aggregate (combined before the shuffle, unlike a window)."""
+    """The columns of the greatest row per key, as an aggregate: rows are sorted and combined before the shuffle, so that one row per key and task moves."""
     return df.groupBy(*keys).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_b")).select(*keys, "_b.*")
 
 
@@ -69,6 +69,13 @@ def or_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
     return out.distinct()
 
 
+def missing_from(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The distinct keys of left that right has not; nulls equal nulls."""
+    keys = right.select(*(F.col(c).alias(f"_{c}") for c in on)).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on]
+    return left.select(*on).distinct().join(keys, same, "left_anti")
+
+
 def union_first(parts: Sequence[DataFrame], keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     """The union, of rows with one key the one of the first part (then of the given order)."""
     out = None
@@ -88,17 +95,24 @@ def suffix_match(urls: DataFrame, url_id: str, host: Column, domains: DataFrame,
 
 
 def likely_duplicates(df: DataFrame, row_id: str, host: str, merchant: str, bank: str, title: str, keys: Sequence[str]) -> DataFrame:
-    """Pairs (a < b) equal in any key, or with equal host, merchant and bank and similar titles.
+    """Pairs (a < b) equal in any key, or of one host and the same merchant and bank by slug, with similar titles.
 
-    Similar titles have equal slugs, or one contains the other: blocked by host, merchant and bank.
+    Similar titles have equal slugs, or one contains the other. A missing bank equals a missing bank; rows without a
+    host, merchant or title match by keys only. Titles are compared once per distinct slug of a block, so rows of one
+    title cost no comparison; the pairs themselves are as many as there are.
     """
-    from tidewell.operators.quality import title_similarity
-
-    parts = [or_join(df.withColumn("a", F.col(row_id)), df.withColumn("b", F.col(row_id)), [(k, k) for k in keys], "a", "b")] if keys else []
-    block = [host, merchant, bank]
-    left = df.select(F.col(row_id).alias("a"), *block, F.col(title).alias("_ta"))
-    right = df.select(F.col(row_id).alias("b"), *block, F.col(title).alias("_tb"))
-    parts.append(left.join(right, block).where("a < b").where(title_similarity(F.col("_ta"), F.col("_tb")) >= 0.85).select("a", "b"))
+    from tidewell.functions.text import slugify
+
+    slug = lambda name: F.coalesce(slugify(F.col(name).cast("string")), F.lit(""))
+    parts = [or_join(df.select(F.col(row_id).alias("a"), *keys), df.select(F.col(row_id).alias("b"), *keys), [(k, k) for k in keys], "a", "b")] if keys else []
+    rows = df.select(F.col(row_id).alias("_id"), F.col(host).alias("_host"), slug(merchant).alias("_merchant"), slug(bank).alias("_bank"), slug(title).alias("_title"))
+    rows = rows.where("_host is not null and _merchant != '' and _title != ''")
+    block = ["_host", "_merchant", "_bank"]
+    titles = rows.select(*block, "_title").distinct()
+    met = titles.withColumnRenamed("_title", "_x").join(titles.withColumnRenamed("_title", "_y"), block).where(F.contains("_x", F.col("_y")))
+    left, right = rows.withColumnsRenamed({"_id": "_p", "_title": "_x"}), rows.withColumnsRenamed({"_id": "_q", "_title": "_y"})
+    near = met.join(left, [*block, "_x"]).join(right, [*block, "_y"]).where("_p != _q")
+    parts.append(near.select(F.least("_p", "_q").alias("a"), F.greatest("_p", "_q").alias("b")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

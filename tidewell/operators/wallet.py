@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.text import clean_text
 from tidewell.operators import payment as P
 from tidewell.operators.relational import contains, merge
 
 # fixed values
-PROGRAMS = {"smiles": "smiles", "etisalat smiles": "smiles", "share": "share", "skywards": "skywards", "etihad guest": "etihad_guest"}
-NETWORKS = {"visa": "Visa", "mastercard": "Mastercard", "master card": "Mastercard", "mc": "Mastercard", "amex": "American Express", "american express": "American Express"}
+PROGRAMS = {"abc loyalty rewards": "abc_loyalty", "abc rewards": "abc_loyalty", "smiles": "smiles", "adib miles": "adib_miles", "etihad guest": "etihad_guest", "skywards": "skywards", "enbd rewards": "enbd_rewards"}
+NETWORKS = {"visa": "Visa", "mastercard": "Mastercard", "master card": "Mastercard", "mc": "Mastercard", "amex": "Amex", "american express": "Amex"}
+BANKS = {"adcb": "ADCB", "adcb bank": "ADCB", "fab": "First Abu Dhabi Bank", "first abu dhabi bank": "First Abu Dhabi Bank", "emirates nbd": "Emirates NBD", "enbd": "Emirates NBD", "mashreq": "Mashreq", "mashreq bank": "Mashreq", "rak bank": "RAK Bank", "rakbank": "RAK Bank", "cbd": "CBD", "hsbc": "HSBC", "citibank": "Citibank", "citi": "Citibank"}
 
 
 def positive(x: Column) -> Column:
@@ -27,7 +29,7 @@ def instruments(users: DataFrame, loyalty: DataFrame, cards: DataFrame, banks: D
     e = F.coalesce("enabled", F.lit(True)).alias("enabled")
     parts = [
         gather(loyalty, "loyalty", "program", positive(F.col("balance_coins")).alias("balance_coins"), F.col("max_coins").try_cast("double").alias("max_coins"), F.coalesce(F.nullif(positive(F.col("rate")), F.lit(0.0)), F.lit(100.0)).alias("rate"), e, (positive(F.col("earn_rate")) if "earn_rate" in loyalty.columns else F.lit(0.0)).alias("earn_rate")),
-        gather(cards, "cards", "id", "bank", F.coalesce(_known(F.col("network"), NETWORKS), F.col("network")).alias("network"), positive(F.col("points_rate")).alias("points_rate"), positive(F.col("gold_rate")).alias("gold_rate"), e),
+        gather(cards, "cards", "id", "bank", network(F.col("network")).alias("network"), positive(F.col("points_rate")).alias("points_rate"), positive(F.col("gold_rate")).alias("gold_rate"), e),
         gather(banks.where("id is not null"), "banks", "id", "bank", e),
         gather(coupons.where(F.coalesce("code", F.lit("")) != ""), "coupons", F.upper("code").alias("code"), discount_kind(F.col("kind")).alias("kind"), positive(F.col("value")).alias("value"), F.col("min_spend").try_cast("double").alias("min_spend"), F.col("cap").try_cast("double").alias("cap"), e),
         memberships.groupBy("user_id").agg(F.max(F.when(F.coalesce("enabled", F.lit(True)), positive(F.col("percent")))).alias("membership")),
@@ -44,6 +46,20 @@ def _known(x: Column, table: dict) -> Column:
     return lookup(F.lower(F.trim(x)), table)
 
 
+def bank(x: Column) -> Column:
+    """A bank by its usual name; others as they are, spaces evened."""
+    return F.coalesce(_known(clean_text(x), BANKS), F.nullif(clean_text(x), F.lit("")))
+
+
+def network(x: Column) -> Column:
+    return F.coalesce(_known(clean_text(x), NETWORKS), F.nullif(clean_text(x), F.lit("")))
+
+
+def tier(x: Column) -> Column:
+    """A membership's tier, in capitals."""
+    return F.nullif(F.upper(clean_text(x)), F.lit(""))
+
+
 def program(x: Column) -> Column:
     return F.coalesce(_known(x, PROGRAMS), F.regexp_replace(F.lower(F.trim(x)), r"\s+", "_"))
 
