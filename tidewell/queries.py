@@ -16,8 +16,12 @@ from tidewell.operators import extract as X
 from tidewell.operators import health as H
 from tidewell.operators import payment as P
 from tidewell.operators import quality as Q
+from tidewell.operators import records as N
+from tidewell.operators import registry as G
 from tidewell.operators import relational as R
 from tidewell.operators import site_offers as S
+from tidewell.operators import wallet as W
+from tidewell.plans import ingestion as I
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,7 +76,7 @@ def schema_validate_route(spark, sf):
 
 
 def order_offers(spark, sf):
-    o = table(spark, sf, "orders")
+    o = R.spread(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "o_custkey"))
     kind = F.when(F.col("o_orderstatus") == "O", "percent").when(F.col("o_orderstatus") == "F", "fixed")
     value = F.when(F.col("o_orderstatus") != "P", F.floor(F.col("o_totalprice") / 1000).cast("string"))
     return Q.offers(
@@ -247,7 +251,9 @@ def html_visible_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.length(X.visible_text(F.col("html"))).alias("n"), X.page_type(F.col("url"), X.visible_text(F.col("html")), F.col("html")).alias("page_type"))
 
 
-@query()
+@query("""WITH h AS (SELECT lower(regexp_extract(url, '^[a-z]+://[^/?#]*')) AS site, unnest(regexp_extract_all(html, '(?is)<a\\s[^>]*href="([^"#]*)', 1)) AS h FROM pages),
+u AS (SELECT DISTINCT CASE WHEN regexp_matches(h, '^https?://') THEN lower(h) ELSE site || lower(h) END AS url FROM h WHERE regexp_matches(h, '^(https?://|/)'))
+SELECT url, 1 AS depth FROM u WHERE url NOT IN (SELECT lower(url) FROM pages)""")
 def crawl_frontier(spark, sf):
     return X.frontier(table(spark, sf, "pages"), "url", "html", 0, 2)
 
@@ -443,7 +449,7 @@ array(named_struct('code', 'A10', 'kind', 'percent', 'value', 10D, 'min_spend',
 
 
 def requests(spark, sf):
-    return table(spark, sf, "orders").selectExpr("o_orderkey AS request_id", "o_totalprice AS amount", *_split(WALLET))
+    return R.spread(table(spark, sf, "orders").select("o_orderkey", "o_totalprice")).selectExpr("o_orderkey AS request_id", "o_totalprice AS amount", *_split(WALLET))
 
 
 def _split(text: str) -> list[str]:
@@ -512,3 +518,265 @@ def json_props(spark, sf):
 def json_roundtrip(spark, sf):
     e = table(spark, sf, "events").withColumn("s", F.from_json("props", "k long"))
     return e.select("event_id", F.to_json(F.struct(F.col("s.k").alias("k"), F.col("event_type").alias("t"))).alias("j"))
+
+
+# ---- rules by cases: each row of a table takes one case by its key, with the result that the rule says
+
+
+def _case(column, values):
+    """The value of a row's case; Python's None is null."""
+    n = len(values)
+    out = None
+    for i, v in enumerate(values):
+        cond = F.pmod(column, F.lit(n)) == i
+        out = F.when(cond, F.lit(v)) if out is None else out.when(cond, F.lit(v))
+    return out
+
+
+def _case_sql(column, values):
+    text = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+    return f"CASE {column} % {len(values)} " + " ".join(f"WHEN {i} THEN {text(v)}" for i, v in enumerate(values)) + " END"
+
+
+DISCOUNTS = [
+    ("Enjoy 15% off on all orders", "percent", "15"),
+    ("Save AED 40 today", "fixed", "40"),
+    ("Get 10% cashback on groceries", "cashback", "10"),
+    ("Earn USD 12 cashback abroad", "cashback", "12"),
+    ("Rooms starting from AED 1,299 a night", None, None),
+    ("0% interest for you", "percent", "0"),
+    ("Complimentary lounge visits", "complimentary", None),
+    ("Pay in 6 months plan", "emi", "6 months plan"),
+    ("Collect 2,500 bonus points", "points", "2500"),
+    ("Use code: SUMMER now", "coupon", None),
+    ("Nothing to see here", None, None),
+    ("Easy payment plan for all", None, None),
+    ("", None, None),
+    (None, None, None),
+]
+
+
+@query(f"SELECT l_orderkey, l_linenumber, {_case_sql('(l_orderkey + l_linenumber)', [k for _, k, _ in DISCOUNTS])} AS kind, {_case_sql('(l_orderkey + l_linenumber)', [v for *_, v in DISCOUNTS])} AS value FROM lineitem")
+def discount_cases(spark, sf):
+    text = _case(F.col("l_orderkey") + F.col("l_linenumber"), [t for t, *_ in DISCOUNTS])
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", T.detect_discount(text).alias("d")).select("l_orderkey", "l_linenumber", F.col("d.type").alias("kind"), F.col("d.value").alias("value"))
+
+
+ADDRESSES = [
+    ("https://www.emiratesnbd.com/en/deals", "emiratesNbd"),
+    ("https://www.bankfab.com/en-ae/offers", "fab"),
+    ("HTTPS://WWW.ADCB.COM/offers", "adcb"),
+    ("https://www.mashreq.com/neo/offers/x", "mashreq"),
+    ("https://rakbank.ae/promotions", "rakBank"),
+    ("https://www.dib.ae/offers", "dib"),
+    ("https://www.hsbc.ae/offers", "hsbc"),
+    ("https://www.citibank.ae/deals", "citibank"),
+    ("https://www.cbd.ae/offers", "cbd"),
+    ("https://www.visamiddleeast.com/en_ae/x", "visaUAE"),
+    ("https://visa.co.ae/offers", "visaUAE"),
+    ("https://www.mastercard.ae/x", "mastercard"),
+    ("https://www.groupon.ae/x", "groupon"),
+    ("https://www.cuponation.ae/x", "cuponation"),
+    ("https://www.picodi.com/ae/x", "picodi"),
+    ("https://coupons.ae/x", "couponsAe"),
+    ("https://www.wethrift.com/x", "wethrift"),
+    ("https://smiles.ae/x", "smiles"),
+    ("https://www.noon.com/uae-en/deal/x", "noon"),
+    ("https://www.noon.com/uae-en/x", "generic"),
+    ("https://example.com/voucher/1", "couponFeed"),
+    ("https://www.google.com/search?q=x", "discovery"),
+    ("https://example.com/", "generic"),
+    (None, "generic"),
+]
+
+
+@query(f"SELECT o_orderkey, {_case_sql('o_orderkey', [t for _, t in ADDRESSES])} AS source_type FROM orders")
+def url_types(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", U.source_type(_case(F.col("o_orderkey"), [u for u, _ in ADDRESSES])).alias("source_type"))
+
+
+def _gate(**fields):
+    return {"offer_title": "Dinner for two", "merchant_name": "Lulu", "discount_type": "percent", "discount_value": "20", "source_type": "generic", "page_length": 900, "confidence": 0.8} | fields
+
+
+GATES = [
+    (_gate(), ""),
+    (_gate(offer_title=None, merchant_name=None, discount_type=None, discount_value=None), "missing_minimum_fields,zero_value_junk"),
+    (_gate(offer_title="Oops!"), "garbage_title"),
+    (_gate(offer_description="We can't seem to find the page"), "error_page"),
+    (_gate(raw_text="Try one of these popular Visa pages instead"), "visa_shell_page"),
+    (_gate(coupon_code="HERE"), "invalid_coupon"),
+    (_gate(page_length=150, merchant_name=None, discount_value=None), "thin_page"),
+    (_gate(valid_to="1999-01-01"), "malformed_valid_to"),
+    (_gate(valid_from="soon"), "malformed_valid_from"),
+    (_gate(discount_value="120"), "absurd_values"),
+    (_gate(offer_title="Seasonal offers", merchant_name=None, discount_type=None, discount_value=None), "category_header"),
+    (_gate(source_type="visaUAE", crawl_depth=1, offer_title="Cards & Rewards", merchant_name=None, discount_type=None, discount_value=None), "category_header,generic_visa_detail"),
+    (_gate(strict=True, merchant_name=None, discount_value=None), "strict_missing_merchant_and_value"),
+    (_gate(strict=True, confidence=0.2), "strict_low_confidence"),
+    (_gate(source_type="adcb", raw_text="ADCB logo facebook"), "adcb_nav_noise"),
+    (_gate(source_type="adcb", raw_text="Pay with TouchPoints"), "touchpoints_only"),
+    (_gate(source_type="fab", merchant_name=None), "bank_missing_checkout_signal"),
+    (_gate(min_spend="-5"), "absurd_values"),
+]
+
+
+@query(f"SELECT o_orderkey, {_case_sql('o_orderkey', [r for _, r in GATES])} AS reasons FROM orders")
+def gate_cases(spark, sf):
+    names = sorted({n for g, _ in GATES for n in g})
+    n = F.pmod(F.col("o_orderkey"), F.lit(len(GATES)))
+    df = table(spark, sf, "orders").select("o_orderkey", *(_case(F.col("o_orderkey"), [g.get(c) for g, _ in GATES]).alias(c) for c in names), n.alias("case"))
+    df = Q.offers(df).withColumn("reasons", Q.gate_reasons(F.col("strict").cast("boolean")))
+    return df.select("o_orderkey", F.array_join("reasons", ",").alias("reasons"))
+
+
+# ---- offers made of orders through the ingestion's own steps
+
+
+def keyed_offers(spark, sf):
+    """Orders as offers: a customer and a status are a shop and a bank, every second order of a customer says no more than the first."""
+    o = table(spark, sf, "orders")
+    title = F.concat(F.lit("Deal number "), (F.col("o_orderkey") % 7).cast("string"))
+    fields = {
+        "normalized_url": F.concat(F.lit("https://shop.example/"), (F.col("o_custkey") % 50).cast("string")),
+        "merchant_name": F.concat(F.lit("Shop "), F.col("o_custkey").cast("string")),
+        "bank_name": F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")),
+        "offer_title": title,
+        "offer_description": F.when(F.col("o_orderkey") % 3 == 0, "more"),
+        "discount_type": F.lit("percent"),
+        "discount_value": (F.col("o_orderkey") % 5).cast("string"),
+        "coupon_code": F.lit(None).cast("string"),
+        "valid_to": F.when(F.col("o_orderkey") % 2 == 0, "2026-01-01"),
+    }
+    return Q.offers(o.select("o_orderkey", *(x.alias(c) for c, x in fields.items()), F.lit("url").alias("source_url")))
+
+
+KEYED = """WITH k AS (SELECT o_orderkey, 'https://shop.example/' || (o_custkey % 50) AS url, 'Shop ' || o_custkey AS shop, CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS bank, 'Deal number ' || (o_orderkey % 7) AS title,
+CASE WHEN o_orderkey % 3 = 0 THEN 'more' END AS about, CAST(o_orderkey % 5 AS VARCHAR) AS val, CASE WHEN o_orderkey % 2 = 0 THEN '2026-01-01' END AS until FROM orders)
+"""
+
+
+@query(KEYED + """SELECT o_orderkey, sha256(concat_ws('::', url, lower(shop), coalesce(lower(bank), ''), lower(title), '', 'percent', val)) AS canonical_key, sha256(concat_ws('::', url, lower(title), '')) AS dedupe_hash,
+sha256('{"cap_value":null,"coupon_code":null,"discount_type":"percent","discount_value":"' || val || '","merchant_name":"' || shop || '","min_spend":null,"offer_description":' || coalesce('"' || about || '"', 'null') || ',"offer_title":"' || title || '","valid_to":' || coalesce('"' || until || '"', 'null') || '}') AS snapshot_hash FROM k""")
+def offer_keys(spark, sf):
+    return Q.with_keys(keyed_offers(spark, sf)).select("o_orderkey", "canonical_key", "dedupe_hash", "snapshot_hash")
+
+
+@query(KEYED + """SELECT url || shop || coalesce(bank, '') || title || val AS what, max_by(o_orderkey, (CASE WHEN about IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN until IS NOT NULL THEN 1 ELSE 0 END) * 1000000000 + o_orderkey) AS o_orderkey FROM k GROUP BY 1""")
+def preferred_offers(spark, sf):
+    df = Q.with_keys(keyed_offers(spark, sf)).withColumns({"confidence": F.lit(0.5), "scraped_at": F.lpad(F.col("o_orderkey").cast("string"), 12, "0"), "row_id": F.lit("x"), "row_at": F.lit(0), "discovery_query": F.col("o_orderkey").cast("string")})
+    what = F.concat("normalized_url", "merchant_name", F.coalesce("bank_name", F.lit("")), "offer_title", "discount_value")
+    return I.preferred(df).select(what.alias("what"), F.col("discovery_query").cast("long").alias("o_orderkey"))
+
+
+@query("""WITH s AS (SELECT s_suppkey, 'host' || s_nationkey AS host, CASE s_suppkey % 3 WHEN 0 THEN 'Ferrari World' WHEN 1 THEN 'ferrari  world' ELSE '' END AS shop, CASE WHEN s_suppkey % 2 = 0 THEN 'ADCB' END AS bank, CASE s_suppkey % 4 WHEN 0 THEN 'Summer deal' WHEN 1 THEN 'Big summer deal!' WHEN 2 THEN 'Winter' END AS title FROM supplier),
+k AS (SELECT *, regexp_replace(regexp_replace(lower(trim(shop)), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS m, regexp_replace(regexp_replace(lower(trim(title)), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS t FROM s)
+SELECT x.s_suppkey AS a, y.s_suppkey AS b FROM k x JOIN k y ON x.host = y.host AND x.m = y.m AND coalesce(x.bank, '') = coalesce(y.bank, '') AND x.s_suppkey < y.s_suppkey WHERE x.m <> '' AND x.t <> '' AND y.t <> '' AND (contains(x.t, y.t) OR contains(y.t, x.t))""")
+def likely_duplicate_offers(spark, sf):
+    k = F.col("s_suppkey")
+    s = table(spark, sf, "supplier").select("s_suppkey", F.concat(F.lit("host"), F.col("s_nationkey").cast("string")).alias("host"), F.when(k % 3 == 0, "Ferrari World").when(k % 3 == 1, "ferrari  world").otherwise("").alias("shop"), F.when(k % 2 == 0, "ADCB").alias("bank"), F.when(k % 4 == 0, "Summer deal").when(k % 4 == 1, "Big summer deal!").when(k % 4 == 2, "Winter").alias("title"))
+    return R.likely_duplicates(s, "s_suppkey", "host", "shop", "bank", "title", [])
+
+
+# ---- records of runs, look-ups, registry
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'completed' WHEN c_custkey % 3 = 1 THEN 'failed' ELSE 'running' END AS status, CASE WHEN c_custkey % 3 = 1 THEN 'stopped' END AS error FROM customer""")
+def run_states(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey")
+    runs = N.started_runs(c, F.lit("2026-01-01"))
+    n = F.get_json_object("input", "$.c_custkey").cast("long") % 3
+    done = runs.where(n < 2).select("run_id", F.when(n == 0, "completed").otherwise("failed").alias("status"), F.lit("{}").alias("stats"), F.lit("2026-01-02").cast("timestamp").alias("finished_at"), F.when(n == 1, "stopped").alias("error"))
+    return N.finished_runs(runs, done).select(F.get_json_object("input", "$.c_custkey").cast("long").alias("c_custkey"), "status", "error")
+
+
+@query(HEALTH + """SELECT source, 'validation' AS observation_type, m AS metric_name, CASE m WHEN 'avg_confidence' THEN avg_confidence WHEN 'completeness' THEN completeness ELSE quarantine_rate END AS metric_value FROM k, (VALUES ('avg_confidence'), ('completeness'), ('quarantine_rate')) t(m)""")
+def health_observations(spark, sf):
+    return N.observations(measured(spark, sf), "source", ["avg_confidence", "completeness", "quarantine_rate"])
+
+
+@query(ORDER_OFFERS + """SELECT 'generic' AS source, reason, count(*) AS n, min(o_orderkey) AS sample FROM (SELECT o_orderkey, unnest(reasons) AS reason FROM r) GROUP BY 2""")
+def gate_failures(spark, sf):
+    df = order_offers(spark, sf).withColumn("reasons", Q.gate_reasons(score="parser_confidence"))
+    return N.failures(df, "source_type", "reasons", "o_orderkey")
+
+
+@query("""SELECT event_id, coalesce(event_type, 'generic') AS source_type, json_extract_string(payload, '$.k') AS k FROM (SELECT event_id, event_type, props AS payload FROM events)""")
+def raw_event_rows(spark, sf):
+    e = table(spark, sf, "events").select("event_id", F.col("event_type").alias("source_type"), "props")
+    rows = N.raw_events(e, F.lit("r1"))
+    return rows.select(F.get_json_object("payload", "$.event_id").cast("long").alias("event_id"), "source_type", F.get_json_object(F.get_json_object("payload", "$.props"), "$.k").alias("k"))
+
+
+@query(f"SELECT page_id FROM (SELECT page_id, row_number() OVER (PARTITION BY {HOST} ORDER BY page_id DESC) AS n FROM pages) WHERE n <= 20")
+def newest_per_host(spark, sf):
+    p = table(spark, sf, "pages").select("page_id", "url")
+    return N.newest_per_host(p, U.hostname(F.col("url")), [F.col("page_id").desc()]).select("page_id")
+
+
+@query("SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey = 7 AND s_name = (SELECT s_name FROM supplier WHERE s_suppkey = 7)")
+def point_lookup(spark, sf):
+    s = table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    return N.find(s, s_suppkey=7)
+
+
+@query("SELECT p_brand AS bank_name, p_name AS product_name, p_partkey FROM part WHERE contains(lower(p_brand), '#1') AND contains(lower(p_type), 'a') ORDER BY p_brand, p_name, p_partkey LIMIT 100")
+def card_product_list(spark, sf):
+    p = table(spark, sf, "part").select(F.col("p_brand").alias("bank_name"), F.col("p_type").alias("card_network"), F.concat_ws("\u0001", "p_name", F.lpad(F.col("p_partkey").cast("string"), 12, "0")).alias("product_name"), F.col("p_name").alias("_name"), "p_partkey")
+    return N.card_products(p, bank="#1", network="A").select("bank_name", F.col("_name").alias("product_name"), "p_partkey")
+
+
+@query("""SELECT source_type, least, least_strong, coalesce(n, 0) AS n, coalesce(strong, 0) AS strong, coalesce(n, 0) >= least AND coalesce(strong, 0) >= least_strong AS covered FROM (VALUES ('A', 10, 5), ('N', 100, 100000000), ('missing', 1, 0)) t(source_type, least, least_strong)
+LEFT JOIN (SELECT l_returnflag AS source_type, count(*) AS n, count(*) FILTER (WHERE l_discount > 0.05 AND l_quantity > 25) AS strong FROM lineitem GROUP BY 1) USING (source_type)""")
+def source_coverage(spark, sf):
+    rows = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("source_type"), "l_discount", "l_quantity")
+    limits = spark.createDataFrame([("A", 10, 5), ("N", 100, 100_000_000), ("missing", 1, 0)], "source_type string, least int, least_strong int")
+    return G.coverage(rows, limits, (F.col("l_discount") > 0.05) & (F.col("l_quantity") > 25)).select("source_type", "least", "least_strong", "n", "strong", "covered")
+
+
+@query("""SELECT p_partkey FROM part WHERE NOT (contains(lower(p_name), 'ring') OR (p_size % 2 = 0 AND p_size <= 30 AND p_size % 10 <= 1))""")
+def purge_noise(spark, sf):
+    s = F.col("p_size")
+    p = table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("offer_title"), F.lit(None).cast("string").alias("offer_description"), F.when(s % 2 == 1, "Shop").alias("merchant_name"), (s % 10).cast("string").alias("discount_value"), F.when(s <= 30, "points").otherwise("percent").alias("discount_type"))
+    return G.purge(p, ["ring"]).select("p_partkey")
+
+
+@query(f"""WITH h AS (SELECT DISTINCT url, regexp_replace({HOST}, '^www\\.', '') AS host FROM pages) SELECT host, hits, array_to_string(list_slice(list_sort(urls), 1, 5), ' ') AS first_urls, queries FROM (SELECT host, list(url) AS urls FROM h GROUP BY 1) JOIN (SELECT regexp_replace({HOST}, '^www\\.', '') AS host, count(*) AS hits, count(DISTINCT page_id % 9) AS queries FROM pages GROUP BY 1) USING (host)""")
+def discovery_hosts(spark, sf):
+    p = table(spark, sf, "pages").select("url", (F.col("page_id") % 9).cast("string").alias("query"))
+    return D.candidates(p).select("host", "hits", F.array_join("urls", " ").alias("first_urls"), "queries")
+
+
+@query("SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_quantity >= 45 EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity <= 5")
+def missing_keys(spark, sf):
+    l = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("k"), "l_quantity")
+    return R.missing_from(l.where("l_quantity >= 45"), l.where("l_quantity <= 5"), ["k"])
+
+
+STATES = ["approved", "probation", "rejected", None, "unknown"]
+
+
+@query(f"""SELECT c_custkey, st IS NULL OR st <> 'rejected' AS ingests, coalesce(st IN ('approved', 'probation', 'rejected'), false) AS may_change, CASE st WHEN 'approved' THEN 'Continue automated crawl at normal quality gates.' WHEN 'probation' THEN 'Tighter quality gates active. Improve parser for ' || c_mktsegment || ' before promoting.' ELSE 'Excluded from crawl planning. Manual review required to re-enable.' END AS advice
+FROM (SELECT c_custkey, c_mktsegment, {_case_sql('c_custkey', STATES)} AS st FROM customer)""")
+def source_states(spark, sf):
+    st = _case(F.col("c_custkey"), STATES)
+    return table(spark, sf, "customer").select("c_custkey", N.may_ingest(st).alias("ingests"), N.may_change(st, F.lit("approved")).alias("may_change"), N.advice(st, F.col("c_mktsegment")).alias("advice"))
+
+
+@query(f"""SELECT DISTINCT dom AS domain FROM (SELECT 'd' || (s_suppkey % 17) AS dom, {_case_sql('s_suppkey', STATES)} AS st, s_suppkey % 2 = 0 AS auto FROM supplier) WHERE st = 'approved' OR (st = 'probation' AND auto)""")
+def crawl_domains(spark, sf):
+    k = F.col("s_suppkey")
+    return N.approved_domains(table(spark, sf, "supplier").select(F.concat(F.lit("d"), (k % 17).cast("string")).alias("domain"), _case(k, STATES).alias("status"), (k % 2 == 0).alias("auto_crawl")))
+
+
+BANK_NAMES = [(" ADCB  bank ", "ADCB"), ("fab", "First Abu Dhabi Bank"), ("ENBD", "Emirates NBD"), ("Citi", "Citibank"), ("Other  Bank", "Other Bank"), ("", None), (None, None)]
+TIERS = [("gold", "GOLD"), (" Platinum ", "PLATINUM"), ("my  tier", "MY TIER"), (None, None)]
+NETWORK_NAMES = [("master card", "Mastercard"), ("American  Express", "Amex"), ("VISA", "Visa"), ("Maestro", "Maestro")]
+PROGRAM_NAMES = [("ABC Rewards", "abc_loyalty"), ("Skywards", "skywards"), ("My Own Club", "my_own_club")]
+
+
+@query(f"""SELECT c_custkey, {_case_sql('c_custkey', [b for _, b in BANK_NAMES])} AS bank, {_case_sql('c_custkey', [b for _, b in TIERS])} AS tier, {_case_sql('c_custkey', [b for _, b in NETWORK_NAMES])} AS network, {_case_sql('c_custkey', [b for _, b in PROGRAM_NAMES])} AS program FROM customer""")
+def instrument_names(spark, sf):
+    k = F.col("c_custkey")
+    at = lambda pairs: _case(k, [a for a, _ in pairs])
+    return table(spark, sf, "customer").select("c_custkey", W.bank(at(BANK_NAMES)).alias("bank"), W.tier(at(TIERS)).alias("tier"), W.network(at(NETWORK_NAMES)).alias("network"), W.program(at(PROGRAM_NAMES)).alias("program"))
