@@ -1,7 +1,7 @@
 """Offer rows from pages, by expressions: structured data, cards of listings, dated links, coupons, or the page itself.
 
 Every page goes through one plan. The first way that finds offers supplies the page's rows; each row is then filled
-from its text by the same builder. Sites differ by the constants below only.
+from its text by the same builder, with what site_rules.py reads from the addresses of some sites.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from tidewell.functions import text as T
 from tidewell.functions import url as U
 from tidewell.operators import crawl_quality as CQ
 from tidewell.operators import extract as X
+from tidewell.operators import site_rules as SR
 from tidewell.operators.relational import first_per
 
 # fixed values
@@ -71,14 +72,19 @@ def built(rows: DataFrame) -> DataFrame:
     both = F.concat_ws(" ", "title", "description", "text")
     found = T.once(both, T.detect_discount)
     coupon = F.upper(F.coalesce("code", T.found(both, C.PATTERNS["coupon"])))
-    df = rows.withColumn("_d", found).withColumn("_c", coupon)
+    hints = T.once(F.struct("source_url", "source_type"), lambda s: SR.slug_hints(s["source_url"], s["source_type"]))
+    df = rows.withColumn("_d", found).withColumn("_c", coupon).withColumn("_h", hints)
+    # an address counts before the text on one site, and where the text tells no more than 1 on the other
+    weak = (F.col("source_type") == "hsbc") | F.coalesce(F.col("_d.value").try_cast("double") <= 1, F.col("_d.value").isNull())
+    df = df.withColumn("_d", F.when(F.col("_h.value").isNotNull() & weak, F.struct(F.col("_h.type").alias("type"), F.col("_h.value").alias("value"))).otherwise(F.col("_d")))
+    df = df.where(~F.coalesce(F.col("_h.instalment"), F.lit(False)) | (F.col("_h.until").isNotNull() & F.col("_h.merchant").isNotNull()))
     b = both
     df = df.select(
         "source_url",
         "source_type",
         F.col("title").alias("offer_title"),
         F.col("description").alias("offer_description"),
-        F.coalesce("merchant", merchant_in_title(F.col("title"))).alias("merchant_name"),
+        F.coalesce("merchant", F.when(F.col("source_type") == "hsbc", F.col("_h.merchant")), F.when(F.col("_h.value").isNotNull(), F.col("_h.merchant")), merchant_in_title(F.col("title"))).alias("merchant_name"),
         T.lookup(F.col("source_type"), C.BANK_BY_SOURCE).alias("bank_name"),
         T.once(b, card_name).alias("card_name"),
         F.coalesce(F.when(F.col("code").isNotNull() & F.col("_d.type").isNull(), "coupon"), F.col("_d.type")).alias("discount_type"),
@@ -88,9 +94,9 @@ def built(rows: DataFrame) -> DataFrame:
         T.found(b, C.PATTERNS["min_spend"]).alias("min_spend"),
         T.found(b, C.PATTERNS["cap"]).alias("cap_value"),
         T.once(b, lambda x: day(x, VALIDITY)).cast("string").alias("valid_from"),
-        F.coalesce("until", T.once(b, lambda x: F.coalesce(day(x, EXPIRY), day(x, VALIDITY))).cast("string")).alias("valid_to"),
+        F.coalesce("until", T.once(b, lambda x: F.coalesce(day(x, EXPIRY), day(x, VALIDITY))).cast("string"), F.col("_h.until").cast("string"), F.when(F.col("source_type") == "fab", SR.year_end(b)).cast("string")).alias("valid_to"),
         T.once(b, T.payment_methods).alias("payment_methods"),
-        T.once(b, T.page_categories).alias("categories"),
+        T.distinct_filled(F.concat(T.once(b, T.page_categories), SR.tags(b, F.col("source_type"), F.col("_h.instalment")))).alias("categories"),
         T.stackable(b).alias("stackable"),
         F.length("text").alias("page_length"),
         F.col("text").alias("raw_text"),
@@ -125,6 +131,10 @@ def page_offers(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     title = F.coalesce(X.meta(F.col("html"), "og:title"), tag_text(F.col("html"), "h1"), X.title(F.col("html")))
     about = F.coalesce(X.meta(F.col("html"), "og:description"), X.meta(F.col("html"), "description"))
     whole = p.where(T.matches(F.concat_ws(" ", title, "text"), SIGNAL)).select("page_url", "source_type", offer("page", 3, here, title, none, about, none, none, F.col("text")).alias("o"))
+    titled = p.withColumn("title", F.coalesce(tag_text(F.col("html"), "h1"), X.title(F.col("html"))))
+    tiers = SR.tier_rows(titled).select("page_url", "source_type", offer("tier", 1, here, F.col("tier_title"), F.lit("Mashreq"), F.col("tier_title"), none, none, F.col("tier_title")).alias("o"))
+    shops = SR.benefit_rows(p).select("page_url", "source_type", offer("card benefit", 1, here, F.col("shop_title"), F.col("shop"), F.col("snippet"), none, none, F.col("shop_title")).alias("o"))
+    cards = cards.unionByName(tiers).unionByName(shops)
     rows = data.unionByName(cards).unionByName(slugs).unionByName(whole).select("page_url", "source_type", "o.*")
     rows = rows.where((F.length(F.coalesce("title", F.lit(""))) >= 4) & (T.matches(F.concat_ws(" ", "title", "text"), SIGNAL) | F.col("code").isNotNull() | F.col("until").isNotNull()))
     first = rows.groupBy("page_url").agg(F.min("order").alias("order"))

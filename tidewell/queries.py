@@ -20,6 +20,7 @@ from tidewell.operators import records as N
 from tidewell.operators import registry as G
 from tidewell.operators import relational as R
 from tidewell.operators import site_offers as S
+from tidewell.operators import site_rules as SR
 from tidewell.operators import wallet as W
 from tidewell.plans import ingestion as I
 
@@ -76,7 +77,7 @@ def schema_validate_route(spark, sf):
 
 
 def order_offers(spark, sf):
-    o = R.spread(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "o_custkey"))
+    o = table(spark, sf, "orders")
     kind = F.when(F.col("o_orderstatus") == "O", "percent").when(F.col("o_orderstatus") == "F", "fixed")
     value = F.when(F.col("o_orderstatus") != "P", F.floor(F.col("o_totalprice") / 1000).cast("string"))
     return Q.offers(
@@ -246,7 +247,14 @@ def html_title_links(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.title(h).alias("title"), F.size(X.links(h)).cast("long").alias("links"))
 
 
-@query()
+VISIBLE = "html"
+for _tag in ("script", "style", "nav", "footer", "header", "noscript", "svg", "form", "iframe"):
+    VISIBLE = f"regexp_replace({VISIBLE}, '(?is)<{_tag}\\b[^>]*>.*?</{_tag}>', ' ', 'g')"
+
+
+@query(f"""WITH v AS (SELECT page_id, lower(url) AS u, html, trim(regexp_replace(regexp_replace(regexp_replace({VISIBLE}, '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS t FROM pages)
+SELECT page_id, length(t) AS n, CASE WHEN regexp_matches(lower(t), '404 not found|page not found|can''t seem to find the page|access denied') AND length(t) < 2000 THEN 'error' WHEN regexp_matches(u, '/(?:offers?|deals?|promotions?)/?(?:[?#]|$)') THEN 'listing'
+WHEN regexp_matches(u, '/(?:offers?|deals?|promotions?)/[^/?#]+') THEN 'detail' WHEN length(t) < 200 AND length(html) > 5000 THEN 'shell' WHEN regexp_matches(lower(t[:80]), '^[^.]{{0,60}}offers?\\b') THEN 'category' ELSE 'unknown' END AS page_type FROM v""")
 def html_visible_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.length(X.visible_text(F.col("html"))).alias("n"), X.page_type(F.col("url"), X.visible_text(F.col("html")), F.col("html")).alias("page_type"))
 
@@ -780,3 +788,47 @@ def instrument_names(spark, sf):
     k = F.col("c_custkey")
     at = lambda pairs: _case(k, [a for a, _ in pairs])
     return table(spark, sf, "customer").select("c_custkey", W.bank(at(BANK_NAMES)).alias("bank"), W.tier(at(TIERS)).alias("tier"), W.network(at(NETWORK_NAMES)).alias("network"), W.program(at(PROGRAM_NAMES)).alias("program"))
+
+
+# ---- rules of single sites
+
+
+SLUGS = [
+    ("hsbc", "https://www.hsbc.ae/special-offers/marina-hotel-25-off-on-rooms-05-06-2027/", "percent", "25", "Marina", "2027-06-05"),
+    ("hsbc", "https://www.hsbc.ae/special-offers/airalo-3gb-free/", "fixed", "3", "Airalo", None),
+    ("hsbc", "https://www.hsbc.ae/special-offers/cafe-bogo-10-off-x/", "percent", "50", "Cafe", None),
+    ("hsbc", "https://www.hsbc.ae/special-offers/entertainer-complimentary-12-month/", "fixed", "12", "Entertainer", None),
+    ("fab", "https://www.bankfab.com/offers/red-rose-discount-15", "percent", "15", "Red Rose", None),
+    ("fab", "https://www.bankfab.com/offers/blue-sky-20-off", "percent", "20", "Blue Sky", None),
+    ("cbd", "https://www.cbd.ae/offers/x-20-off-y", None, None, None, None),
+]
+
+
+@query(f"SELECT c_custkey, {', '.join(_case_sql('c_custkey', [s[i] for s in SLUGS]) + f' AS {n}' for i, n in ((2, 'kind'), (3, 'value'), (4, 'merchant'), (5, 'until')))} FROM customer")
+def slug_hint_cases(spark, sf):
+    k = F.col("c_custkey")
+    h = SR.slug_hints(_case(k, [s[1] for s in SLUGS]), _case(k, [s[0] for s in SLUGS]))
+    return table(spark, sf, "customer").select("c_custkey", h.alias("h")).select("c_custkey", F.col("h.type").alias("kind"), "h.value", "h.merchant", F.col("h.until").cast("string").alias("until"))
+
+
+@query("""SELECT c_custkey, tier FROM (SELECT DISTINCT c_custkey, unnest([c_custkey * 10, 1, c_nationkey, 25]) AS tier FROM customer) WHERE tier > 1""")
+def cashback_tiers(spark, sf):
+    words = F.concat(F.lit("Up to AED "), F.format_number(F.col("c_custkey") * 10, 0), F.lit(" cashback or AED 1 or AED "), F.col("c_nationkey").cast("string"), F.lit(" cash-back, AED 25"))
+    p = table(spark, sf, "customer").select("c_custkey", F.lit("https://www.mashreq.com/neo/offers/early-bird-cashback").alias("page_url"), F.lit("mashreq").alias("source_type"), F.lit("t").alias("title"), words.alias("text"))
+    return SR.tier_rows(p).select("c_custkey", "tier")
+
+
+@query("""SELECT s_suppkey, shop, (5 + s_suppkey % 40) || '% cashback at ' || shop AS shop_title FROM (SELECT s_suppkey, unnest([s_name, 'Lulu', 'Noon']) AS shop FROM supplier)""")
+def card_benefits(spark, sf):
+    k = F.col("s_suppkey")
+    html = F.concat(F.lit("<ul><li>Enjoy "), (5 + k % 40).cast("string"), F.lit("% cashback at "), F.col("s_name"), F.lit(", Lulu and Noon.</li><li>Free lounge</li></ul>"))
+    p = table(spark, sf, "supplier").select("s_suppkey", F.concat(F.lit("https://www.mashreq.com/en/cards/credit-cards/"), k.cast("string")).alias("page_url"), F.lit("mashreq").alias("source_type"), html.alias("html"))
+    return SR.benefit_rows(p).select("s_suppkey", "shop", "shop_title")
+
+
+@query("""SELECT url, title, query, CAST(rank AS INT) AS rank FROM (SELECT 'https://shop' || s_suppkey || '.com/deals' AS url, s_name AS title, 'q' || s_suppkey AS query, 10 * (s_suppkey % 3) + 1 AS rank FROM supplier
+UNION ALL SELECT 'https://other.com/offers', 'Other offers', 'q' || s_suppkey, 10 * (s_suppkey % 3) + 2 FROM supplier)""")
+def result_page_rows(spark, sf):
+    k = F.col("s_suppkey").cast("string")
+    html = F.concat(F.lit('<a href="/url?q=https://shop'), k, F.lit('.com/deals&amp;sa=U"><h3>'), F.col("s_name"), F.lit('</h3></a><a href="https://www.facebook.com/x"><h3>Blocked</h3></a><a href="https://other.com/offers"><h3>Other  offers</h3></a> text'))
+    return SR.result_rows(table(spark, sf, "supplier").select(html.alias("html"), F.concat(F.lit("q"), k).alias("query"), (10 * (F.col("s_suppkey") % 3)).cast("int").alias("offset"))).select("url", "title", "query", "rank")
