@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.keys import round2
+from tidewell.functions.text import plain_number
 
 MAX_SHARE = 0.9  # of the amount that may be taken off
 
@@ -238,3 +239,22 @@ def merged_coupons(wallet: DataFrame, crawled: DataFrame) -> DataFrame:
 
     up = lambda df: df.withColumn("code", F.upper("code"))
     return union_first([up(wallet), up(crawled)], ["owner", "code"], [F.col("value").desc()])
+
+
+def reward_label(points: Column, gold: Column) -> Column:
+    """What a payment earns, in words."""
+    parts = F.array_compact(F.array(F.when(points > 0, F.concat(plain_number(points.cast("double")), F.lit(" points"))), F.when(gold > 0, F.concat(plain_number(gold), F.lit(" mg GOLD")))))
+    return F.when(F.size(parts) > 0, F.array_join(parts, " + ")).otherwise("0 points")
+
+
+def card_rewards(requests: DataFrame) -> DataFrame:
+    """(request_id, card_id, points, gold_mg, label) of each card if it paid the whole amount."""
+    cards = requests.select("request_id", "amount", F.explode("cards").alias("card"))
+    points, gold = F.floor(_or0(F.col("amount") * F.col("card.points_rate")) + 1e-9), round2(_or0(F.col("amount") * F.col("card.gold_rate")))
+    return cards.select("request_id", F.col("card.id").alias("card_id"), points.alias("points"), gold.alias("gold_mg"), reward_label(points, gold).alias("label"))
+
+
+def recommended(best: DataFrame) -> DataFrame:
+    """best_combination's rows with which instruments they use."""
+    used = lambda c: F.coalesce(F.col(c) > 0, F.lit(False))
+    return best.select("request_id", used("loyalty_aed").alias("loyalty"), used("coupon_aed").alias("coupon"), used("member_aed").alias("membership"), "card_id", "bank_id")

@@ -98,3 +98,10 @@ def coverage(offers: DataFrame, thresholds: DataFrame, strong: Column) -> DataFr
     n = offers.groupBy("source_type").agg(F.count("*").alias("n"), F.count_if(strong).alias("strong"))
     out = thresholds.join(n, "source_type", "left").withColumns({"n": F.coalesce("n", F.lit(0)), "strong": F.coalesce("strong", F.lit(0))})
     return out.withColumn("covered", (F.col("n") >= F.col("least")) & (F.col("strong") >= F.col("least_strong")))
+
+
+def merged_profiles(sources: DataFrame, source_types: list[str], entries: dict[str, str], column: str = "parser_profile") -> DataFrame:
+    """sources whose map column takes the entries, over its own, for some types."""
+    new = F.create_map(*(F.lit(x) for k, v in entries.items() for x in (k, v)))
+    old = F.map_filter(F.coalesce(column, F.create_map().cast("map<string,string>")), lambda k, v: ~k.isin(*entries))
+    return sources.withColumn(column, F.when(F.col("source_type").isin(source_types), F.map_concat(old, new)).otherwise(F.col(column)))

@@ -142,3 +142,26 @@ def explanation(best: DataFrame) -> DataFrame:
 def parse_answer(x: Column, schema: str = "bestIndex int, reason string") -> Column:
     """The JSON object in a free text, from its first to its last brace; null if there is none."""
     return F.from_json(F.regexp_extract(x, r"(?s)\{.*\}", 0), schema)
+
+
+def new_sessions(asked: DataFrame, merchants: DataFrame) -> DataFrame:
+    """Open sessions for asked(session_id, user_id, merchant_id, amount, currency, session_type) of known merchants with an amount."""
+    df = asked.where(F.col("merchant_id").isNotNull() & (F.col("amount") > 0)).join(merchants.select("merchant_id"), "merchant_id", "left_semi")
+    return df.select("session_id", "user_id", "merchant_id", "amount", F.coalesce("currency", F.lit("AED")).alias("currency"), F.coalesce("session_type", F.lit("online")).alias("session_type"), F.lit("open").alias("status"))
+
+
+def patched_sessions(sessions: DataFrame, patches: DataFrame, columns: list[str]) -> DataFrame:
+    """sessions with what patches(session_id, user_id, columns) set; nulls leave a value, and only the owner's patches count."""
+    p = patches.select(F.col("session_id"), F.col("user_id"), *(F.col(c).alias(f"_{c}") for c in columns))
+    return sessions.join(p, ["session_id", "user_id"], "left").withColumns({c: F.coalesce(f"_{c}", c) for c in columns}).select(sessions.columns)
+
+
+def backfilled(rows: DataFrame, value: str = "amount", columns: tuple[str, ...] = ("gross_amount", "net_amount")) -> DataFrame:
+    """Missing amounts take the value; given ones stay."""
+    return rows.withColumns({c: F.coalesce(c, value) for c in columns})
+
+
+def add_banks(banks: DataFrame, new: DataFrame) -> DataFrame:
+    """banks with new(user_id, id, bank, enabled): known ids of a user stay, names are the usual ones."""
+    rows = new.where("id is not null").withColumn("bank", bank(F.col("bank"))).withColumn("enabled", F.coalesce("enabled", F.lit(True)))
+    return banks.unionByName(rows.select(banks.columns).join(banks, ["user_id", "id"], "left_anti").select(banks.columns))

@@ -832,3 +832,46 @@ def result_page_rows(spark, sf):
     k = F.col("s_suppkey").cast("string")
     html = F.concat(F.lit('<a href="/url?q=https://shop'), k, F.lit('.com/deals&amp;sa=U"><h3>'), F.col("s_name"), F.lit('</h3></a><a href="https://www.facebook.com/x"><h3>Blocked</h3></a><a href="https://other.com/offers"><h3>Other  offers</h3></a> text'))
     return SR.result_rows(table(spark, sf, "supplier").select(html.alias("html"), F.concat(F.lit("q"), k).alias("query"), (10 * (F.col("s_suppkey") % 3)).cast("int").alias("offset"))).select("url", "title", "query", "rank")
+
+
+# ---- sessions, profiles, rewards
+
+
+@query("""SELECT o_orderkey AS session_id, o_custkey AS user_id, o_totalprice AS amount, 'AED' AS currency, CASE WHEN o_orderkey % 2 = 0 THEN 'pos' ELSE 'online' END AS session_type, 'open' AS status FROM orders WHERE o_totalprice > 0 AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) AND o_orderkey % 5 <> 0""")
+def new_sessions(spark, sf):
+    k = F.col("o_orderkey")
+    asked = table(spark, sf, "orders").select(k.alias("session_id"), F.col("o_custkey").alias("user_id"), F.when(k % 5 != 0, F.col("o_custkey")).alias("merchant_id"), F.col("o_totalprice").alias("amount"), F.lit(None).cast("string").alias("currency"), F.when(k % 2 == 0, "pos").alias("session_type"))
+    shops = table(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("merchant_id"))
+    return W.new_sessions(asked, shops).drop("merchant_id")
+
+
+@query("""SELECT o_orderkey AS session_id, CASE WHEN o_orderkey % 3 = 0 THEN 'c9' ELSE 'c1' END AS card_id, CASE WHEN o_orderkey % 6 = 0 THEN 'X' END AS coupon_code FROM orders""")
+def session_patches(spark, sf):
+    o, k = table(spark, sf, "orders"), F.col("o_orderkey")
+    sessions = o.select(k.alias("session_id"), F.col("o_custkey").alias("user_id"), F.lit("c1").alias("card_id"), F.lit(None).cast("string").alias("coupon_code"))
+    patches = o.where("o_orderkey % 3 < 2").select(k.alias("session_id"), F.when(k % 3 == 0, F.col("o_custkey")).otherwise(-1).alias("user_id"), F.lit("c9").alias("card_id"), F.when(k % 6 == 0, "X").alias("coupon_code"))
+    return W.patched_sessions(sessions, patches, ["card_id", "coupon_code"]).drop("user_id")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 1.5 ELSE o_totalprice END AS gross_amount, o_totalprice AS net_amount FROM orders")
+def amount_backfill(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("amount"), F.when(F.col("o_orderkey") % 2 == 0, 1.5).alias("gross_amount"), F.lit(None).cast("double").alias("net_amount"))
+    return W.backfilled(o).drop("amount")
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'new' ELSE 'old' END AS mode, 'kept' AS other, CASE WHEN s_suppkey % 3 = 0 THEN '2' END AS depth FROM supplier""")
+def profile_merge(spark, sf):
+    s = table(spark, sf, "supplier").select("s_suppkey", F.concat(F.lit("t"), (F.col("s_suppkey") % 3).cast("string")).alias("source_type"), F.create_map(F.lit("mode"), F.lit("old"), F.lit("other"), F.lit("kept")).alias("parser_profile"))
+    p = lambda k: F.try_element_at("parser_profile", F.lit(k)).alias(k)
+    return G.merged_profiles(s, ["t0"], {"mode": "new", "depth": "2"}).select("s_suppkey", p("mode"), p("other"), p("depth"))
+
+
+@query(f"""SELECT o_orderkey AS request_id, card AS card_id, CAST(floor(o_totalprice * pr + 1e-9::DOUBLE) AS BIGINT) AS points, {R2.format('o_totalprice * gr')} AS gold_mg, gr > 0 AS gold FROM orders, (VALUES ('c1', 2.0::DOUBLE, 0.01::DOUBLE), ('c2', 1.0::DOUBLE, 0.0::DOUBLE)) i(card, pr, gr)""")
+def card_rewards(spark, sf):
+    r = P.card_rewards(requests(spark, sf))
+    return r.select("request_id", "card_id", F.col("points").cast("long").alias("points"), "gold_mg", F.col("label").endswith(" mg GOLD").alias("gold"))
+
+
+@query(PAY + "SELECT request_id, l2 > 0 AS loyalty, cp2 > 0 AS coupon, mb2 > 0 AS membership, card AS card_id, bank AS bank_id FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY total DESC, ord) AS n FROM w) WHERE n = 1")
+def recommended_instruments(spark, sf):
+    return P.recommended(P.best_combination(requests(spark, sf)))
