@@ -26,6 +26,7 @@ input are ignored.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import uuid
@@ -147,7 +148,19 @@ class ChunkEncoder:
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts of a column after one another, and how many each has. Null texts have none."""
+        """The ids of all texts of a column after one another, and how many each has. Null texts have none.
+
+        The many small objects of a call hold no cycles, so the collector need not look through them meanwhile.
+        """
+        was = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if was:
+                gc.enable()
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = pc.match_substring_regex(texts, ODD_TEXT)
         for token in self.added:
