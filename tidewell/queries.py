@@ -875,3 +875,6 @@ def card_rewards(spark, sf):
 @query(PAY + "SELECT request_id, l2 > 0 AS loyalty, cp2 > 0 AS coupon, mb2 > 0 AS membership, card AS card_id, bank AS bank_id FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY total DESC, ord) AS n FROM w) WHERE n = 1")
 def recommended_instruments(spark, sf):
     return P.recommended(P.best_combination(requests(spark, sf)))
+
+
+from tidewell import page_queries as _page_queries  # noqa: E402,F401  registers more queries
