@@ -10,7 +10,7 @@ from tidewell.operators import relational as R
 from tidewell.operators import wallet as W
 from tidewell.plans import ingestion as I
 from tidewell.sources import crawl
-from tidewell.streaming.ingest import apply_batch, stream
+from tidewell.streaming.ingest import apply_batch, offers_table, stream
 
 GOOD = {"sourceUrl": "https://www.adcb.com/offers/x?utm_source=a", "sourceType": "adcb", "offerTitle": "20% off at Carrefour", "merchantName": "Carrefour", "discountType": "percent", "discountValue": 20, "validTo": "31/12/2027", "confidence": 0.8, "pageLength": 2000, "crawlDepth": 1, "scrapedAt": "2026-01-01T00:00:00Z", "parserName": "adcb"}
 
@@ -84,7 +84,26 @@ def test_likely_duplicates_are_merged(spark, registry, tmp_path):
     batch = {"longer": other, "again": {**other, "sourceUrl": "https://www.adcb.com/offers/w"}, "value": {**no_shop, "discountValue": 16}, "host": {**other, "sourceUrl": "https://shop.adcb.com/offers/y"}, "shop": {**other, "merchantName": "Ikea"}}
     two = I.upsert(one, rows_of(spark, batch, registry, tmp_path / "2").persist(), seen(2)).persist()
     old = {r.canonical_key for r in one.collect()}
-    assert sorted((r.merchant_name or "", r.action, r.canonical_key in old) for r in two.collect()) == [("", "updated", True), ("Carrefour", "inserted", False), ("Carrefour", "updated", True), ("Ikea", "inserted", False), ("Lulu", "kept", True)]
+    assert sorted((r.merchant_name or "", r.action, r.canonical_key in old) for r in two.collect()) == [("", "updated", True), ("Carrefour", "inserted", False), ("Ikea", "updated", True), ("Lulu", "kept", True)]  # "shop" has the page of "longer"
+
+
+def test_chains_of_duplicates_within_a_batch_are_one_offer(spark, registry, tmp_path):
+    """A is like B and B like C, though A is not like C; D has only the page of C; E is of another shop."""
+    seen = F.lit("2026-01-01").cast("timestamp")
+    for n in "12":
+        (tmp_path / n).mkdir()
+    at = lambda n, title, **more: {**GOOD, "sourceUrl": f"https://www.adcb.com/offers/{n}", "offerTitle": title, **more}
+    batch = {"a": at(1, "20% off at Carrefour this week only"), "b": at(2, "20% off at Carrefour"), "c": at(3, "Get 20% off at Carrefour"), "d": at(3, "Get 20% off at Carrefour", merchantName="Carrefour UAE", offerDescription="the fullest row of all"), "e": at(4, "20% off at Carrefour", merchantName="Ikea")}
+    rows = rows_of(spark, batch, registry, tmp_path / "1").persist()
+    assert rows.where("route = 'offers'").select("canonical_key").distinct().count() == 5
+    empty = I.preferred(rows).withColumns({"first_seen_at": seen, "last_seen_at": seen, "freshness": F.lit("fresh")}).limit(0)
+    one = I.upsert(empty, rows, seen).persist()
+    got = sorted((r.merchant_name, r.offer_description, r.action) for r in one.collect())
+    assert got == [("Carrefour UAE", "the fullest row of all", "inserted"), ("Ikea", None, "inserted")]
+    # what comes later goes with its group into the stored offer; a stored key stays with its own offer
+    late = {"x": at(9, "20% off at Carrefour on Mondays", merchantName="Carrefour UAE"), "y": at(8, "Get 20% off at Carrefour on Mondays", merchantName="Carrefour UAE"), "e": batch["e"]}
+    two = I.upsert(one.drop("action"), rows_of(spark, late, registry, tmp_path / "2"), seen).collect()
+    assert sorted(r.canonical_key for r in two) == sorted(r.canonical_key for r in one.collect())
 
 
 def test_stream_equals_batch(spark, registry, tmp_path):
@@ -93,11 +112,11 @@ def test_stream_equals_batch(spark, registry, tmp_path):
     stream(spark, folder, registry, str(tmp_path / "out")).awaitTermination()
     batch = I.evaluated(crawl.crawl_records(spark, folder), registry)
     keys = lambda df: sorted(r.canonical_key for r in df.select("canonical_key").collect())
-    assert keys(spark.read.parquet(str(tmp_path / "out/offers"))) == keys(batch.where("route = 'offers'").select("canonical_key").distinct())
+    assert keys(offers_table(spark, str(tmp_path / "out")).read()) == keys(batch.where("route = 'offers'").select("canonical_key").distinct())
     assert spark.read.parquet(str(tmp_path / "out/quarantine")).count() == 6
     write(tmp_path / "in", {"more": {**GOOD, "offerTitle": "A new one at Carrefour"}})
     stream(spark, folder, registry, str(tmp_path / "out")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out/offers")).count() == 3
+    assert offers_table(spark, str(tmp_path / "out")).read().count() == 3
 
 
 def test_a_batch_that_runs_again_changes_nothing(spark, registry, tmp_path):
@@ -107,13 +126,42 @@ def test_a_batch_that_runs_again_changes_nothing(spark, registry, tmp_path):
     second = batch(1, {"a": {**GOOD, "offerDescription": "now with a description"}})
     apply_batch(second, registry, out, 1)
     log = lambda: sorted(tuple(r) for r in spark.read.parquet(f"{out}/snapshots").collect())
-    table = lambda: sorted(map(repr, spark.read.parquet(f"{out}/offers").collect()))
+    table = lambda: sorted(map(repr, offers_table(spark, out).read().collect()))
     before = log(), table()
     assert len(before[0]) == 1 and "now with" in before[0][0][2]
     apply_batch(second, registry, out, 1)
     assert (log(), table()) == before
 
 
+def test_a_file_delivered_twice_counts_once(spark, registry, tmp_path):
+    folder = write(tmp_path / "in", {"a": GOOD, "copy": GOOD, "list": [{**GOOD, "offerTitle": "30% off at Lulu", "merchantName": "Lulu"}, {**GOOD, "discountValue": 150}]})
+    run = lambda: stream(spark, folder, registry, str(tmp_path / "out")).awaitTermination()
+    run()
+    table, log = offers_table(spark, str(tmp_path / "out")), lambda: spark.read.parquet(str(tmp_path / "out/quarantine")).count()
+    assert table.read().count() == 2 and log() == 1
+    before = sorted(map(repr, table.read().collect()))
+    write(tmp_path / "in", {"again": {**GOOD}, "list-again": [{**GOOD, "offerTitle": "30% off at Lulu", "merchantName": "Lulu"}, {**GOOD, "discountValue": 150}]})
+    run()
+    assert sorted(map(repr, table.read().collect())) == before and log() == 1
+
+
+def test_bytes_written_follow_the_batch(spark, registry, tmp_path):
+    """Two hosts; a batch of one leaves the other's buckets alone, and readers find the table whatever a batch left."""
+    out, table = str(tmp_path / "out"), offers_table(spark, str(tmp_path / "out"))
+    other = {**GOOD, "sourceUrl": "https://offers.bankfab.com/a", "bankName": "FAB"}
+    apply_batch(crawl.crawl_records(spark, write(tmp_path / "in0", {"a": GOOD, "b": other})), registry, out, 0)
+    first = {(b, n) for b, n, _ in table.folders()}
+    assert table.read().count() == 2 and {n for _, n in first} == {0}
+    apply_batch(crawl.crawl_records(spark, write(tmp_path / "in1", {"b": {**other, "offerDescription": "more"}})), registry, out, 1)
+    new = {(b, n) for b, n, _ in table.folders()} - first
+    assert len(new) == 1 and table.read().count() == 2 and table.done() == [0, 1]
+    old = sorted(r.offer_description or "" for r in table.read(upto=0).collect())
+    assert old == ["", ""] and sorted(r.offer_description or "" for r in table.read().collect()) == ["", "more"]
+    # a batch that stopped before it was done is not seen, and is written over when it runs again
+    table.read().limit(0).unionByName(table.read().withColumn("offer_title", F.lit("half"))).withColumns({"bucket": table.bucket(), "batch": F.lit(2)}).write.partitionBy("bucket", "batch").mode("append").parquet(table.path)
+    assert table.read().where("offer_title = 'half'").count() == 0
+
+
 def test_material_changes(spark, registry, tmp_path):
     """A description or coupon makes a change, another spelling of the bank none; of equal scores the fuller row stays."""
     rows = rows_of(spark, {"a": GOOD, "b": {**GOOD, "offerDescription": "more of it"}, "c": {**GOOD, "couponCode": "SAVE20"}, "d": {**GOOD, "bankName": "Other Bank", "cardName": "Gold"}}, registry, tmp_path)

@@ -98,18 +98,18 @@ def likely_duplicates(df: DataFrame, row_id: str, host: str, merchant: str, bank
     """Pairs (a < b) equal in any key, or of one host and the same merchant and bank by slug, with similar titles.
 
     Similar titles have equal slugs, or one contains the other. A missing bank equals a missing bank; rows without a
-    host, merchant or title match by keys only. Titles are compared once per distinct slug of a block, so rows of one
-    title cost no comparison; the pairs themselves are as many as there are.
+    host, merchant or title match by keys only. Distinct titles meet by a containment join; the pairs of rows are as many
+    as there are (containment.groups gives classes in their place).
     """
     from tidewell.functions.text import slugify
+    from tidewell.operators.containment import containments
 
     slug = lambda name: F.coalesce(slugify(F.col(name).cast("string")), F.lit(""))
     parts = [or_join(df.select(F.col(row_id).alias("a"), *keys), df.select(F.col(row_id).alias("b"), *keys), [(k, k) for k in keys], "a", "b")] if keys else []
     rows = df.select(F.col(row_id).alias("_id"), F.col(host).alias("_host"), slug(merchant).alias("_merchant"), slug(bank).alias("_bank"), slug(title).alias("_title"))
     rows = rows.where("_host is not null and _merchant != '' and _title != ''")
     block = ["_host", "_merchant", "_bank"]
-    titles = rows.select(*block, "_title").distinct()
-    met = titles.withColumnRenamed("_title", "_x").join(titles.withColumnRenamed("_title", "_y"), block).where(F.contains("_x", F.col("_y")))
+    met = containments(rows, rows, block, "_title").withColumnsRenamed({"x": "_x", "y": "_y"})
     left, right = rows.withColumnsRenamed({"_id": "_p", "_title": "_x"}), rows.withColumnsRenamed({"_id": "_q", "_title": "_y"})
     near = met.join(left, [*block, "_x"]).join(right, [*block, "_y"]).where("_p != _q")
     parts.append(near.select(F.least("_p", "_q").alias("a"), F.greatest("_p", "_q").alias("b")))

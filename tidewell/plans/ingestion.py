@@ -10,6 +10,7 @@ from tidewell.functions import url as U
 from tidewell.functions.keys import dedupe_hash, joined
 from tidewell.operators import quality as Q
 from tidewell.operators import relational as R
+from tidewell.operators.containment import containments, groups, with_checkpoints
 from tidewell.sources.crawl import discovery_index, source_index
 
 STORED = ["normalized_url", "source_type", "bank_name", "card_name", "merchant_name", "offer_title", "offer_description", "discount_type", "discount_value", "currency", "coupon_code", "min_spend", "cap_value", "valid_from", "valid_to", "payment_methods", "eligible_mcc_list", "categories", "stackable", "confidence", "discovery_query", "discovery_source", "serp_rank", "snapshot_hash"]
@@ -50,36 +51,79 @@ def preferred(rows: DataFrame) -> DataFrame:
     return R.best_by(rows.withColumn("filled", Q.filled_fields()), ["canonical_key"], order, [*STORED, "filled"])
 
 
-def duplicates_of_stored(stored: DataFrame, new: DataFrame) -> DataFrame:
-    """(canonical_key, stored_key): new rows with the stored offer of their key, else the last seen of those that they are likely duplicates of.
+def matching(df: DataFrame) -> DataFrame:
+    """df with what likely duplicates share: _page and _hash (URL, title and coupon), and _host, _merchant, _bank, _title.
 
-    Likely duplicates have the same URL, title and coupon, or the same host, merchant and bank and similar titles.
-    All are one equi-join: a row is dealt out under each of its keys.
+    Two rows are likely duplicates if they have one page or hash, or one host, merchant and bank and similar titles:
+    equal slugs, or one within the other. Rows without a host have none of these, rows without a merchant no block.
     """
-    c, slug, url = F.col, lambda n: F.coalesce(T.slugify(F.col(n)), F.lit("")), F.nullif(F.col("normalized_url"), F.lit(""))
+    slug, url = lambda n: F.coalesce(T.slugify(F.col(n)), F.lit("")), F.nullif(F.col("normalized_url"), F.lit(""))
     host = F.nullif(U.hostname(url), F.lit(""))
-    key = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
-    keys = [
-        key("key", c("canonical_key")),
-        F.when(host.isNotNull(), key("page", joined(url, slug("offer_title"), F.lower(T.clean_text(c("coupon_code")))))),
-        F.when(host.isNotNull(), key("hash", dedupe_hash(url, c("offer_title"), c("coupon_code")))),
-        F.when(host.isNotNull() & (slug("merchant_name") != ""), key("near", joined(host, slug("merchant_name"), slug("bank_name")))),
-    ]
-    dealt = lambda df, *more: df.select(*more, F.explode(F.array(*keys)).alias("_k")).where("_k is not null")
-    left = dealt(new, "canonical_key", c("offer_title").alias("_new"))
-    right = dealt(stored, c("canonical_key").alias("stored_key"), c("offer_title").alias("_old"), c("last_seen_at").alias("_at"))
-    met = left.join(right, "_k").where((c("_k.kind") != "near") | (Q.title_similarity(c("_old"), c("_new")) >= 0.85))
-    return met.groupBy("canonical_key").agg(F.max_by("stored_key", F.struct(c("_k.kind") == "key", "_at", "stored_key")).alias("stored_key"))
+    of_host = lambda value: F.when(host.isNotNull(), value)
+    return df.withColumns({
+        "_page": of_host(joined(url, slug("offer_title"), F.lower(T.clean_text(F.col("coupon_code"))))),
+        "_hash": of_host(dedupe_hash(url, F.col("offer_title"), F.col("coupon_code"))),
+        "_host": F.when(slug("merchant_name") != "", host),
+        "_merchant": slug("merchant_name"),
+        "_bank": slug("bank_name"),
+        "_title": slug("offer_title"),
+    })
+
+
+BLOCK = ["_host", "_merchant", "_bank"]
+
+
+def duplicates_of_stored(stored: DataFrame, rows: DataFrame) -> DataFrame:
+    """(canonical_key, match): new rows, as matching() gives them, with struct(exact, at, stored_key) of the stored offer of their key, else of the
+    last seen of those that they are likely duplicates of.
+
+    Only stored offers of the new rows' hosts can match. They are summed up to one per key, page, hash and title of a block before they meet a new row, and titles
+    meet by the containment join, so that no block is compared as a whole.
+    """
+    c = F.col
+    at = F.coalesce(U.hostname(c("normalized_url")), c("normalized_url"), F.lit(""))
+    hosts = rows.select(at.alias("_at")).distinct()
+    near_by = stored.select("canonical_key", "normalized_url", "offer_title", "coupon_code", "merchant_name", "bank_name", "last_seen_at").withColumn("_at", at)
+    old = matching(near_by.join(hosts, "_at", "left_semi")).checkpoint()
+    match = lambda exact: F.struct(F.lit(exact).alias("exact"), c("last_seen_at").alias("at"), c("canonical_key").alias("stored_key"))
+    keyed = lambda df: F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), c(n).alias("value")) for k, n in (("key", "canonical_key"), ("page", "_page"), ("hash", "_hash")))))  # noqa: E731, ARG005
+    latest = old.select(keyed(old).alias("_k"), "last_seen_at", "canonical_key").where("_k.value is not null").groupBy("_k").agg(F.max(match(False)).alias("m"))
+    met = rows.select("canonical_key", keyed(rows).alias("_k")).where("_k.value is not null").join(latest, "_k")
+    exact = F.struct((c("_k.kind") == "key").alias("exact"), c("m.at").alias("at"), c("m.stored_key").alias("stored_key"))
+    by_title = old.groupBy(*BLOCK, "_title").agg(F.max(match(False)).alias("m"))
+    titles = containments(rows, old, BLOCK, "_title").select(*BLOCK, c("x").alias("_new"), c("y").alias("_title"))
+    titles = titles.unionByName(containments(old, rows, BLOCK, "_title").select(*BLOCK, c("y").alias("_new"), c("x").alias("_title")))
+    near = titles.join(by_title, [*BLOCK, "_title"]).groupBy(*BLOCK, c("_new").alias("_title")).agg(F.max("m").alias("m"))
+    found = met.select("canonical_key", exact.alias("m")).unionByName(rows.join(near, [*BLOCK, "_title"]).select("canonical_key", "m"))
+    return found.groupBy("canonical_key").agg(F.max("m").alias("match"))
+
+
+def duplicates_within(rows: DataFrame) -> DataFrame:
+    """(canonical_key, group_key) of rows of distinct keys, as matching() gives them: likely duplicates of likely duplicates are one group.
+
+    group_key is the key of the group's preferred row: higher confidence, then more filled fields, then the least key.
+    """
+    found = groups(rows, "canonical_key", F.array("_page", "_hash"), BLOCK, "_title")
+    ranked = rows.select("canonical_key", "confidence", "filled").join(found, "canonical_key")
+    best = ranked.groupBy("root").agg(F.min_by("canonical_key", F.struct(-F.col("confidence"), -F.col("filled"), "canonical_key")).alias("group_key"))
+    return ranked.join(best, "root").select("canonical_key", "group_key")
 
 
 def upsert(stored: DataFrame, accepted: DataFrame, seen_at: Column) -> DataFrame:
     """The offers table after a batch: stored(canonical_key, STORED, filled, first_seen_at, last_seen_at, freshness).
 
-    action: inserted, updated (the material fields changed), seen, or kept (not in the batch). Rows without a key
-    match are merged into the stored offer that they are likely duplicates of.
+    action: inserted, updated (the material fields changed), seen, or kept (not in the batch). A row whose key is
+    stored updates that offer. Other rows go with their group of likely duplicates within the batch: into the stored
+    offer that some row of it matches best, else into one new offer under the key of the preferred row.
     """
-    known = duplicates_of_stored(stored, preferred(accepted))
-    accepted = accepted.join(known, "canonical_key", "left").withColumn("canonical_key", F.coalesce("stored_key", "canonical_key")).drop("stored_key")
+    with_checkpoints(accepted.sparkSession)
+    rows = matching(preferred(accepted).select("canonical_key", "normalized_url", "offer_title", "coupon_code", "merchant_name", "bank_name", "confidence", "filled")).checkpoint()
+    within = duplicates_within(rows)
+    known = within.join(duplicates_of_stored(stored, rows), "canonical_key", "left")
+    per = known.groupBy("group_key").agg(F.max("match").alias("best"))
+    target = F.coalesce(F.when(F.col("match.exact"), F.col("match.stored_key")), F.col("best.stored_key"), F.col("group_key"))
+    into = known.join(per, "group_key").select("canonical_key", target.alias("_into")).checkpoint()
+    accepted = accepted.join(into, "canonical_key", "left").withColumn("canonical_key", F.coalesce("_into", "canonical_key")).drop("_into")
     new = preferred(accepted).withColumns({"first_seen_at": seen_at, "last_seen_at": seen_at, "freshness": F.lit("fresh")})
     columns = [*STORED, "filled", "first_seen_at", "last_seen_at", "freshness"]
     o, n = (lambda c: F.col(f"o_{c}")), (lambda c: F.col(f"n_{c}"))

@@ -877,4 +877,5 @@ def recommended_instruments(spark, sf):
     return P.recommended(P.best_combination(requests(spark, sf)))
 
 
-from tidewell import page_queries as _page_queries  # noqa: E402,F401  registers more queries
+from tidewell import merge_queries as _merge_queries  # noqa: E402,F401  registers more queries
+from tidewell import page_queries as _page_queries  # noqa: E402,F401
