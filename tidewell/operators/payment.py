@@ -47,7 +47,8 @@ def loyalty_earned(accounts: Column, pay: Column) -> Column:
 def options(requests: DataFrame) -> DataFrame:
     """Every combination of a request(request_id, amount, loyalty[], coupons[], membership, cards[], banks[]).
 
-    Cards come before banks, and within these the given order; `ord` numbers the combinations. Requests of
+    Cards come before banks, and within these the given order; `ord` numbers the combinations, each by a number of its
+    own however many accounts and coupons there are; instrument_at is the place of its card or bank. Requests of
     `with_card_offers` give card_discount too.
     """
     usable = lambda xs, cond: F.filter(F.coalesce(xs, F.array()), cond)
@@ -64,7 +65,8 @@ def options(requests: DataFrame) -> DataFrame:
     open_coupons = usable(F.col("coupons"), lambda c: c["enabled"])
     out = out.withColumn("_c", open_coupons).withColumn("_k", F.explode(F.sequence(F.lit(0), F.size("_c")))).withColumn("coupon", F.try_element_at("_c", F.greatest(F.col("_k"), F.lit(1)))).withColumn("coupon", F.when(F.col("_k") > 0, F.col("coupon")))
     out = out.withColumn("_m", F.explode(F.when(F.coalesce(F.col("membership") > 0, F.lit(False)), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    out = out.withColumn("ord", F.col("_i") * 1_000_000 + F.col("_j") * 10_000 + F.col("_k") * 10 + F.col("_m"))
+    place = (F.col("_i").cast("long") * (F.size("_l") + 1) + F.col("_j")) * (F.size("_c") + 1) + F.col("_k")
+    out = out.withColumns({"ord": place * 2 + F.col("_m"), "instrument_at": F.col("_i")})
     return out.withColumn("member_percent", F.when(F.col("_m") == 1, F.col("membership"))).drop("_cards", "_banks", "_i", "_l", "_j", "_c", "_k", "_m")
 
 
@@ -126,28 +128,67 @@ def ranked(evaluated: DataFrame) -> DataFrame:
     return kept.withColumn("rank", F.row_number().over(best))
 
 
+ORDS = 1 << 22  # combinations of a request that a score tells apart
+
+
+def score(total: Column, ord_: Column) -> Column:
+    """One number for the order of combinations: by total in cents, of equal ones the first.
+
+    A number so that the best is found by a hash aggregate, without sorts. A request of more than ORDS combinations, or
+    a total beyond 2 * 10^10, is an error that says so.
+    """
+    cents = F.round(total * 100).cast("long")
+    known = (ord_ < ORDS) & (F.abs(total) < 2e10)
+    return F.when(known, cents * ORDS + (ORDS - 1 - ord_)).otherwise(F.raise_error(F.lit("a request has too many combinations or too large a total")).cast("long"))
+
+
+def instrument_ids(requests: DataFrame) -> Column:
+    """(card_id, bank_id) by instrument_at: enabled cards, then enabled banks or a single missing one."""
+    pair = lambda card, bank: F.struct(card.cast("string").alias("card_id"), bank.cast("string").alias("bank_id"))
+    none = F.lit(None)
+    on = lambda name: F.filter(F.coalesce(F.col(name), F.array()), lambda x: x["enabled"])
+    banks = F.transform(on("banks"), lambda b: pair(none, b["id"]))
+    return F.concat(F.transform(on("cards"), lambda c: pair(c["id"], none)), F.when(F.size(on("banks")) > 0, banks).otherwise(F.array(pair(none, none))))
+
+
+AMOUNTS = ["loyalty_aed", "coupon_aed", "member_aed", "offer_aed", "total", "pay", "points", "gold_mg"]
+
+
 def best_combination(requests: DataFrame, offers: DataFrame | None = None, as_of: Column | None = None) -> DataFrame:
-    """The best combination per request, found by an aggregate: no request is sorted as a group.
+    """The best combination per request, by hash aggregates of numbers: nothing is sorted, a row per request and task moves.
 
     offers: card offers to choose from, valid on as_of, as `with_card_offers` takes them.
     """
     requests = requests if offers is None else with_card_offers(requests, offers, as_of)
-    fields = ["card.id", "bank_id", "loyalty_aed", "coupon_aed", "member_aed", "offer_aed", "total", "pay", "points", "gold_mg"]
-    rows = layers(options(requests))
-    earns = "loyalty_earned" in rows.columns
-    fields += ["loyalty_earned"] if earns else []
-    best = rows.groupBy("request_id", "amount").agg(F.max_by(F.struct(*(F.col(f).alias("card_id" if f == "card.id" else f) for f in fields)), F.struct("total", -F.col("ord"))).alias("b"), F.count("*").alias("combinations"))
-    best = best.select("request_id", "amount", "combinations", "b.*")
-    return best if earns else best.withColumn("loyalty_earned", F.create_map().cast("map<string,bigint>"))
+    combos = options(requests.withColumn("_ids", instrument_ids(requests)))
+    earns = _earns(combos)
+    # what is the same for all combinations of a request goes along as a key; ids and coins follow from the numbers
+    same = ["request_id", "amount", "_ids", *(["loyalty"] if earns else [])]
+    rows = layers(combos.select(*same, *(c for c in combos.columns if c not in same and c in USED))).withColumn("_s", score(F.col("total"), F.col("ord")))
+    best = rows.groupBy(*same).agg(*(F.max_by(c, "_s").alias(c) for c in (*AMOUNTS, "instrument_at")), F.count("*").alias("combinations"))
+    ids = F.try_element_at("_ids", F.col("instrument_at") + 1)
+    earned = loyalty_earned(F.col("loyalty"), F.col("pay")) if earns else F.create_map().cast("map<string,bigint>")
+    return best.select("request_id", "amount", "combinations", ids["card_id"].alias("card_id"), ids["bank_id"].alias("bank_id"), *AMOUNTS, earned.alias("loyalty_earned"))
+
+
+USED = ["ord", "instrument_at", "account", "coupon", "member_percent", "card", "bank_id", "card_discount"]
+
+
+def top_combinations(requests: DataFrame, n: int = 5) -> DataFrame:
+    """The n best combinations of each request with their rank; of equal card, bank and total only the first."""
+    return ranked(layers(options(requests))).where(F.col("rank") <= n)
 
 
 def per_instrument(evaluated: DataFrame) -> DataFrame:
-    """The best combination of each card and bank, and whether it is the best of all."""
-    key = F.coalesce(F.col("card.id"), F.col("bank_id"), F.lit("none"))
-    rows = evaluated.withColumn("instrument", key)
-    own = rows.groupBy("request_id", "instrument").agg(F.max_by(F.struct("total", "pay", "ord"), F.struct("total", -F.col("ord"))).alias("b")).select("request_id", "instrument", "b.*")
-    top = own.groupBy("request_id").agg(F.max(F.struct("total", -F.col("ord"))).alias("t"))
-    return own.join(top, "request_id").select("request_id", "instrument", "total", "pay", ((F.col("total") == F.col("t.total")) & (F.col("ord") == -F.col("t.col2"))).alias("recommended"))
+    """The best combination of each card and bank, and whether it is the best of all.
+
+    A request's instruments, one row each, come together as an array; nothing is sorted.
+    """
+    rows = evaluated.withColumns({"instrument": F.coalesce(F.col("card.id"), F.col("bank_id"), F.lit("none")), "_s": score(F.col("total"), F.col("ord"))})
+    own = rows.groupBy("request_id", "instrument").agg(F.max("_s").alias("_s"), F.max_by("total", "_s").alias("total"), F.max_by("pay", "_s").alias("pay"))
+    each = own.groupBy("request_id").agg(F.collect_list(F.struct("_s", "instrument", "total", "pay")).alias("_all"))
+    each = each.withColumns({"_top": F.array_max(F.transform("_all", lambda x: x["_s"])), "_x": F.explode("_all")})
+    return each.select("request_id", "_x.instrument", "_x.total", "_x.pay", (F.col("_x._s") == F.col("_top")).alias("recommended"))
 
 
 def offer_fits_card(offer_bank: Column, offer_card: Column, card_bank: Column, network: Column) -> Column:

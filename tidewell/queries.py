@@ -439,12 +439,12 @@ def purge_complement(spark, sf):
     return table(spark, sf, "events").where(~F.coalesce((F.col("event_type") == "error") & (k <= 50), F.lit(False))).select("event_id")
 
 
-@query("""WITH a AS (SELECT o_orderkey, o_totalprice AS p, o_orderstatus AS s FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT o_orderkey, o_totalprice * 2 AS p, 'N' AS s FROM orders WHERE o_orderkey % 2 = 0)
+@query("""WITH a AS (SELECT o_orderkey, o_totalprice AS p, o_orderstatus AS s FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT o_orderkey, o_totalprice * 2 AS p, 'N' AS s FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0)
 SELECT o_orderkey, CASE WHEN a.o_orderkey IS NULL OR b.p >= 300000 THEN b.p ELSE a.p END AS price, coalesce(a.s, b.s) AS status, CASE WHEN a.o_orderkey IS NULL THEN 'inserted' WHEN b.p >= 300000 THEN 'updated' ELSE 'kept' END AS action FROM a FULL JOIN b USING (o_orderkey)""")
 def merge_upsert(spark, sf):
     o = table(spark, sf, "orders")
     old = o.where("o_orderkey % 3 != 0").select("o_orderkey", F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"))
-    new = o.where("o_orderkey % 2 = 0").select("o_orderkey", (F.col("o_totalprice") * 2).alias("price"), F.lit("N").alias("status"))
+    new = o.where("o_orderkey % 2 = 0 OR o_orderkey % 3 = 0").select("o_orderkey", (F.col("o_totalprice") * 2).alias("price"), F.lit("N").alias("status"))
     return R.merge(old, new, ["o_orderkey"], ["price", "status"], F.col("n_price") >= 300000, sticky=["status"])
 
 
@@ -473,7 +473,7 @@ def _split(text: str) -> list[str]:
 
 R2 = "floor(({}) * 100 + 0.5) / 100"
 PAY = f"""WITH r AS (SELECT o_orderkey AS request_id, o_totalprice AS amount FROM orders), i(i, card, bank, pr, gr) AS (VALUES (0, 'c1', NULL, 2.0::DOUBLE, 0.01::DOUBLE), (1, 'c2', NULL, 1.0::DOUBLE, 0.0::DOUBLE), (2, NULL, 'b1', NULL, NULL)),
-o AS (SELECT r.*, i.*, j, k, m, i * 1000000 + j * 10000 + k * 10 + m AS ord FROM r, i, (VALUES (0), (1)) x(j), (VALUES (0), (1), (2)) y(k), (VALUES (0), (1)) z(m)),
+o AS (SELECT r.*, i.*, j, k, m, ((i * 2 + j) * 3 + k) * 2 + m AS ord FROM r, i, (VALUES (0), (1)) x(j), (VALUES (0), (1), (2)) y(k), (VALUES (0), (1)) z(m)),
 a AS (SELECT *, CASE WHEN j = 1 AND least(4000.0::DOUBLE, amount * 100) / 100 >= 0.01 THEN {R2.format('least(4000.0::DOUBLE, amount * 100) / 100')} ELSE 0.0::DOUBLE END AS l FROM o),
 b AS (SELECT *, {R2.format('amount - l')} AS r1 FROM a),
 c AS (SELECT *, CASE WHEN k = 1 AND amount >= 150 THEN {R2.format('least(r1 * 10.0::DOUBLE / 100, 500.0::DOUBLE, r1)')} WHEN k = 2 THEN {R2.format('least(30.0::DOUBLE, r1)')} ELSE 0.0::DOUBLE END AS cp FROM b),
@@ -486,10 +486,9 @@ w AS (SELECT *, CAST(floor(coalesce(base * pr, 0.0::DOUBLE) + 1e-9::DOUBLE) AS B
 """
 
 
-@query(PAY + "SELECT request_id, ord, l2 AS loyalty_aed, cp2 AS coupon_aed, mb2 AS member_aed, pay, total, points, gold_mg FROM w WHERE request_id % 5 = 0")
+@query(PAY + "SELECT request_id, ord, l2 AS loyalty_aed, cp2 AS coupon_aed, mb2 AS member_aed, pay, total, points, gold_mg FROM w")
 def pay_layers(spark, sf):
-    r = requests(spark, sf).where("request_id % 5 = 0")
-    return P.layers(P.options(r)).select("request_id", "ord", "loyalty_aed", "coupon_aed", "member_aed", "pay", "total", F.col("points").cast("long").alias("points"), "gold_mg")
+    return P.layers(P.options(requests(spark, sf))).select("request_id", "ord", "loyalty_aed", "coupon_aed", "member_aed", "pay", "total", F.col("points").cast("long").alias("points"), "gold_mg")
 
 
 @query(PAY + "SELECT request_id, ord, l2 AS loyalty_aed, cp2 AS coupon_aed, mb2 AS member_aed, pay, total, points, gold_mg FROM w")
@@ -508,6 +507,12 @@ def pay_instruments(spark, sf):
     return P.per_instrument(P.layers(P.options(requests(spark, sf))))
 
 
+@query(PAY + """, d1 AS (SELECT *, row_number() OVER (PARTITION BY request_id, card, bank, total ORDER BY ord) AS n FROM w), t5 AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY total DESC, ord) AS rank FROM d1 WHERE n = 1)
+SELECT request_id, CAST(rank AS INTEGER) AS rank, card AS card_id, bank AS bank_id, total, pay FROM t5 WHERE rank <= 5""")
+def pay_top5(spark, sf):
+    return P.top_combinations(requests(spark, sf)).select("request_id", "rank", F.col("card.id").alias("card_id"), "bank_id", "total", "pay")
+
+
 @query("""SELECT owner, code, max_by(value, pri * 1000000 + value) AS value FROM (SELECT p_brand AS owner, upper(p_type) AS code, p_retailprice AS value, 1 AS pri FROM part WHERE p_size < 25 UNION ALL SELECT p_brand, upper(p_type), p_retailprice, 0 FROM part) GROUP BY 1, 2""")
 def coupon_merge_priority(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_brand").alias("owner"), F.col("p_type").alias("code"), F.col("p_retailprice").alias("value"), "p_size")
