@@ -7,8 +7,9 @@ there is none; tests compare with brute force.
 
 Defined results: a null or empty text is judged like any other by the classifier, has no near-duplicates and no
 personal data, and is encoded as the end id alone; rows of one id and text are one document; rows without an id take
-part; an empty table passes through all stages; columns of any name, those of the stages' own results included, come
-out as they went in, but that personal data is replaced in text and n_chars follows it.
+part; an empty table passes through all stages; columns of any name, those of the stages' own results included, leave
+the first four stages as they went in, but that personal data is replaced in text and n_chars follows it. The last
+stage returns doc_id, the ids and their digests, and no other column.
 """
 
 from __future__ import annotations
