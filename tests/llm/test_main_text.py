@@ -126,3 +126,43 @@ def test_odd_pages(spark):
     got = mt.extract_main_text(df)
     assert got.columns == ["page_id", "html", "text"]
     assert sorted(r.text for r in got.collect()) == sorted(["", "", "", "plain words only", "", "x & y z bold", "", "twice", "a b c d e f g\nh i j k l m n o"])
+
+
+LONG = "This is a paragraph of the article with enough words in it to be taken for what it is, a part of the text."
+
+
+def page(inner):
+    return f"<html><body><nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav><article><h1>A heading of some words</h1><p>{LONG}</p>{inner}<p>{LONG}</p></article><footer>&copy; x</footer></body></html>"
+
+
+def lines(inner):
+    return mt.main_text(page(inner), mt.load_model()).split("\n")
+
+
+def test_comments_end_as_the_standard_says():
+    whole = lines("")
+    for comment in ("<!-->", "<!--->", "<!-- x --!>", "<!-- x -->", "<!---->", "<!-- > -->"):
+        assert lines(comment) == whole, comment
+
+
+def test_a_control_takes_only_its_own_text_along():
+    short = "One short paragraph of eleven words that has a control here"
+    assert short in " ".join(lines(f"<p>{short} <button>Click me</button></p>"))
+    assert not any("Click" in x for x in lines(f"<p>{LONG} <button>Click me</button></p>"))
+
+
+def test_links_in_an_articles_flow_stay():
+    assert "See the full report of the commission" in lines("<p><a href=/r>See the full report of the commission</a></p>")
+    got = lines("<ul><li><a href=/1>The first source of this</a></li><li><a href=/2>The second source of this</a></li></ul>")
+    assert "The first source of this" in got and "The second source of this" in got
+    assert not any("first source" in x for x in lines("<div class=related-links><ul><li><a href=/1>The first source of this</a></li></ul></div>"))
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    model = mt.load_model()
+    for html in ("<div>x " * 100_000, "".join(f"<div class=n{i}>x " for i in range(60_000)), "<b>" * 100_000 + "</i>" * 100_000, "<div><span>" * 50_000 + "</p>" * 50_000):
+        began = time.perf_counter()
+        mt.main_text(html, model)
+        assert time.perf_counter() - began < 10

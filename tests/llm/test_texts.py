@@ -202,12 +202,20 @@ def test_preference_like_sql(spark):
     assert pf.preference_pairs(empty.limit(0)).count() == 0
 
 
-def test_turns_of_very_many_rows_are_not_joined_up(spark):
-    turns = spark.range(3000).selectExpr("0 AS pair_id", "0 AS conv_id", "if(id < 2000, 1, id) AS turn", "'assistant' AS role", "concat('t', id) AS text")
-    got = pf.preference_pairs(pf.preference_turns(turns, turns.limit(0)))
-    rows = got.collect()
-    assert len(rows) == 2000 + 2 and sum(len(r.chosen_trained) for r in rows) == 3000
-    assert all(r.chosen[s.start : s.end].endswith("<|end|>\n") for r in rows for s in r.chosen_trained)
+def test_long_pairs_are_one_row(spark):
+    """A pair of 3,000 turns and one with 2,000 rows of one turn, against SQL; pieces only where asked for."""
+    turns = spark.range(6000).selectExpr("if(id < 3000, 0, 2) AS conv_id", "if(id BETWEEN 3000 AND 5000, 1, id % 3000) AS turn", "if(id % 2 = 0, 'assistant', 'user') AS role", "concat('t', id) AS text")
+    other = spark.range(3000).selectExpr("1 AS conv_id", "id AS turn", "if(id % 2 = 0, 'assistant', 'user') AS role", "concat('t', if(id < 2000, id, id + 1)) AS text")
+    rows = turns.unionByName(other)
+    paired = rows.withColumn("pair_id", pf.F.floor(pf.F.col("conv_id") / 2).cast("long"))
+    got = pf.preference_turns(paired.where("conv_id % 2 = 0"), paired.where("conv_id % 2 = 1"))
+    con = duckdb.connect()
+    con.register("conversations", rows.toPandas())
+    text = lambda spans: ",".join(f"{s.start}-{s.end}" for s in spans)
+    found = [(*r[:5], text(r[5]), text(r[6])) for r in pf.preference_pairs(got).collect()]
+    assert len(found) == 2 and sorted(map(repr, found)) == sorted(map(repr, con.execute(pf.OP5_SQL).fetchall()))
+    pieces = pf.preference_pairs(got, 1024).where("pair_id = 0").orderBy("piece").collect()
+    assert [r.piece for r in pieces] == [0, 1, 2] and "".join(r.prompt for r in pieces) == [r[2] for r in found if r[0] == 0][0]
 
 
 def test_preference_query_has_no_python(spark):

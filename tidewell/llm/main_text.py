@@ -30,19 +30,19 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import read, ship, widened
 
 # a comment, declaration or tag; an unclosed one runs to the end
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+MARKUP = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 NAMED = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORDS = re.compile(r"[a-z]+")
 # fixed values of HTML: elements whose content is no text, elements that end a block, elements without an end
 RAW = frozenset("script style title textarea iframe noscript xmp noembed noframes".split())
-SILENT = frozenset("template select option optgroup datalist".split())
+SILENT = frozenset("template select option optgroup datalist button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 # elements that a new block of their kind closes, and those whose end closes them
 FREE = frozenset("p li dt dd tr td th option b i u em strong a span font small big".split())
 # blocks that hold a line of text rather than further blocks
 LINES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre figcaption legend hr address summary caption".split())
-CONTROLS = frozenset("input button label select textarea output meter progress".split())
+CONTROLS = frozenset("input label select textarea output meter progress".split())
 SPACE = re.compile(r"\s+")
 SIZES, SHARES, PARTS = (1, 3, 6, 11, 21, 51, 101, 301), (0.01, 0.25, 0.5, 0.95), (0.1, 0.3, 0.6, 0.95)
 
@@ -91,6 +91,7 @@ def read_blocks(page: str, weights: dict[str, float]) -> tuple[list[Block], list
     found: list[Block] = []
     containers: list[int] = []
     stack = [Element("", frozenset(), None, containers)]
+    opened: dict[str, int] = {}
     parts: list[str] = []
     linked: list[str] = []
     tags = at = 0
@@ -133,8 +134,10 @@ def read_blocks(page: str, weights: dict[str, float]) -> tuple[list[Block], list
         elif name in CONTROLS:
             control = True
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened.get(name) else ():
                 if stack[i].name == name:
+                    for e in stack[i:]:
+                        opened[e.name] -= 1
                     del stack[i:]
                     break
                 if stack[i].name not in FREE and stack[i].name not in SILENT and name in FREE:
@@ -145,13 +148,16 @@ def read_blocks(page: str, weights: dict[str, float]) -> tuple[list[Block], list
         elif name not in VOID and not m[3].endswith("/"):
             if name in BLOCKS:
                 while stack[-1].name in SILENT and stack[-1].name != "template":
-                    stack.pop()
+                    opened[stack.pop().name] -= 1
                 if name in FREE:
                     while stack[-1].name in FREE and (stack[-1].name not in BLOCKS or stack[-1].name == name):
-                        stack.pop()
+                        opened[stack.pop().name] -= 1
             keys = keys_of(name, m[3])
+            if weights:  # names that no weight knows say nothing, however many a page has
+                keys = frozenset(k for k in keys if f"a:{k}" in weights)
             if keys and name not in BLOCKS and any(weights.get(f"a:{k}", 0.0) < -1 for k in keys):
                 flush()  # a named part within a line
+            opened[name] = opened.get(name, 0) + 1
             stack.append(Element(name, keys, stack[-1], containers))
     flush()
     return found, containers
@@ -162,11 +168,12 @@ def features(found: list[Block], containers: list[int]) -> list[list[str]]:
     whole, direct, linked = ([0] * len(containers) for _ in range(3))
     for b in found:
         direct[b.container] += b.size - min(b.links, b.size)
-        c = b.container
-        while c >= 0:
-            whole[c] += b.size
-            linked[c] += b.links
-            c = containers[c]
+        whole[b.container] += b.size
+        linked[b.container] += b.links
+    for c in range(len(containers) - 1, 0, -1):  # a container comes after the one around it
+        if containers[c] >= 0:
+            whole[containers[c]] += whole[c]
+            linked[containers[c]] += linked[c]
     most, total = max(direct, default=0) or 1, max(sum(direct), 1)
     first = next((i for i, b in enumerate(found) if b.tag == "h1"), -1)
     main = any(b.main for b in found)
@@ -231,7 +238,36 @@ def region(found: list[Block], scores: list[float], tag: float) -> tuple[int, in
 def main_text(page: str | None, model: dict) -> str:
     found, containers = read_blocks(page or "", model["weights"])
     scores = word_scores(log_odds(found, containers, model), model)
-    return "\n".join(found[i].text for i in range(*region(found, scores, model["tag"])) if scores[i] > 0)
+    at = region(found, scores, model["tag"])
+    kept = in_flow(found, containers, scores, at, model["weights"])
+    return "\n".join(found[i].text for i in range(*at) if kept[i - at[0]])
+
+
+def in_flow(found: list[Block], containers: list[int], scores: list[float], at: tuple[int, int], weights: dict[str, float]) -> list[bool]:
+    """Which blocks of a region are text: those of positive score, and links in the flow of an article.
+
+    Links are in its flow if they stand in an article or main element, between two texts of one container, as paragraphs
+    of that container or items of a list right in it, of four words or more each, and nothing around them has a name
+    that speaks against them. Such blocks take their neighbours' score; menus and lists of further reading have names,
+    places or containers of their own, tags are shorter.
+    """
+    kept, i = [scores[k] > 0 for k in range(*at)], 0
+    while i < len(kept):
+        if kept[i]:
+            i += 1
+            continue
+        end = i
+        while end < len(kept) and not kept[end]:
+            end += 1
+        own = found[at[0] + i : at[0] + end]
+        if 0 < i and end < len(kept):
+            before, after = found[at[0] + i - 1], found[at[0] + end]
+            near = lambda b: b.container == before.container or containers[b.container] == before.container  # noqa: E731, B023
+            fits = before.container == after.container and before.main and after.main
+            if fits and all(b.main and b.tag in ("p", "li") and b.size >= 4 and b.links * 2 >= b.size and not b.control and "|" not in b.text and near(b) and all(weights.get(f"a:{k}", 0.0) > -1 for k in b.keys - before.keys if k.startswith(".")) for b in own):
+                kept[i:end] = [True] * (end - i)
+        i = end
+    return kept
 
 
 def load_model() -> dict:

@@ -6,7 +6,7 @@ turns are trained, all else is masked; a prompt is masked as a whole.
 
 preference_turns() has a row per rendered turn: turns are compared by sums of hashes per pair and turn, which combine
 before the shuffle, and the first difference comes back by a join that Spark can split. preference_pairs() joins
-them up to a row per pair with the completions' masks, in pieces of bounded length.
+them up to a row per pair with the completions' masks.
 
 Defined results: a missing partner leaves the other side whole as a completion; null roles are "unknown", null texts
 empty; several rows of one turn are compared as a whole and all kept; a null turn number comes before all others;
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import read
 
 TRAINED = "assistant"
-TURNS = 1024  # turn numbers that a row of a pair holds
 _FIRST = -(1 << 62)
 
 
@@ -55,22 +54,18 @@ def preference_turns(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     return out.select("pair_id", "part", "conv_id", "turn", "role", rendered(F.col("role"), F.col("text")).alias("rendered"), trained.alias("trained"))
 
 
-def preference_pairs(turns: DataFrame) -> DataFrame:
+def preference_pairs(turns: DataFrame, turns_per_piece: int | None = None) -> DataFrame:
     """(pair_id, piece, prompt, chosen, rejected, chosen_trained, rejected_trained) from the rows of preference_turns.
 
-    A row per pair: the common prefix rendered once, both completions, and what is trained of each (start and end in
-    code points, ends exclusive; all else is masked). A row holds at most TURNS turn numbers: longer conversations
-    go on in further pieces, whose spans count from the piece's start, and rows without a turn number are a piece
-    before the others. Turns of more than TURNS rows are not joined up: each of their rows is a row here, and so is each
-    row without a pair id (as a prompt).
+    A row per pair, however long: the common prefix rendered once, both completions, and what is trained of each (start
+    and end in code points, ends exclusive; all else is masked). piece is 0. With turns_per_piece, a row holds at most
+    so many turn numbers, longer pairs go on in further pieces, whose spans count from the piece's start, and rows
+    without a turn number are a piece before the others. Each row without a pair id is a row here (as a prompt).
     """
     at = F.coalesce("turn", F.lit(_FIRST)).cast("long")
-    paired = turns.where("pair_id is not null").withColumns({"_at": at, "piece": F.floor(at / TURNS).cast("long")})
-    crowded = paired.groupBy("pair_id", "_at").agg(F.count("*").alias("n")).where(F.col("n") > TURNS).select("pair_id", "_at")
+    piece = F.floor(at / turns_per_piece) if turns_per_piece else F.lit(0)
+    paired = turns.where("pair_id is not null").withColumns({"_at": at, "piece": piece.cast("long")})
     single = turns.where("pair_id is null").withColumns({"_at": at, "piece": F.lit(None).cast("long")})
-    if crowded.head(1):
-        single = single.unionByName(paired.join(crowded, ["pair_id", "_at"], "left_semi").select(single.columns))
-        paired = paired.join(crowded, ["pair_id", "_at"], "left_anti")
     entry = F.struct("_at", "role", "rendered", "trained", F.when(F.col("part") == "unpaired", "prompt").otherwise(F.col("part")).alias("part"))
     rows = paired.groupBy("pair_id", "piece").agg(F.sort_array(F.collect_list(entry)).alias("t")).unionByName(single.select("pair_id", "piece", F.array(entry).alias("t")))
     parts = {p: F.filter("t", lambda x: x["part"] == p) for p in ("prompt", "chosen", "rejected")}  # noqa: B023
@@ -119,8 +114,8 @@ TURNS_SQL = _PARTS + """SELECT pair_id, part, conv_id, turn, role, '<|' || role
   part IN ('chosen', 'rejected') AND role = 'assistant' AS trained
 FROM parts WHERE part IS NOT NULL
 """
-OP5_SQL = _PARTS + f""", r AS (
-  SELECT pair_id, CAST(CASE WHEN pair_id IS NOT NULL THEN floor(coalesce(turn, {_FIRST}) / {TURNS}.0) END AS BIGINT) AS piece, part, turn, role, conv_id, row_number() OVER () AS n,
+OP5_SQL = _PARTS + """, r AS (
+  SELECT pair_id, CAST(CASE WHEN pair_id IS NOT NULL THEN 0 END AS BIGINT) AS piece, part, turn, role, conv_id, row_number() OVER () AS n,
     '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered, part IN ('chosen', 'rejected') AND role = 'assistant' AS trained
   FROM parts WHERE part IS NOT NULL
 ), g AS (SELECT *, CASE WHEN pair_id IS NULL THEN n END AS own FROM r),
