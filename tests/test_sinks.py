@@ -68,3 +68,30 @@ def test_windows_of_a_stream_equal_those_of_the_table(spark, tmp_path):
     query.awaitTermination()
     key = lambda df: sorted((str(r.start), r.event_type or "", r.n) for r in df.collect())
     assert key(spark.table("windows")) == key(windowed_counts(events))
+
+
+def test_databases_live_and_from_a_file(spark, tmp_path):
+    """Live tables first, the file for databases that the catalog lacks; an error is a row; nothing is exported twice."""
+    import json
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    try:
+        spark.range(3).write.mode("overwrite").parquet(str(tmp_path / "data"))
+        spark.sql(f"CREATE TABLE IF NOT EXISTS shop.items USING parquet LOCATION '{tmp_path / 'data'}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS shop.`gone` (x int) USING parquet LOCATION '{tmp_path / 'bad'}'")
+        (tmp_path / "bad").mkdir(exist_ok=True)
+        (tmp_path / "bad/x.parquet").write_text("no parquet")
+        (tmp_path / "all.json").write_text(json.dumps({"shop": {"items": [{"id": 9}]}, "wallet": {"cards": [{"id": "c1", "tags": ["a", "b"]}, {"id": "c2"}], "a.b c": [{"n": 1}]}, "other": {"t": [{}]}}))
+        got = sinks.export_databases(spark, ["shop", "wallet", "none"], str(tmp_path / "out"), str(tmp_path / "all.json")).collect()
+        assert [(r.database, r.table, r.rows, r.source, bool(r.error), r.file) for r in got] == [
+            ("shop", "gone", 0, "live", True, "shop/gone.csv"),
+            ("shop", "items", 3, "live", False, "shop/items.csv"),
+            ("wallet", "a.b c", 1, "json", False, "wallet/a_b c.csv"),
+            ("wallet", "cards", 2, "json", False, "wallet/cards.csv"),
+        ]
+        cards = spark.read.csv(str(tmp_path / "out/wallet/cards.csv"), header=True, quote='"', escape='"').orderBy("id").collect()
+        assert [(r.id, r.tags) for r in cards] == [("c1", '["a","b"]'), ("c2", None)]
+        assert spark.read.csv(str(tmp_path / "out/_manifest.csv"), header=True).count() == 4
+        assert sinks.export_databases(spark, ["none"], str(tmp_path / "more"), str(tmp_path / "missing.json")).count() == 0
+    finally:
+        spark.sql("DROP DATABASE shop CASCADE")

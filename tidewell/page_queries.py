@@ -7,6 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from tidewell.functions import url as U
+from tidewell.operators import frontier as FR
 from tidewell.operators import page_tree as PT
 from tidewell.operators import site_selectors as SS
 from tidewell.operators.extractors import Extractor, Registry
@@ -87,3 +88,38 @@ def extractor_rows(spark, sf):
     pages = table(spark, sf, "pages").withColumn("hint", F.when(F.col("page_id") % 10 == 0, "ad"))
     out = page_registry().extract(pages, ["page_id"], ["url", "html"], "hint")
     return out.withColumn("warnings", F.array_join("warnings", ";"))
+
+
+_NORMAL = "CASE WHEN {0} LIKE '%/' AND NOT regexp_matches({0}, '^[a-z]+://[^/]*/$') THEN {0}[:-2] ELSE {0} END"
+_LEVEL = """l{d} AS MATERIALIZED (
+  SELECT url, regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1) AS source, {d} AS depth, running FROM (
+    SELECT url, row_number() OVER (PARTITION BY regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1) ORDER BY "from", place, url) + {spent} AS running FROM ({due}) n
+  ) WHERE running <= 12
+)"""
+
+
+def _crawl_sql(depth: int) -> str:
+    seeds = "SELECT min(page) AS url, min(page) AS \"from\", 0 AS place FROM p GROUP BY regexp_extract(page, '^[a-z]+://([^/?#:]*)', 1)"
+    parts = [_LEVEL.format(d=0, spent="0", due=seeds)]
+    for d in range(1, depth + 1):
+        seen = " UNION ALL ".join(f"SELECT url, source FROM l{i}" for i in range(d))
+        spent = f"(SELECT count(*) FROM ({seen}) v WHERE v.source = regexp_extract(n.url, '^[a-z]+://([^/?#:]*)', 1))"
+        due = f"SELECT url, min(page) AS \"from\", arg_min(place, (page, place)) AS place FROM e WHERE page IN (SELECT url FROM l{d - 1}) AND url NOT IN (SELECT url FROM ({seen})) GROUP BY url"
+        parts.append(_LEVEL.format(d=d, spent=spent, due=due))
+    found = " UNION ALL ".join(f"SELECT url, source, depth, running FROM l{d}" for d in range(depth + 1))
+    hrefs = "regexp_extract_all(html, '(?is)<a\\s[^>]*href=\"([^\"#]*)', 1)"
+    return f"""WITH p AS MATERIALIZED (SELECT page_id, url AS base, html, {_NORMAL.format("nu")} AS page FROM (SELECT *, lower(regexp_extract(url, '^[^#?]*') || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END) AS nu
+  FROM (SELECT *, list_filter(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT starts_with(x, 'utm_') AND NOT starts_with(x, 'ref=')) AS q FROM pages))),
+f AS (SELECT page, min(base) AS base, arg_min(html, base) AS html FROM p GROUP BY page),
+h AS (SELECT page, lower(regexp_extract(base, '^[a-z]+://[^/?#]*')) AS site, unnest({hrefs}) AS h, unnest(range(len({hrefs}))) AS place FROM f),
+e AS MATERIALIZED (SELECT page, place, {_NORMAL.format("(site || lower(h))")} AS url FROM h WHERE h LIKE '/%'),
+{", ".join(parts)} SELECT url, source, CAST(depth AS INTEGER) AS depth, CAST(running AS BIGINT) AS running FROM ({found})"""
+
+
+@query(_crawl_sql(3))
+def crawl_levels(spark, sf):
+    """Three levels from the first page of each host, at most 12 pages of a host."""
+    pages = table(spark, sf, "pages")
+    page = U.normalize_url(F.col("url"))
+    seeds = pages.groupBy(U.hostname(page)).agg(F.min(page).alias("url")).select("url")
+    return FR.crawl(pages, seeds, 3, F.lit(12), U.hostname(F.col("url")))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -85,3 +87,65 @@ def last_batch(spark: SparkSession, path: str) -> int:
     fs, at = _files(spark, path)
     found = fs.globStatus(at(f"{path}/_batch-*")) if fs.exists(at(path)) else None
     return max((int(f.getPath().getName().rsplit("-", 1)[1]) for f in found or []), default=-1)
+
+
+MANIFEST = "database string, table string, rows long, source string, error string, file string"
+
+
+def file_name(table: str) -> str:
+    """A table's name as a file's: without quotes, points and slashes as underscores."""
+    return re.sub(r"[./]", "_", table.replace('"', ""))
+
+
+def live_tables(spark: SparkSession, databases: Sequence[str]) -> dict[str, list[str]]:
+    """The tables and permanent views of those of the databases that the session's catalog has, by name."""
+    there = {d for d in databases if spark.catalog.databaseExists(d)}
+    return {d: sorted(t.name for t in spark.catalog.listTables(d) if not t.isTemporary) for d in databases if d in there}
+
+
+def file_tables(spark: SparkSession, path: str, databases: Sequence[str], scratch: str) -> dict[str, dict[str, DataFrame]]:
+    """Tables of a JSON file {database: {table: [rows]}}, of the given databases only; none if there is no file.
+
+    Rows are dealt out as lines to the scratch folder and read again, so that Spark infers each table's columns.
+    """
+    fs, at = _files(spark, path)
+    if not fs.exists(at(path)):
+        return {}
+    whole = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,map<string,array<string>>>")).alias("database", "tables"))
+    lines = whole.where(F.col("database").isin(*databases)).select("database", F.explode("tables").alias("table", "rows")).select("database", "table", F.explode_outer("rows").alias("value"))
+    lines.write.mode("overwrite").partitionBy("database", "table").text(scratch)
+    names = spark.read.schema("value string, database string, table string").text(scratch).select("database", "table").distinct().collect()  # one row per table
+    return {d: {t: spark.read.json(f"{scratch}/database={_escaped(d)}/table={_escaped(t)}") for e, t in sorted(map(tuple, names)) if e == d} for d in sorted({n[0] for n in names})}
+
+
+def _escaped(name: str) -> str:
+    """A partition's value as Spark writes it in folder names."""
+    return re.sub(r"[\x00-\x1f\"#%'*/:=?\\\x7f{\[\]^]", lambda m: f"%{ord(m[0]):02X}", name)
+
+
+def export_databases(spark: SparkSession, databases: Sequence[str], folder: str, fallback: str | None = None) -> DataFrame:
+    """Every live table of the databases as CSV under folder/<database>/<table>.csv; those of databases that the catalog
+    lacks from the fallback file. Returns and writes the manifest (MANIFEST), ordered by database and table.
+
+    A table that fails has its error in the manifest and stops no other; a database in neither place has no rows in it.
+    """
+    live = live_tables(spark, databases)
+    missing = [d for d in databases if d not in live]
+    found = [(d, t, "live", lambda d=d, t=t: spark.table(f"`{d}`.`{t}`")) for d, ts in live.items() for t in ts]
+    scratch = f"{folder}/_rows-{uuid.uuid4().hex}"
+    if fallback and missing:
+        found += [(d, t, "json", lambda df=df: df) for d, ts in file_tables(spark, fallback, missing, scratch).items() for t, df in ts.items()]
+    done = []
+    for database, name, source, table in found:
+        at = f"{database}/{file_name(name)}.csv"
+        try:
+            counted = Observation()
+            write_csv(table().observe(counted, F.count(F.lit(1)).alias("rows")), f"{folder}/{at}")
+            done.append((database, name, counted.get["rows"], source, "", at))
+        except Exception as e:  # noqa: BLE001  recorded in the manifest
+            done.append((database, name, 0, source, str(e).partition("\n")[0][:500], at))
+    fs, path = _files(spark, folder)
+    fs.delete(path(scratch), True)
+    manifest = spark.createDataFrame(sorted(done), MANIFEST)
+    write_csv(manifest.coalesce(1), f"{folder}/_manifest.csv")
+    return manifest
