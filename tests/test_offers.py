@@ -1,4 +1,5 @@
 import json
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,6 +136,23 @@ def test_a_batch_that_runs_again_changes_nothing(spark, registry, tmp_path):
     assert (log(), table()) == before
 
 
+def test_promotion(spark, registry, tmp_path):
+    """What passes now becomes an offer and is reviewed; what fails stays; unknown ids are told."""
+    from tidewell.plans.listing import QuarantineQuery
+
+    rejected = crawl.registry(spark, rows=[("ADCB", "adcb.com", "https://adcb.com", "adcb", "bank", "rejected", 5, 0.1, 0.99, True)])
+    rows = I.evaluated(crawl.crawl_records(spark, write(tmp_path / "in", {"a": {**GOOD, "discoveryQuery": "best Cafés"}, "b": {**GOOD, "discountValue": 150}})), rejected).checkpoint()
+    held = I.quarantined(rows).checkpoint()
+    assert held.count() == 2
+    ids = held.select("row_id").unionByName(spark.createDataFrame([("unknown",)], "row_id string"))
+    none = offers_table(spark, str(tmp_path / "none")).read()
+    offers, after, outcomes = I.promoted(held, ids, registry, none, F.lit("2026-01-01").cast("timestamp"))
+    assert sorted((r.outcome, r.reasons) for r in outcomes.collect()) == [("not_found", None), ("promoted", None), ("still_fails_gate", ["absurd_values"])]
+    assert [r.action for r in offers.collect()] == ["inserted"] and sorted(r.review_status for r in after.collect()) == ["pending", "promoted"]
+    found = lambda **f: held.where(reduce(lambda a, b: a & b, QuarantineQuery(**f).conditions())).count()
+    assert (found(discovery_query="cafés"), found(discovery_query="x"), found(source_type="adcb")) == (1, 0, 2)
+
+
 def test_a_file_delivered_twice_counts_once(spark, registry, tmp_path):
     folder = write(tmp_path / "in", {"a": GOOD, "copy": GOOD, "list": [{**GOOD, "offerTitle": "30% off at Lulu", "merchantName": "Lulu"}, {**GOOD, "discountValue": 150}]})
     run = lambda: stream(spark, folder, registry, str(tmp_path / "out")).awaitTermination()

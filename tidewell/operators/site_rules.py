@@ -32,7 +32,9 @@ SLUG_DATE = r"-(\d{2}-\d{2}-\d{4})/?$"
 YEAR_END = r"(?:valid\s+until|year\s+of)\s*(\d{4})"
 TIER = r"(?i)(?:up\s+to\s+)?AED\s*([\d,]+)\s*(?:cash[\s-]*back)?"
 BENEFIT = r"(\d{1,2})\s*%|AED\s*[\d,]+|cash[\s-]*back"
-SHOPS = r"(?i)(\d{1,2})\s*%\s*(?:cash[\s-]*back\s+)?at\s+([^.]+?)(?:\s+and\s+up\s+to|\.\s|\.$|$)"
+SHOPS = r"(?i)(\d{1,2})\s*%\s*(?:cash[\s-]*back\s+)?at\s+([^.]+?)(?:\s+and\s+up\s+to|\s+and\s+|\.\s|$)"
+PERCENT_OFF = r"(\d{1,2})\s*%\s*(?:off|discount)"
+CARD_NAME = "Mashreq Card"
 FAB_WORDS = r"^(?:off|fab|uae|offer)$"
 TIER_URL, CARD_URL = r"/early-bird-cashback", r"/cards/(?:credit|debit)-cards/[^/]+"
 
@@ -81,14 +83,27 @@ def tier_rows(pages: DataFrame) -> DataFrame:
 
 
 def benefit_rows(pages: DataFrame) -> DataFrame:
-    """pages(page_url, source_type, html, ..) of cards with a row per shop of "n% at A, B and C": shop, shop_title, snippet."""
+    """pages(page_url, source_type, html, ..) of cards with their lines' benefits: shop, shop_title, snippet.
+
+    A line with "n% at A, B" gives a row per shop, up to the first "and"; one with "n% off" a row of its own, titled by the
+    line or, if that is long, by the card, for the shop that it or the card's name tells. Others give none.
+    """
+    from tidewell.operators.site_offers import merchant_in_title
+
     here = (F.col("source_type") == "mashreq") & T.matches(F.col("page_url"), CARD_URL)
-    lines = F.transform(F.regexp_extract_all("html", F.lit(r"(?is)<(li|p|h3|h4)\b[^>]*>(.*?)</\1>"), 2), lambda x: T.clean_text(F.regexp_replace(x, "<[^>]*>", " ")))
-    rows = pages.where(here).withColumn("snippet", F.explode(lines)).where(F.length("snippet").between(12, 300) & T.matches(F.col("snippet"), BENEFIT) & ~CQ.points_noise(F.col("snippet")))
-    rows = rows.withColumn("_share", F.nullif(F.regexp_extract("snippet", SHOPS, 1), F.lit(""))).where("_share is not null")
-    shops = F.transform(F.split(F.regexp_extract("snippet", SHOPS, 2), r"(?i),\s*and\s+|,\s*|\s+and\s+"), T.clean_text)
-    rows = rows.withColumn("shop", F.explode(F.filter(shops, lambda x: F.length(x).between(2, 40))))
-    return rows.withColumn("shop_title", F.concat("_share", F.lit("% cashback at "), "shop")).drop("_share").dropDuplicates(["page_url", "shop_title"])
+    plain = lambda x: T.clean_text(F.regexp_replace(x, "<[^>]*>", " "))
+    lines = F.transform(F.regexp_extract_all("html", F.lit(r"(?is)<(li|p|h3|h4)\b[^>]*>(.*?)</\1>"), 2), plain)
+    card = F.coalesce(F.nullif(plain(F.regexp_extract("html", r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)), F.lit("")), F.lit(CARD_NAME))
+    rows = pages.where(here).withColumns({"_card": card, "snippet": F.explode(lines)}).where(F.length("snippet").between(12, 300) & T.matches(F.col("snippet"), BENEFIT) & ~CQ.points_noise(F.col("snippet")))
+    share, off = (F.nullif(F.regexp_extract("snippet", p, 1), F.lit("")) for p in (SHOPS, f"(?i){PERCENT_OFF}"))
+    names = F.transform(F.split(F.regexp_extract("snippet", SHOPS, 2), r"(?i),\s*and\s+|,\s*|\s+and\s+"), T.clean_text)
+    row = lambda shop, title: F.struct(shop.alias("shop"), title.alias("shop_title"))
+    shops = F.transform(F.filter(names, lambda x: F.length(x).between(2, 40)), lambda x: row(x, F.concat(share, F.lit("% cashback at "), x)))
+    title = F.when(F.length("snippet") <= 120, F.col("snippet")).otherwise(F.concat(off, F.lit("% off — "), F.col("_card")))
+    percent = F.array(row(F.coalesce(merchant_in_title(F.col("snippet")), merchant_in_title(F.col("_card")), F.col("_card")), title))
+    found = F.when(share.isNotNull(), shops).when(off.isNotNull(), percent)
+    rows = rows.withColumn("_r", F.explode(found)).select("*", "_r.*").drop("_r", "_card")
+    return rows.dropDuplicates(["page_url", "shop_title"])
 
 
 def result_rows(results: DataFrame, most: int = 10) -> DataFrame:

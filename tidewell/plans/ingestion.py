@@ -145,9 +145,28 @@ def quarantined(rows: DataFrame) -> DataFrame:
 
 
 def replay(records: DataFrame, sources: DataFrame) -> DataFrame:
-    """Quarantined records evaluated again from their stored payload."""
+    """Quarantined records evaluated again from their stored payload, with the record's id as record_id."""
     schema = ", ".join(f"{k} {v}" for k, v in Q.OFFER.items())
-    return evaluated(records.select(F.from_json("payload", schema).alias("p")).select("p.*"), sources)
+    return evaluated(records.select(F.from_json("payload", schema).alias("p"), F.col("row_id").alias("record_id")).select("p.*", "record_id"), sources)
+
+
+def promoted(quarantine: DataFrame, ids: DataFrame, sources: DataFrame, stored: DataFrame, seen_at: Column, by: str = "api") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(offers, quarantine, outcomes) after promoting the records of ids(row_id).
+
+    A record whose payload now passes is upserted and reviewed as promoted; one that still fails stays as it is.
+    outcomes(row_id, outcome, reasons): promoted, still_fails_gate, no_payload or not_found, a row per asked id.
+    """
+    with_checkpoints(quarantine.sparkSession)
+    asked = ids.select("row_id").distinct()
+    records = quarantine.join(asked, "row_id", "left_semi")
+    rows = replay(records.where("payload is not null"), sources).checkpoint()
+    offers = upsert(stored, rows.where("route = 'offers'"), seen_at)
+    done = rows.groupBy(F.col("record_id").alias("row_id")).agg(F.max(F.col("route") == "offers").alias("_ok"), F.max("reasons").alias("_why"))
+    known = records.groupBy("row_id").agg(F.lit(True).alias("_known"))
+    outcome = F.when(F.col("_known").isNull(), "not_found").when(F.col("_ok").isNull(), "no_payload").when(F.col("_ok"), "promoted").otherwise("still_fails_gate")
+    outcomes = asked.join(known, "row_id", "left").join(done, "row_id", "left").select("row_id", outcome.alias("outcome"), F.when(~F.col("_ok"), F.col("_why")).alias("reasons")).checkpoint()
+    decisions = outcomes.where("outcome = 'promoted'").select("row_id", F.lit("promoted").alias("status"), F.lit(by).alias("by"))
+    return offers, reviewed(quarantine, decisions), outcomes
 
 
 def run_stats(rows: DataFrame) -> DataFrame:

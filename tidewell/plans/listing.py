@@ -114,6 +114,11 @@ class OfferQuery(Paged):
 
 @dataclass
 class QuarantineQuery(Paged):
+    """Filters of quarantined records; run is a column of the caller's table, discovery is read from the payload."""
+
+    run_id: str | None = None
+    source_type: str | None = None
+    discovery_query: str | None = None
     quarantine_type: str | None = None
     review_status: str | None = None
     url: str | None = None
@@ -125,11 +130,14 @@ class QuarantineQuery(Paged):
 
     def conditions(self):
         g = self.given
-        for name in ("quarantine_type", "review_status"):
+        for name in ("run_id", "source_type", "quarantine_type", "review_status"):
             if g(name):
                 yield F.col(name) == g(name)
         if g("url"):
             yield contains("source_url", g("url"))
+        if g("discovery_query"):
+            found = F.get_json_object("payload", "$.discovery_query")
+            yield F.coalesce(F.contains(F.lower(found), F.lit(g("discovery_query").lower())), F.lit(False))
         if g("confidence_min") is not None:
             yield F.col("confidence") >= g("confidence_min")
         if g("confidence_max") is not None:

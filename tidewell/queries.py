@@ -360,9 +360,10 @@ def union_priority_distinct(spark, sf):
     return R.union_first([a, table(spark, sf, "supplier").select(F.col("s_nationkey").alias("nation"), F.lit(1).alias("src")).distinct()], ["nation"], [F.col("src")])
 
 
-@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 400000")
 def set_except(spark, sf):
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).exceptAll(table(spark, sf, "orders").select("o_custkey").distinct())
+    dear = table(spark, sf, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("k"))
+    return R.missing_from(table(spark, sf, "customer").select(F.col("c_custkey").alias("k")), dear, ["k"])
 
 
 # ---- aggregates and health
@@ -823,10 +824,11 @@ def cashback_tiers(spark, sf):
     return SR.tier_rows(p).select("c_custkey", "tier")
 
 
-@query("""SELECT s_suppkey, shop, (5 + s_suppkey % 40) || '% cashback at ' || shop AS shop_title FROM (SELECT s_suppkey, unnest([s_name, 'Lulu', 'Noon']) AS shop FROM supplier)""")
+@query("""SELECT s_suppkey, shop, (5 + s_suppkey % 40) || '% cashback at ' || shop AS shop_title FROM (SELECT s_suppkey, unnest([s_name, 'Lulu']) AS shop FROM supplier)
+UNION ALL SELECT s_suppkey, 'Zara on weekends', 'Get ' || (5 + s_suppkey % 40) || '% off at Zara on weekends' FROM supplier UNION ALL SELECT s_suppkey, s_name, (5 + s_suppkey % 40) || '% off — ' || s_name FROM supplier""")
 def card_benefits(spark, sf):
     k = F.col("s_suppkey")
-    html = F.concat(F.lit("<ul><li>Enjoy "), (5 + k % 40).cast("string"), F.lit("% cashback at "), F.col("s_name"), F.lit(", Lulu and Noon.</li><li>Free lounge</li></ul>"))
+    html = F.concat(F.lit("<ul><li>Enjoy "), (5 + k % 40).cast("string"), F.lit("% cashback at "), F.col("s_name"), F.lit(", Lulu and Noon.</li><li>Free lounge access</li><li>Get "), (5 + k % 40).cast("string"), F.lit("% off at Zara on weekends</li></ul><h1>"), F.col("s_name"), F.lit("</h1><p>"), (5 + k % 40).cast("string"), F.lit("% discount " + "on rides " * 15 + "</p>"))
     p = table(spark, sf, "supplier").select("s_suppkey", F.concat(F.lit("https://www.mashreq.com/en/cards/credit-cards/"), k.cast("string")).alias("page_url"), F.lit("mashreq").alias("source_type"), html.alias("html"))
     return SR.benefit_rows(p).select("s_suppkey", "shop", "shop_title")
 
