@@ -109,3 +109,13 @@ def test_json_ld(spark):
     page = '<script type="application/ld+json">{"name": "P", "offers": [{"price": "5", "priceCurrency": "AED"}, {"name": "Q"}]}</script><script type="application/ld+json">{bad</script>'
     rows = X.json_ld_offers(spark.createDataFrame([(page,)], "html string")).select("offer_title", "price", "currency").collect()
     assert [tuple(r) for r in rows] == [("P", "5", "AED"), ("Q", None, None)]
+
+
+def test_crawl_side_names(spark):
+    from tidewell.functions import crawl_names as N
+
+    rows = [("ENBD ", "my Visa  Infinite card", "at Lulu Deal", "Cash back"), ("mashreq bank", "world elite", "from  X promotion", "50%"), ("Other\u00a0Bank", "Plain", "Offer", "EMI"), ("", "", "", ""), (None, None, None, None), ("dib", "MasterCard World Elite", "for", "free gift"), ("x", "x", "x", "miles"), ("x", "x", "x", "what"), ("x", "x", "x", "promo code"), ("x", "x", "x", "AED 5")]
+    df = spark.createDataFrame(rows, "b string, c string, m string, d string")
+    got = [tuple(r) for r in df.select(N.bank_name(F.col("b")), N.card_name(F.col("c")), N.merchant_name(F.col("m")), N.discount_type(F.col("d"))).collect()]
+    assert got[:6] == [("Emirates NBD", "Visa Infinite", "Lulu", "cashback"), ("Mashreq", "World Elite Mastercard", "X", "percent"), ("Other Bank", "Plain", "Offer", "emi"), (None,) * 4, (None,) * 4, ("Dubai Islamic Bank", "Mastercard", "for", "complimentary")]
+    assert [g[3] for g in got[6:]] == ["points", "other", "coupon", "fixed"]

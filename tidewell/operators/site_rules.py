@@ -12,6 +12,7 @@ from tidewell.functions import text as T
 from tidewell.functions import url as U
 from tidewell.operators import crawl_quality as CQ
 from tidewell.operators import discovery as D
+from tidewell.operators import page_tree as PT
 
 # fixed values
 #: (source, pattern on the last part of the path, discount type, value or None for what the pattern captures); first match wins
@@ -106,6 +107,56 @@ def benefit_rows(pages: DataFrame) -> DataFrame:
     return rows.dropDuplicates(["page_url", "shop_title"])
 
 
+RESULT_BLOCKS = "#search .g, div[data-hveid] .g, .MjjYud"
+RESULT_LINKS = 'a[href^="/url?"], a[href^="http"]'
+SNIPPETS = ".VwiC3b, .st, [data-sncf]"
+
+
+def _results(rows: DataFrame, most: int) -> DataFrame:
+    """Rows (_page, query, offset, _at, href, title, snippet) as results: good ones, each URL of a page once, ranked."""
+    plain = lambda x: D.search_text(F.regexp_replace(x, "<[^>]*>", " "))
+    # a character reference is the only one that links hold as a rule
+    rows = rows.select("_page", "query", "offset", "_at", U.normalize_url(D.result_url(F.regexp_replace("href", "&amp;", "&"))).alias("url"), plain(F.col("title")).alias("title"), F.substring(plain(F.coalesce("snippet", F.lit(""))), 1, 300).alias("snippet"))
+    good = (F.col("url") != "") & ~D.blocked_host(U.hostname(F.col("url"))) & ~T.matches(F.col("url"), D.BLOCKED_PATH) & (F.length("title") >= 3)
+    rows = rows.where(F.coalesce(good, F.lit(False)))
+    first = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_page", "url").orderBy("_at"))).where("_n = 1").drop("_n")
+    ranked = first.withColumn("_n", F.row_number().over(Window.partitionBy("_page").orderBy("_at"))).where(F.col("_n") <= most)
+    return ranked.select("_page", "url", "title", "snippet", "query", F.lit("google").alias("source"), (F.coalesce("offset", F.lit(0)) + F.col("_n")).cast("int").alias("rank"))
+
+
+def _paged(results: DataFrame) -> DataFrame:
+    return results.withColumn("_page", F.sha2(F.concat_ws("|", "query", "offset", "html"), 256))
+
+
+def block_rows(results: DataFrame, most: int = 10) -> DataFrame:
+    """Results of pages (html, query, offset) by their result blocks, and the page's key.
+
+    A block's result is its first link; its title is the headings inside the link, else the link's text, its snippet the
+    first snippet element, else the text of its spans outside headings. Blocks within blocks are blocks too.
+    """
+    pages = _paged(results).select(F.struct("_page", "query", "offset").alias("_key"), "html")
+    kinds = {"block": RESULT_BLOCKS, "link": RESULT_LINKS, "heading": "a h3", "snippet": SNIPPETS, "span": "span", "headed": "h3 span"}
+    found = PT.hits(PT.elements(pages, "html", "_key"), "_key", list(kinds.values()))
+    of = lambda kind: F.col("selector") == kinds[kind]
+    blocks = found.where(of("block")).select("_key", F.col("pre").alias("_at"), F.col("post").alias("_end"))
+    inside = found.where(~of("block")).join(blocks, "_key").where((F.col("pre") > F.col("_at")) & (F.col("post") < F.col("_end")))
+    spot = F.struct("pre", "post", "text", F.try_element_at("attrs", F.lit("href")).alias("href"))
+    gathered = inside.groupBy("_key", "_at").agg(F.min(F.when(of("link"), spot)).alias("link"), F.min(F.when(of("snippet"), spot)).alias("snippet"), *(F.sort_array(F.collect_list(F.when(of(k), spot))).alias(k) for k in ("heading", "span", "headed")))
+    joined = lambda xs: F.array_join(F.transform(xs, lambda x: x["text"]), "")
+    titles = F.filter("heading", lambda h: (h["pre"] > F.col("link.pre")) & (h["post"] < F.col("link.post")))
+    spans = F.filter("span", lambda s: ~F.exists("headed", lambda h: h["pre"] == s["pre"]))
+    snippet = F.coalesce(F.nullif(F.col("snippet.text"), F.lit("")), joined(spans))
+    rows = gathered.where("link is not null").select("_key.*", "_at", F.col("link.href").alias("href"), F.coalesce(F.nullif(joined(titles), F.lit("")), F.col("link.text")).alias("title"), snippet.alias("snippet"))
+    return _results(rows, most)
+
+
+def search_results(results: DataFrame, most: int = 10) -> DataFrame:
+    """Results by blocks; of pages that have none that way, links with headings."""
+    blocks = block_rows(results, most)
+    rest = _paged(results).join(blocks.select("_page").distinct(), "_page", "left_anti")
+    return blocks.drop("_page").unionByName(result_rows(rest, most))
+
+
 def result_rows(results: DataFrame, most: int = 10) -> DataFrame:
     """Rows of result pages (html, query, offset): url, title, snippet, query, source, rank; blocked and repeated links are left out.
 
@@ -114,12 +165,5 @@ def result_rows(results: DataFrame, most: int = 10) -> DataFrame:
     """
     item = r'(?is)<a\b[^>]*href="([^"]+)"[^>]*>(?:(?!</a>).)*?<h3[^>]*>(.*?)</h3>.*?</a>((?:(?!<a\b).)*)'
     part = lambda g: F.regexp_extract_all("html", F.lit(item), F.lit(g))
-    plain = lambda x: D.search_text(F.regexp_replace(x, "<[^>]*>", " "))
-    rows = results.withColumn("_page", F.sha2(F.concat_ws("|", "query", "offset", "html"), 256)).select("_page", "query", "offset", F.posexplode(F.arrays_zip(part(1).alias("href"), part(2).alias("title"), part(3).alias("snippet"))).alias("_at", "r"))
-    # a character reference is the only one that links hold as a rule
-    rows = rows.select("_page", "query", "offset", "_at", U.normalize_url(D.result_url(F.regexp_replace("r.href", "&amp;", "&"))).alias("url"), plain(F.col("r.title")).alias("title"), F.substring(plain(F.col("r.snippet")), 1, 300).alias("snippet"))
-    good = (F.col("url") != "") & ~D.blocked_host(U.hostname(F.col("url"))) & ~T.matches(F.col("url"), D.BLOCKED_PATH) & (F.length("title") >= 3)
-    rows = rows.where(F.coalesce(good, F.lit(False)))
-    first = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_page", "url").orderBy("_at"))).where("_n = 1").drop("_n")
-    ranked = first.withColumn("_n", F.row_number().over(Window.partitionBy("_page").orderBy("_at"))).where(F.col("_n") <= most)
-    return ranked.select("url", "title", "snippet", "query", F.lit("google").alias("source"), (F.coalesce("offset", F.lit(0)) + F.col("_n")).cast("int").alias("rank"))
+    rows = _paged(results).select("_page", "query", "offset", F.posexplode(F.arrays_zip(part(1).alias("href"), part(2).alias("title"), part(3).alias("snippet"))).alias("_at", "r")).select("_page", "query", "offset", "_at", "r.*")
+    return _results(rows, most).drop("_page")

@@ -6,9 +6,11 @@ import re
 
 from pyspark.sql import functions as F
 
+from tidewell.functions import crawl_names as N
 from tidewell.functions import url as U
 from tidewell.operators import frontier as FR
 from tidewell.operators import page_tree as PT
+from tidewell.operators import site_rules as SR
 from tidewell.operators import site_selectors as SS
 from tidewell.operators.extractors import Extractor, Registry
 from tidewell.queries import HOST, query, table
@@ -123,3 +125,25 @@ def crawl_levels(spark, sf):
     page = U.normalize_url(F.col("url"))
     seeds = pages.groupBy(U.hostname(page)).agg(F.min(page).alias("url")).select("url")
     return FR.crawl(pages, seeds, 3, F.lit(12), U.hostname(F.col("url")))
+
+
+@query("""SELECT 'https://shop' || s_suppkey || '.com/deals' AS url, s_name AS title, 'balance ' || CAST(floor(s_acctbal) AS BIGINT) AS snippet, 'q' || s_suppkey AS query, CAST(1 AS INTEGER) AS rank FROM supplier
+UNION ALL SELECT 'https://other.com/offers', 'Other offers here', 'seen in a span', 'q' || s_suppkey, 2 FROM supplier""")
+def result_block_rows(spark, sf):
+    """Result pages made of the suppliers' names and balances, read by their blocks."""
+    k = F.col("s_suppkey").cast("string")
+    html = F.concat(
+        F.lit('<div id="search"><div class="g"><a href="/url?q=https://shop'), k, F.lit('.com/deals&amp;sa=U"><h3>'), F.col("s_name"), F.lit('</h3></a><div class="VwiC3b">balance <b>'), F.floor("s_acctbal").cast("string"),
+        F.lit('</b></div></div><div class="g"><a href="https://www.facebook.com/x"><h3>Blocked</h3></a></div><div class="MjjYud"><div class="g"><a href="https://other.com/offers">Other <i>offers</i> here</a><h3><span>no</span></h3><span>seen in a span</span></div></div></div><a href="https://late.com/"><h3>No block</h3></a>'),
+    )
+    pages = table(spark, sf, "supplier").select(html.alias("html"), F.concat(F.lit("q"), k).alias("query"), F.lit(0).alias("offset"))
+    return SR.search_results(pages).select("url", "title", "snippet", "query", "rank")
+
+
+@query("""SELECT p_partkey, CASE WHEN contains(t, 'steel') THEN 'percent' ELSE 'other' END AS kind, trim(regexp_replace(m, '^(?:at|with|from|for)\s+', '', 'i')) AS merchant
+FROM (SELECT p_partkey, CASE WHEN contains(lower(p_type), 'steel') THEN 'steel' ELSE '' END AS t, CASE WHEN p_size % 2 = 0 THEN 'At ' ELSE '' END || p_brand AS m FROM part)""")
+def crawl_side_names(spark, sf):
+    p = table(spark, sf, "part")
+    kind = N.discount_type(F.when(F.contains(F.lower("p_type"), F.lit("steel")), "5 Percent").otherwise(F.concat(F.lit("x "), F.col("p_size").cast("string"))))
+    merchant = N.merchant_name(F.concat(F.when(F.col("p_size") % 2 == 0, "At ").otherwise(""), F.col("p_brand"), F.lit("  Offer")))
+    return p.select("p_partkey", kind.alias("kind"), merchant.alias("merchant"))
