@@ -42,15 +42,15 @@ def containments(whole: DataFrame, part: DataFrame, block: Sequence[str], text:
     """
     own = lambda df, name: df.select(*block, F.col(text).alias(name)).where(F.col(name) != "").dropna(subset=[*block]).distinct()
     xs, ys = own(whole, "x"), own(part, "y")
-    filed = xs.select(*block, "x", F.explode(pieces(F.col("x"), GRAM)).alias("gram"))
-    often = filed.groupBy(*block, "gram").agg(F.count("*").alias("n"))
-    long = ys.where(F.length("y") >= GRAM).select(*block, "y", F.explode(pieces(F.col("y"), GRAM)).alias("gram"))
+    filed = xs.select(*block, "x", F.explode(pieces(F.col("x"), GRAM)).alias("_gram"))
+    often = filed.groupBy(*block, "_gram").agg(F.count("*").alias("_n"))
+    long = ys.where(F.length("y") >= GRAM).select(*block, "y", F.explode(pieces(F.col("y"), GRAM)).alias("_gram"))
     # a text whose grams aren't all filed is in no other
-    rare = long.join(often, [*block, "gram"], "left").groupBy(*block, "y").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.bool_and(F.col("n").isNotNull()).alias("all")).where("all").drop("all")
-    found = filed.join(rare, [*block, "gram"]).where(F.contains("x", F.col("y"))).select(*block, "x", "y")
+    rare = long.join(often, [*block, "_gram"], "left").groupBy(*block, "y").agg(F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"), F.bool_and(F.col("_n").isNotNull()).alias("_all")).where("_all").drop("_all")
+    found = filed.join(rare, [*block, "_gram"]).where(F.contains("x", F.col("y"))).select(*block, "x", "y")
     short = ys.where(F.length("y") < GRAM)
     sizes = F.explode(F.sequence(F.lit(1), F.lit(GRAM - 1)))
-    filed_short = xs.join(short.select(*block).distinct(), list(block), "left_semi").select(*block, "x", sizes.alias("s")).select(*block, "x", F.explode(pieces(F.col("x"), F.col("s"))).alias("y"))
+    filed_short = xs.join(short.select(*block).distinct(), list(block), "left_semi").select(*block, "x", sizes.alias("_s")).select(*block, "x", F.explode(pieces(F.col("x"), F.col("_s"))).alias("y"))
     return found.unionByName(filed_short.join(short, [*block, "y"]).select(*block, "x", "y"))
 
 

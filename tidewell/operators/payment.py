@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.keys import round2
 from tidewell.functions.text import plain_number
+from tidewell.operators.containment import containments
 
 MAX_SHARE = 0.9  # of the amount that may be taken off
 
@@ -231,11 +232,9 @@ def offer_discount(amount: Column) -> Column:
 
 
 def _containing(wholes: DataFrame, parts: DataFrame) -> DataFrame:
-    """(whole, part) of texts where one contains the other, both of one column: an equi-join on the wholes' substrings."""
-    w, n = F.col("whole"), F.length("whole")
-    inner = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: w.substr(i, k))))
-    wholes = wholes.toDF("whole").where("whole != ''").distinct()
-    return wholes.select("whole", F.explode(F.array_distinct(inner)).alias("part")).join(parts.toDF("part").where("part != ''").distinct(), "part").select("whole", "part")
+    """(whole, part) of texts where one contains the other, both of one column."""
+    one = lambda df: df.toDF("text").withColumn("block", F.lit(1))
+    return containments(one(wholes), one(parts), ["block"], "text").select(F.col("x").alias("whole"), F.col("y").alias("part"))
 
 
 def with_card_offers(requests: DataFrame, offers: DataFrame, as_of: Column) -> DataFrame:
