@@ -7,7 +7,8 @@ probability; a proposal over its kind's threshold is selected unless it overlaps
 The trees were trained by pii_train.py on generated texts and are read from models/pii_trees.json.
 
 Everything happens in one projection, row by row: no shuffle, no Python. Positions are found from the lengths of
-matches and of the gaps between them, summed in blocks, so long texts with many matches take no quadratic time.
+matches and of the gaps between them, summed in blocks, and proposals of texts with many spans are compared within
+blocks of spans by place; so long texts with many matches or proposals take no quadratic time.
 
 Defined results: a null text has no spans and stays null when redacted; rows with null or repeated keys are kept;
 positions are code points, ends exclusive; other columns stay, but one named like the output column is replaced (out
@@ -163,7 +164,15 @@ def find_personal_data(docs: DataFrame, model: dict | None = None, text: str = "
     df = df.withColumn("__more", F.expr(f"CASE WHEN {' + '.join(f'size(__more_{k})' for k in KINDS)} = 0 THEN slice(__base, 1, 0) ELSE concat({', '.join(picked)}) END"))
     overlap = "c.from_byte < o.to_byte AND o.from_byte < c.to_byte"
     better = "(o.score > c.score OR o.score = c.score AND (o.start < c.start OR o.start = c.start AND o.kind < c.kind))"
-    chosen = f"CASE WHEN size(__more) = 0 THEN __more ELSE filter(__more, c -> NOT exists(__base, o -> {overlap}) AND NOT exists(__more, o -> {overlap} AND {better})) END"
+    beaten = f"{overlap} AND (o.base OR {better})"
+    few = f"filter(__more, c -> NOT exists(__base, o -> {overlap}) AND NOT exists(__more, o -> {overlap} AND {better}))"
+    # of many spans, sorted by start, only blocks that reach the proposal are looked into
+    slice_of = f"slice(a, cast({{}} * {_BLOCK} as int) + 1, {_BLOCK})"
+    blocks = f"transform(sequence(0, cast((size(a) - 1) / {_BLOCK} as int)), k -> named_struct('k', k, 'lo', element_at(a, k * {_BLOCK} + 1).from_byte, 'hi', array_max(transform({slice_of.format('k')}, o -> o.to_byte))))"
+    reached = f"filter(__more, c -> NOT exists(h, b -> b.lo < c.to_byte AND c.from_byte < b.hi AND exists({slice_of.format('b.k')}, o -> {beaten})))"
+    by_start = "array_sort(concat(__base, __more), (p, q) -> CASE WHEN p.from_byte < q.from_byte THEN -1 WHEN p.from_byte > q.from_byte THEN 1 ELSE 0 END)"
+    many = _let("a", by_start, _let("h", blocks, reached))
+    chosen = f"CASE WHEN size(__more) = 0 THEN __more WHEN size(__base) + size(__more) <= {2 * _BLOCK} THEN {few} ELSE {many} END"
     names = ", ".join(f"'{k}'" for k in KINDS)
     ordered = _let("u", f"concat(__base, {chosen})", "array_sort(u, (p, q) -> CASE WHEN p.kind < q.kind THEN -1 WHEN p.kind > q.kind THEN 1 WHEN p.start < q.start THEN -1 WHEN p.start > q.start THEN 1 ELSE 0 END)")
     named = f"transform({ordered}, c -> named_struct('kind', element_at(array({names}), c.kind + 1), 'start', c.start, 'end', c.end, 'score', c.score, 'base', c.base, 'from_byte', c.from_byte, 'to_byte', c.to_byte))"
