@@ -246,6 +246,20 @@ def test_shards(spark, docs, odd_rows):
     assert sorted(x.slot for x in sh.assign_shards(docs([(1, "a"), (1, "a")]), 8).collect()) == [0, 0]
 
 
+def test_sharding_query_keeps_copies_together(spark):
+    """All groups of equal texts of a table without hot groups stay whole; of 50 random placements the best keeps few."""
+    rows = sh.op6_sharding(spark, SF).collect()
+    where = defaultdict(list)
+    for i, x in enumerate(rows):
+        where[x["size"], x.text_crc32].append(i)
+    copies = [g for g in where.values() if len(g) > 1]
+    whole = lambda at: sum(len({at[i] for i in g}) == 1 for g in copies)
+    r, at = random.Random(1), [x.shard for x in rows]
+    shuffled = [whole(r.sample(at, len(at))) for _ in range(50)]
+    assert len(copies) >= 10 and whole(at) == len(copies) and max(shuffled) < 0.7 * len(copies)
+    assert max(Counter(at).values()) - min(Counter(at).values()) <= 1
+
+
 def test_propagation_cuts_fewer_links(spark):
     r = random.Random(3)
     nodes = [(str(i), 1, r.randrange(4)) for i in range(200)]
