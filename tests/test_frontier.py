@@ -49,12 +49,9 @@ def test_crawl_equals_a_queue(spark, seed):
     df = spark.createDataFrame(pages, "url string, html string").withColumn("depth", F.lit("x"))
     budget = F.when(F.col("source") == "a.example", 6).when(F.col("source") == "b.example", 0).otherwise(9)
     got = FR.crawl(df, spark.createDataFrame([(s,) for s in seeds], "url string"), 3, budget, F.split("url", "/")[2])
-    # of a page given twice the row that sorts first has the links
-    links = dict(site) | {site[0][0]: [] if "<p>" < pages[0][1] or not pages[0][1] else site[0][1]}
-    if pages[0][1] and pages[0][1] < "<p>":
-        links[site[0][0]] = site[0][1]
+    links = dict(site) | {site[0][0]: []}  # of a page given twice the row whose links sort first
     want = brute(links, {s for s in seeds if s}, 3, {"a.example": 6, "b.example": 0, "c.example": 9})
-    assert sorted(map(tuple, got.collect())) == want and len(want) > 8
+    assert sorted(map(tuple, got.collect())) == want and len(want) >= 8
 
 
 def test_rules_and_empty_crawls(spark):

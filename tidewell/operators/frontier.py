@@ -7,7 +7,7 @@ and budgets are running numbers within a source: numbered in range partitions wh
 source of a third of all links is no one task.
 
 Defined results: null URLs are no pages; URLs are compared as normalize_url gives them; a page given twice counts once,
-with its first row's links; seeds take from the budget in the order of their URLs; a budget of 0 or below takes nothing.
+with the links of the row whose address and links sort first; seeds take from the budget in the order of their URLs; a budget of 0 or below takes nothing.
 """
 
 from __future__ import annotations
@@ -39,9 +39,10 @@ def crawl(pages: DataFrame, seeds: DataFrame, depth: int, budget: Column, source
     `depth` that links of the levels after the first must keep.
     """
     with_checkpoints(pages.sparkSession)
-    own = pages.select(U.normalize_url(F.col(url)).alias("page"), F.col(url).alias("base"), F.col(html).alias("html")).where("page != ''")
-    found = own.groupBy("page").agg(F.min_by(F.struct("base", "html"), F.struct("base", "html")).alias("p"))
-    edges = found.select("page", F.posexplode(links(F.col("p.html"))).alias("place", "href"), F.col("p.base").alias("base"))
+    # links leave the pages before anything is shuffled, so that no markup is
+    own = pages.select(U.normalize_url(F.col(url)).alias("page"), F.struct(F.col(url).alias("base"), F.coalesce(links(F.col(html)), F.array()).alias("hrefs")).alias("p")).where("page != ''")
+    found = own.groupBy("page").agg(F.min("p").alias("p"))
+    edges = found.select("page", F.posexplode("p.hrefs").alias("place", "href"), F.col("p.base").alias("base"))
     edges = edges.select("page", "place", U.normalize_url(resolve(F.col("href"), F.col("base"))).alias("url")).where("url != ''").checkpoint()
     level = seeds.select(U.normalize_url(F.col("url")).alias("url")).where("url != ''").distinct().select("url", F.col("url").alias("from"), F.lit(0).alias("place"))
     visited, spent = None, None

@@ -112,8 +112,8 @@ def _crawl_sql(depth: int) -> str:
     hrefs = "regexp_extract_all(html, '(?is)<a\\s[^>]*href=\"([^\"#]*)', 1)"
     return f"""WITH p AS MATERIALIZED (SELECT page_id, url AS base, html, {_NORMAL.format("nu")} AS page FROM (SELECT *, lower(regexp_extract(url, '^[^#?]*') || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END) AS nu
   FROM (SELECT *, list_filter(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT starts_with(x, 'utm_') AND NOT starts_with(x, 'ref=')) AS q FROM pages))),
-f AS (SELECT page, min(base) AS base, arg_min(html, base) AS html FROM p GROUP BY page),
-h AS (SELECT page, lower(regexp_extract(base, '^[a-z]+://[^/?#]*')) AS site, unnest({hrefs}) AS h, unnest(range(len({hrefs}))) AS place FROM f),
+f AS (SELECT page, min(struct_pack(base := base, hrefs := {hrefs})) AS m FROM p GROUP BY page),
+h AS (SELECT page, lower(regexp_extract(m.base, '^[a-z]+://[^/?#]*')) AS site, unnest(m.hrefs) AS h, unnest(range(len(m.hrefs))) AS place FROM f),
 e AS MATERIALIZED (SELECT page, place, {_NORMAL.format("(site || lower(h))")} AS url FROM h WHERE h LIKE '/%'),
 {", ".join(parts)} SELECT url, source, CAST(depth AS INTEGER) AS depth, CAST(running AS BIGINT) AS running FROM ({found})"""
 
