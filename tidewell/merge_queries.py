@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidewell.functions import text as T
-from tidewell.operators.containment import containments, groups
+from tidewell.operators import search_index as X
+from tidewell.operators.containment import containments, groups, with_checkpoints
 from tidewell.queries import SLUG, query, table
 from tidewell.streaming import freshness as S
 
@@ -38,3 +41,13 @@ def name_containments(spark, sf):
     whole = table(spark, sf, "part").select("p_brand", name.alias("t"))
     second = table(spark, sf, "part").select("p_brand", F.regexp_extract(name, r"^\S+\s+(\S+)", 1).alias("t"))
     return containments(whole, second, ["p_brand"], "t").groupBy("p_brand", "y").agg(F.count("*").alias("n"))
+
+
+@query("SELECT p_partkey, p_name, p_type FROM part WHERE contains(lower(p_name), 'old bolt') OR contains(lower(p_type), 'old bolt')")
+def indexed_search(spark, sf):
+    """Parts whose name or type contains a text, by way of an index built in the shared folder, those of one name together."""
+    with_checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/search-{uuid.uuid4().hex}"
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    X.build(parts, ["p_name", "p_type"], F.col("p_name"), path)
+    return X.search(spark, path, "p_partkey long, p_name string, p_type string", ["p_name", "p_type"], "OLD Bolt")
