@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tidewell.functions import text as T
 from tidewell.operators import search_index as X
 from tidewell.operators.containment import containments, groups, with_checkpoints
 from tidewell.queries import SLUG, query, table
+from tidewell.sources.sinks import _files
 from tidewell.streaming import freshness as S
 
 
@@ -43,11 +45,20 @@ def name_containments(spark, sf):
     return containments(whole, second, ["p_brand"], "t").groupBy("p_brand", "y").agg(F.count("*").alias("n"))
 
 
+def _deleted(spark, path):
+    try:
+        fs, at = _files(spark, path)
+        fs.delete(at(path), True)
+    except Exception:  # noqa: BLE001  the session may be gone already
+        return
+
+
 @query("SELECT p_partkey, p_name, p_type FROM part WHERE contains(lower(p_name), 'old bolt') OR contains(lower(p_type), 'old bolt')")
 def indexed_search(spark, sf):
     """Parts whose name or type contains a text, by way of an index built in the shared folder, those of one name together."""
     with_checkpoints(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/search-{uuid.uuid4().hex}"
+    atexit.register(_deleted, spark, path)  # the result reads it until the driver ends
     parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
     X.build(parts, ["p_name", "p_type"], F.col("p_name"), path)
     return X.search(spark, path, "p_partkey long, p_name string, p_type string", ["p_name", "p_type"], "OLD Bolt")
