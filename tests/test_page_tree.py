@@ -155,3 +155,20 @@ def test_render_plan(spark):
     assert got[0]["wait_selector"] == 'h1, h2, .offer, [class*="offer"], main' and got[3]["card_selectors"] == SS.CARDS["generic"]
     kinds = spark.createDataFrame([("static", True), ("browser", False), ("auto", True), ("auto", None), (None, None)], "m string, b boolean").select(SS.crawler_type(F.col("m"), F.col("b")))
     assert [r[0] for r in kinds.collect()] == ["static", "browser", "browser", "static", "static"]
+
+
+def test_cascade_reads_references_as_its_sql_does(spark, tmp_path):
+    import duckdb
+
+    from tidewell.queries import QUERIES, SQL
+
+    texts = ["a &quot;b&quot; &amp;quot; &#39;c&#39;", "cut &amp", "R&D &lt;x&gt; &amp;lt; &lt", "plain &copy &nbsp; &&&amp;"]
+    hosts = ["a.com", "a.org", "a.net"]
+    rows = [(i * 10 + j, f"https://{host}/p", f'<nav><ul><li><a href="/z">z</a></li></ul></nav><div class="ad">{text}</div><article><h1>{text}</h1><p>{text}</p></article>') for i, host in enumerate(hosts) for j, text in enumerate(texts)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    expected = con.execute(f"SELECT page_id, selector, n, first_text FROM ({SQL['selector_cascade']}) ORDER BY page_id").fetchall()
+    got = QUERIES["selector_cascade"](spark, str(tmp_path)).select("page_id", "selector", "n", "first_text").orderBy("page_id").collect()
+    assert list(map(tuple, got)) == expected
+    assert {r[3] for r in expected} >= {"cut &amp", 'a &quot;b&quot; &quot; &#39;c&#39;'}

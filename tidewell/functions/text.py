@@ -42,6 +42,11 @@ def clean_text(x: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"(?U)[\s ]+", " "))
 
 
+def literal_references(html: Column, read: str = "lt|gt|amp") -> Column:
+    """Markup in which only the references named, each with its semicolon, stand for characters; any other is text as it is written."""
+    return F.regexp_replace(html, f"&(?!(?:{read});)", "&amp;")
+
+
 def slugify(x: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(clean_text(x)), "[^a-z0-9]+", "-"), "^-|-$", "")
 
