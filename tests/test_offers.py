@@ -332,3 +332,15 @@ def test_relational(spark):
 def test_title_similarity(spark):
     got = spark.createDataFrame([("A b", "a-B"), ("a b c", "b"), ("x", "y"), (None, "y")], "a string, b string").select(Q.title_similarity(F.col("a"), F.col("b")).alias("s"))
     assert [r.s for r in got.collect()] == [1.0, 0.9, 0.0, 0.0]
+
+
+@pytest.mark.parametrize("name", ["pay_layers", "pay_layers_all", "pay_best", "pay_instruments", "pay_top5", "recommended_instruments"])
+def test_combinations_run_in_generated_code(spark, name):
+    """No function with a lambda, which has no generated code, runs on a combination: only on a request or its result."""
+    from tidewell.queries import QUERIES
+
+    lines = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().splitlines()
+    made = [i for i, line in enumerate(lines) if "Generate inline(array(struct(loyalty_aed" in line]
+    first = max(i for i, line in enumerate(lines) if "Generate " in line)
+    assert len(made) == 1 and first > made[0]
+    assert not [line for line in lines[made[0] : first + 1] if "lambda" in line]
