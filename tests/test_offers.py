@@ -344,3 +344,10 @@ def test_combinations_run_in_generated_code(spark, name):
     first = max(i for i, line in enumerate(lines) if "Generate " in line)
     assert len(made) == 1 and first > made[0]
     assert not [line for line in lines[made[0] : first + 1] if "lambda" in line]
+
+
+def test_top_combinations_move_requests_only(spark):
+    from tidewell.queries import QUERIES
+
+    plan = QUERIES["pay_top5"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Generate inline")] and "Exchange hashpartitioning(request_id" in plan
