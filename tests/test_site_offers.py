@@ -91,3 +91,11 @@ def test_result_pages(spark):
     got = SR.result_rows(spark.createDataFrame([(html, "q", 10), ("", "q", 0), (None, None, None)], "html string, query string, offset int")).orderBy("rank").collect()
     assert [(r.url, r.title, r.query, r.source, r["rank"]) for r in got] == [("https://shop.com/deals?a=1", "Deals of today", "q", "google", 11), ("https://third.com/offers", "Third one", "q", "google", 12)]
     assert got[0].snippet.startswith("Best prices") and got[1].snippet == "about it"
+
+
+def test_pages_are_read_once_and_the_first_way_of_a_url_counts(spark):
+    pages = [("https://shop.example.com/a", f"<h1>30% off here</h1>{FILL}"), ("https://shop.example.com/a", f'{FILL}<div class="card"><h3>10% off spa</h3></div>'), ("https://shop.example.com/b", f"<h1>20% off there</h1>{FILL}")]
+    df = offers(spark, *pages)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1 and plan.count("noscript") == 1  # one scan, one reading of the text
+    assert sorted((r.source_url, r.offer_title, r.parser_reason) for r in df.collect()) == [("https://shop.example.com/a", "10% off spa", "card"), ("https://shop.example.com/b", "20% off there", "page")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import constants as C
@@ -13,6 +13,14 @@ def once(x: Column, make) -> Column:
     return F.element_at(F.transform(F.array(x), make), 1)
 
 
+def step(df: DataFrame, **values: Column) -> DataFrame:
+    """df with further columns that are made once a row.
+
+    Columns made by a projection may be made again in every filter and column that uses them; those of an inline are not.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*(v.alias(k) for k, v in values.items())))))
+
+
 def matches(x: Column, pattern: str) -> Column:
     """Case-insensitive search; null texts don't match."""
     return F.coalesce(x.rlike(f"(?i){pattern}"), F.lit(False))

@@ -49,8 +49,9 @@ def category_title(x: Column, source: Column) -> Column:
     return (t != "") & (T.any_of(t, MORE_CATEGORY_TITLES) | (F.coalesce(source == "fab", F.lit(False)) & T.any_of(t, FAB_TITLES)) | short)
 
 
-def shell_page(text: Column, html: Column) -> Column:
-    n = F.length(T.clean_text(text))
+def shell_page(text: Column, html: Column, clean: Column | None = None) -> Column:
+    """clean: the text's clean_text, where it is made already."""
+    n = F.length(T.clean_text(text) if clean is None else clean)
     return T.matches(text, C.PATTERNS["network_shell"]) | (T.matches(text, "oops|page not found|can't seem to find") & (n < 500)) | ((n < 400) & (F.length(F.coalesce(html, F.lit(""))) > 5000)) | (n < 80)
 
 
@@ -59,21 +60,25 @@ def script_shell(text: Column, html: Column) -> Column:
     return lazy | T.matches(text, "oops|page not found|can't seem to find") | ((F.length(T.clean_text(text)) < 800) & (F.length(F.coalesce(html, F.lit(""))) > 5000))
 
 
-def error_page(text: Column) -> Column:
-    t = T.clean_text(text)
+def error_page(text: Column, clean: Column | None = None) -> Column:
+    t = T.clean_text(text) if clean is None else clean
     return (T.matches(t, r"^404\b|page not found|access denied") & (F.length(t) < 800)) | (T.matches(t, r"oops!?$") & ~t.rlike(r"\d+\s*%"))
 
 
 def page_type(url: Column, text: Column, html: Column, source: Column) -> Column:
     """error, then by URL and source, then shell, listing by cards, category by heading, else unknown."""
-    path, t = F.coalesce(U.part(url, "PATH"), F.lit("")), T.clean_text(text)
+    made = F.struct(F.coalesce(U.part(url, "PATH"), F.lit("")).alias("path"), T.clean_text(text).alias("clean"))
+    return T.once(made, lambda m: _page_type(text, html, source, m["path"], m["clean"]))
+
+
+def _page_type(text: Column, html: Column, source: Column, path: Column, t: Column) -> Column:
     first = F.trim(F.substring_index(F.coalesce(text, F.lit("")), "\n", 1))
-    out = F.when(error_page(text), "error")
+    out = F.when(error_page(text, t), "error")
     out = out.when((source == "fab") & T.matches(path, FAB_LISTING) & T.matches(F.coalesce(text, F.lit("")), rf"(?m){FAB_TITLES[0]}") & ~t.rlike(r"\d+\s*%"), "category")
     for kind, pattern, name in PAGES:
         out = out.when((source == kind) & T.matches(path, pattern), name)
     cards = T.matches(html, r"<article\b|class=\"[^\"]*\b(?:card|offer)\b")
-    return out.when(shell_page(text, html), "shell").when(cards, "listing").when(T.matches(first, "offers?$") & ~t.rlike(r"\d+\s*%"), "category").otherwise("unknown")
+    return out.when(shell_page(text, html, t), "shell").when(cards, "listing").when(T.matches(first, "offers?$") & ~t.rlike(r"\d+\s*%"), "category").otherwise("unknown")
 
 
 def skipped(kind: Column) -> Column:

@@ -47,17 +47,28 @@ def json_ld(html: Column) -> Column:
     return F.filter(raw, lambda x: F.try_parse_json(x).isNotNull())
 
 
+def _list(x: Column) -> Column:
+    """The items of a JSON text as JSON texts; one that is no list is the only item of its own. Empty if it can't be read."""
+    whole = F.when(F.ltrim(x).startswith("["), x).otherwise(F.concat(F.lit("["), x, F.lit("]")))
+    return F.coalesce(F.from_json(whole, "array<string>"), F.array().cast("array<string>"))
+
+
+def structured_offers(html: Column) -> Column:
+    """A page's structured offers in order, nested ones included: array of struct(offer_title, offer_description, price, currency, valid_to, offer_url)."""
+    get = lambda x, path: F.get_json_object(x, path)
+    of = lambda i: F.when(get(i, "$['@type']") == "Offer", F.array(i)).otherwise(_list(get(i, "$.offers")))
+
+    def fields(i: Column, o: Column) -> Column:
+        pick = lambda *paths: F.coalesce(*(get(o, f"$.{p}") for p in paths))
+        return F.struct(F.coalesce(pick("name"), get(i, "$.name")).alias("offer_title"), pick("description").alias("offer_description"), pick("price").alias("price"), pick("priceCurrency").alias("currency"), pick("validThrough", "priceValidUntil").alias("valid_to"), pick("url").alias("offer_url"))
+
+    items = F.flatten(F.transform(json_ld(html), _list))
+    return F.flatten(F.transform(items, lambda i: F.transform(of(i), lambda o: fields(i, o))))
+
+
 def json_ld_offers(pages: DataFrame, html: str = "html") -> DataFrame:
     """A row per structured offer of a page, nested ones included, with its usual fields."""
-    items = pages.withColumn("_i", F.explode(json_ld(F.col(html))))
-    lists = F.when(F.ltrim("_i").startswith("["), F.col("_i")).otherwise(F.concat(F.lit("["), F.col("_i"), F.lit("]")))
-    items = items.withColumn("_i", F.explode(F.from_json(lists, "array<string>")))
-    kind, nested = F.get_json_object("_i", "$['@type']"), F.get_json_object("_i", "$.offers")
-    inner = F.when(F.ltrim(nested).startswith("["), nested).otherwise(F.concat(F.lit("["), nested, F.lit("]")))
-    offers = F.when(kind == "Offer", F.array("_i")).otherwise(F.coalesce(F.from_json(inner, "array<string>"), F.array()))
-    out = items.withColumns({"_name": F.get_json_object("_i", "$.name"), "_o": F.explode(offers)})
-    pick = lambda *paths: F.coalesce(*(F.get_json_object("_o", f"$.{p}") for p in paths))
-    return out.withColumns({"offer_title": F.coalesce(pick("name"), F.col("_name")), "offer_description": pick("description"), "price": pick("price"), "currency": pick("priceCurrency"), "valid_to": pick("validThrough", "priceValidUntil"), "offer_url": pick("url")}).drop("_i", "_name", "_o")
+    return pages.select("*", F.inline(structured_offers(F.col(html))))
 
 
 def page_type(url: Column, text: Column, html: Column) -> Column:

@@ -6,7 +6,7 @@ from its text by the same builder, with what site_rules.py reads from the addres
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions import constants as C
@@ -73,7 +73,7 @@ def built(rows: DataFrame) -> DataFrame:
     found = T.once(both, T.detect_discount)
     coupon = F.upper(F.coalesce("code", T.found(both, C.PATTERNS["coupon"])))
     hints = T.once(F.struct("source_url", "source_type"), lambda s: SR.slug_hints(s["source_url"], s["source_type"]))
-    df = rows.withColumn("_d", found).withColumn("_c", coupon).withColumn("_h", hints)
+    df = T.step(rows, _d=found, _c=coupon, _h=hints)
     # an address counts before the text on one site, and where the text tells no more than 1 on the other
     weak = (F.col("source_type") == "hsbc") | F.coalesce(F.col("_d.value").try_cast("double") <= 1, F.col("_d.value").isNull())
     df = df.withColumn("_d", F.when(F.col("_h.value").isNotNull() & weak, F.struct(F.col("_h.type").alias("type"), F.col("_h.value").alias("value"))).otherwise(F.col("_d")))
@@ -108,38 +108,40 @@ def built(rows: DataFrame) -> DataFrame:
 
 
 def page_offers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Offer rows of pages(url, html); pages of errors, shells and categories have none."""
+    """Offer rows of pages(url, html); pages of errors, shells and categories have none.
+
+    A page is read once: each way to find offers is an array in the page's row, and a later way is tried only where the
+    ways before it give none. Rows are shuffled by page, as a URL may come more than once, and by what makes an offer one.
+    """
     p = pages.select(F.col(url).alias("page_url"), F.col(html).alias("html")).where("page_url is not null and html is not null")
-    p = p.withColumns({"source_type": T.once(F.col("page_url"), U.source_type), "text": T.once(F.col("html"), X.visible_text)})
-    kind = T.once(F.struct("page_url", "text", "html", "source_type"), lambda s: CQ.page_type(s["page_url"], s["text"], s["html"], s["source_type"]))
-    p = p.withColumn("page_type", kind).where(~CQ.skipped(F.col("page_type")))
+    here, source, whole, text = F.col("page_url"), F.col("source_type"), F.col("html"), F.col("text")
+    p = T.step(p, source_type=U.source_type(here), text=X.visible_text(whole))
+    p = T.step(p, page_type=CQ.page_type(here, text, whole, source)).where(~CQ.skipped(F.col("page_type")))
     none = F.lit(None).cast("string")
     offer = lambda mode, order, source, title, merchant, description, code, until, text: F.struct(F.lit(mode).alias("mode"), F.lit(order).alias("order"), source.alias("source_url"), title.alias("title"), merchant.alias("merchant"), description.alias("description"), code.alias("code"), until.cast("string").alias("until"), text.alias("text"))
-    here = F.col("page_url")
-    data = X.json_ld_offers(p).select("page_url", "source_type", offer("structured", 0, F.coalesce("offer_url", here), F.col("offer_title"), none, F.col("offer_description"), none, F.substring("valid_to", 1, 10), F.coalesce("offer_description", "offer_title")).alias("o"))
+    data = F.transform(X.structured_offers(whole), lambda s: offer("structured", 0, F.coalesce(s["offer_url"], here), s["offer_title"], none, s["offer_description"], none, F.substring(s["valid_to"], 1, 10), F.coalesce(s["offer_description"], s["offer_title"])))
     link = lambda x: F.coalesce(X.resolve(F.nullif(F.regexp_extract(x, r"(?is)<a\b[^>]*href=\"([^\"#]+)", 1), F.lit("")), here), here)
     text_of = lambda x: T.clean_text(F.regexp_replace(x, "<[^>]*>", " "))
-    card = p.select("page_url", "source_type", F.explode(_cards(F.col("html"))).alias("c"))
-    code = F.nullif(F.regexp_extract(F.col("c"), r"(?is)data-(?:code|coupon)=\"([^\"]+)", 1), F.lit(""))
-    cards = card.select("page_url", "source_type", offer("card", 1, link(F.col("c")), F.coalesce(tag_text(F.col("c"), "h1|h2|h3|h4"), named_text(F.col("c"), "title")), named_text(F.col("c"), "merchant|brand|store|partner"), tag_text(F.col("c"), "p"), code, none, text_of(F.col("c"))).alias("o"))
-    dated = p.select("page_url", "source_type", F.explode(F.array_distinct(X.links(F.col("html")))).alias("h")).withColumn("u", X.resolve(F.col("h"), here))
-    slug = F.try_element_at(F.filter(F.split("u", "/"), lambda x: x != ""), F.lit(-1))
-    dated = dated.withColumn("s", slug).where(F.col("s").rlike(r"-\d{2}-\d{2}-\d{4}$") & T.matches(F.col("u"), "/(?:special-)?offers/"))
-    words = F.regexp_replace(F.regexp_replace("s", r"-\d{2}-\d{2}-\d{4}$", ""), "-", " ")
-    until = T.parse_date(F.regexp_extract("s", r"(\d{2}-\d{2}-\d{4})$", 1))
-    slugs = dated.select("page_url", "source_type", offer("dated link", 2, F.col("u"), words, F.initcap(F.regexp_extract(words, r"^(\S+)", 1)), words, none, until, words).alias("o"))
-    title = F.coalesce(X.meta(F.col("html"), "og:title"), tag_text(F.col("html"), "h1"), X.title(F.col("html")))
-    about = F.coalesce(X.meta(F.col("html"), "og:description"), X.meta(F.col("html"), "description"))
-    whole = p.where(T.matches(F.concat_ws(" ", title, "text"), SIGNAL)).select("page_url", "source_type", offer("page", 3, here, title, none, about, none, none, F.col("text")).alias("o"))
-    titled = p.withColumn("title", F.coalesce(tag_text(F.col("html"), "h1"), X.title(F.col("html"))))
-    tiers = SR.tier_rows(titled).select("page_url", "source_type", offer("tier", 1, here, F.col("tier_title"), F.lit("Mashreq"), F.col("tier_title"), none, none, F.col("tier_title")).alias("o"))
-    shops = SR.benefit_rows(p).select("page_url", "source_type", offer("card benefit", 1, here, F.col("shop_title"), F.col("shop"), F.col("snippet"), none, none, F.col("shop_title")).alias("o"))
-    cards = cards.unionByName(tiers).unionByName(shops)
-    rows = data.unionByName(cards).unionByName(slugs).unionByName(whole).select("page_url", "source_type", "o.*")
-    rows = rows.where((F.length(F.coalesce("title", F.lit(""))) >= 4) & (T.matches(F.concat_ws(" ", "title", "text"), SIGNAL) | F.col("code").isNotNull() | F.col("until").isNotNull()))
-    first = rows.groupBy("page_url").agg(F.min("order").alias("order"))
-    kept = rows.join(first, ["page_url", "order"])
-    return built(first_per(kept, ["source_url", "title", "code"], [F.col("page_url"), F.col("text")]))
+    code = lambda x: F.nullif(F.regexp_extract(x, r"(?is)data-(?:code|coupon)=\"([^\"]+)", 1), F.lit(""))
+    cards = F.transform(_cards(whole), lambda c: offer("card", 1, link(c), F.coalesce(tag_text(c, "h1|h2|h3|h4"), named_text(c, "title")), named_text(c, "merchant|brand|store|partner"), tag_text(c, "p"), code(c), none, text_of(c)))
+    titled = F.coalesce(tag_text(whole, "h1"), X.title(whole))
+    tiers = F.transform(SR.tiers(here, source, titled, text), lambda t: offer("tier", 1, here, t["tier_title"], F.lit("Mashreq"), t["tier_title"], none, none, t["tier_title"]))
+    shops = F.transform(SR.benefits(here, source, whole), lambda b: offer("card benefit", 1, here, b["shop_title"], b["shop"], b["snippet"], none, none, b["shop_title"]))
+    slug = lambda u: F.try_element_at(F.filter(F.split(u, "/"), lambda x: x != ""), F.lit(-1))
+    dated = F.filter(F.transform(F.array_distinct(X.links(whole)), lambda h: X.resolve(h, here)), lambda u: slug(u).rlike(r"-\d{2}-\d{2}-\d{4}$") & T.matches(u, "/(?:special-)?offers/"))
+    words = lambda u: F.regexp_replace(F.regexp_replace(slug(u), r"-\d{2}-\d{2}-\d{4}$", ""), "-", " ")
+    until = lambda u: T.parse_date(F.regexp_extract(slug(u), r"(\d{2}-\d{2}-\d{4})$", 1))
+    slugs = F.transform(dated, lambda u: offer("dated link", 2, u, words(u), F.initcap(F.regexp_extract(words(u), r"^(\S+)", 1)), words(u), none, until(u), words(u)))
+    title = F.coalesce(X.meta(whole, "og:title"), tag_text(whole, "h1"), X.title(whole))
+    about = F.coalesce(X.meta(whole, "og:description"), X.meta(whole, "description"))
+    page = F.array(offer("page", 3, here, title, none, about, none, none, text))
+    sound = lambda o: (F.length(F.coalesce(o["title"], F.lit(""))) >= 4) & (T.matches(F.concat_ws(" ", o["title"], o["text"]), SIGNAL) | o["code"].isNotNull() | o["until"].isNotNull())
+    some = lambda offers: T.once(F.filter(offers, sound), lambda xs: F.when(F.size(xs) > 0, xs))
+    listed = F.concat(cards, *(F.coalesce(x, F.slice(cards, 1, 0)) for x in (tiers, shops)))
+    found = F.coalesce(some(data), some(listed), some(slugs), some(page))
+    rows = p.select("page_url", "source_type", F.posexplode(found).alias("at", "o")).select("page_url", "source_type", "at", "o.*")
+    kept = rows.withColumn("_n", F.rank().over(Window.partitionBy("page_url").orderBy("order"))).where("_n = 1").drop("_n")
+    return built(first_per(kept, ["source_url", "title", "code"], [F.col("page_url"), F.col("text"), F.col("at")]))
 
 
 def api_offers(rows: DataFrame, payload: str, base: str, path: str = "$.data.offers.items") -> DataFrame:

@@ -75,35 +75,50 @@ def tags(x: Column, source: Column, instalment: Column) -> Column:
     return F.array_compact(F.array(burn, F.when(instalment, "instalment_plan")))
 
 
+def tiers(url: Column, source: Column, title: Column, text: Column) -> Column:
+    """A page's different amounts of cashback: array of struct(tier (AED), tier_title); null for pages of other kinds."""
+    here = (source == "mashreq") & T.matches(url, TIER_URL)
+    amounts = F.transform(F.regexp_extract_all(text, F.lit(TIER), 1), lambda a: F.regexp_replace(a, ",", "").try_cast("bigint"))
+    named = lambda a: F.concat(title, F.lit(" — AED "), F.format_number(a, 0), F.lit(" cashback"))
+    return F.when(here, F.transform(F.array_distinct(F.filter(amounts, lambda a: a > 1)), lambda a: F.struct(a.alias("tier"), named(a).alias("tier_title"))))
+
+
 def tier_rows(pages: DataFrame) -> DataFrame:
     """pages(page_url, source_type, title, text, ..) with a row per different amount of cashback: tier (AED), tier_title."""
-    here = (F.col("source_type") == "mashreq") & T.matches(F.col("page_url"), TIER_URL)
-    amounts = F.transform(F.regexp_extract_all("text", F.lit(TIER), 1), lambda a: F.regexp_replace(a, ",", "").try_cast("bigint"))
-    rows = pages.where(here).withColumn("tier", F.explode(F.array_distinct(F.filter(amounts, lambda a: a > 1))))
-    return rows.withColumn("tier_title", F.concat("title", F.lit(" — AED "), F.format_number("tier", 0), F.lit(" cashback")))
+    return pages.select("*", F.inline(tiers(F.col("page_url"), F.col("source_type"), F.col("title"), F.col("text"))))
 
 
-def benefit_rows(pages: DataFrame) -> DataFrame:
-    """pages(page_url, source_type, html, ..) of cards with their lines' benefits: shop, shop_title, snippet.
+def benefits(url: Column, source: Column, html: Column) -> Column:
+    """The benefits of a card's page, each title once: array of struct(snippet, shop, shop_title); null for pages of other kinds.
 
     A line with "n% at A, B" gives a row per shop, up to the first "and"; one with "n% off" a row of its own, titled by the
     line or, if that is long, by the card, for the shop that it or the card's name tells. Others give none.
     """
     from tidewell.operators.site_offers import merchant_in_title
 
-    here = (F.col("source_type") == "mashreq") & T.matches(F.col("page_url"), CARD_URL)
+    here = (source == "mashreq") & T.matches(url, CARD_URL)
     plain = lambda x: T.clean_text(F.regexp_replace(x, "<[^>]*>", " "))
-    lines = F.transform(F.regexp_extract_all("html", F.lit(r"(?is)<(li|p|h3|h4)\b[^>]*>(.*?)</\1>"), 2), plain)
-    card = F.coalesce(F.nullif(plain(F.regexp_extract("html", r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)), F.lit("")), F.lit(CARD_NAME))
-    rows = pages.where(here).withColumns({"_card": card, "snippet": F.explode(lines)}).where(F.length("snippet").between(12, 300) & T.matches(F.col("snippet"), BENEFIT) & ~CQ.points_noise(F.col("snippet")))
-    share, off = (F.nullif(F.regexp_extract("snippet", p, 1), F.lit("")) for p in (SHOPS, f"(?i){PERCENT_OFF}"))
-    names = F.transform(F.split(F.regexp_extract("snippet", SHOPS, 2), r"(?i),\s*and\s+|,\s*|\s+and\s+"), T.clean_text)
-    row = lambda shop, title: F.struct(shop.alias("shop"), title.alias("shop_title"))
-    shops = F.transform(F.filter(names, lambda x: F.length(x).between(2, 40)), lambda x: row(x, F.concat(share, F.lit("% cashback at "), x)))
-    title = F.when(F.length("snippet") <= 120, F.col("snippet")).otherwise(F.concat(off, F.lit("% off — "), F.col("_card")))
-    percent = F.array(row(F.coalesce(merchant_in_title(F.col("snippet")), merchant_in_title(F.col("_card")), F.col("_card")), title))
-    found = F.when(share.isNotNull(), shops).when(off.isNotNull(), percent)
-    rows = rows.withColumn("_r", F.explode(found)).select("*", "_r.*").drop("_r", "_card")
+    lines = F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<(li|p|h3|h4)\b[^>]*>(.*?)</\1>"), 2), plain)
+    card = F.coalesce(F.nullif(plain(F.regexp_extract(html, r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)), F.lit("")), F.lit(CARD_NAME))
+
+    def of_line(x: Column, card: Column) -> Column:
+        share, off = (F.nullif(F.regexp_extract(x, p, 1), F.lit("")) for p in (SHOPS, f"(?i){PERCENT_OFF}"))
+        names = F.transform(F.split(F.regexp_extract(x, SHOPS, 2), r"(?i),\s*and\s+|,\s*|\s+and\s+"), T.clean_text)
+        row = lambda shop, title: F.struct(x.alias("snippet"), shop.alias("shop"), title.alias("shop_title"))
+        shops = F.transform(F.filter(names, lambda n: F.length(n).between(2, 40)), lambda n: row(n, F.concat(share, F.lit("% cashback at "), n)))
+        title = F.when(F.length(x) <= 120, x).otherwise(F.concat(off, F.lit("% off — "), card))
+        percent = F.array(row(F.coalesce(merchant_in_title(x), merchant_in_title(card), card), title))
+        return F.coalesce(F.when(share.isNotNull(), shops).when(off.isNotNull(), percent), F.slice(percent, 1, 0))
+
+    kept = F.filter(lines, lambda x: F.length(x).between(12, 300) & T.matches(x, BENEFIT) & ~CQ.points_noise(x))
+    found = T.once(card, lambda c: F.flatten(F.transform(kept, lambda x: of_line(x, c))))
+    first = lambda rows: F.filter(rows, lambda r, i: F.array_position(F.transform(rows, lambda o: o["shop_title"]), r["shop_title"]) == i + 1)
+    return F.when(here, T.once(found, first))
+
+
+def benefit_rows(pages: DataFrame) -> DataFrame:
+    """pages(page_url, source_type, html, ..) of cards with their lines' benefits: shop, shop_title, snippet; see benefits()."""
+    rows = pages.select("*", F.inline(benefits(F.col("page_url"), F.col("source_type"), F.col("html"))))
     return rows.dropDuplicates(["page_url", "shop_title"])
 
 
