@@ -81,3 +81,23 @@ def test_empty_tables_and_rows_without_keys(spark):
     none = F.array(F.lit(None).cast("string"))
     assert sorted(map(tuple, groups(df, "i", none, ["b"], "t").collect())) == [(1, "1"), (2, "2")]
     assert groups(df.where("false"), "i", none, ["b"], "t").count() == 0
+
+
+def test_rows_are_no_nodes_of_the_closure(spark, monkeypatch):
+    from tidewell.operators import containment
+
+    seen = []
+    monkeypatch.setattr(containment, "closure", lambda links: seen.append(links.count()) or closure(links))
+    texts = ["spa", "spa-day", "dinner", "off"]
+    df = spark.createDataFrame([(i, "h", texts[i % 4]) for i in range(400)], "i long, b string, t string")
+    none = F.array().cast("array<string>")
+    got = {r.i: r.root for r in containment.groups(df, "i", none, ["b"], "t").collect()}
+    assert got == {i: {0: "0", 1: "0", 2: "10", 3: "103"}[i % 4] for i in range(400)}
+    assert seen == [1]  # spa within spa-day; 400 rows or more before
+
+
+def test_rows_of_one_name_are_one_class(spark):
+    rows = [(1, "a"), (1, "b"), (1, None), (2, "b"), (3, "a"), (4, None), (5, "c"), (None, "c"), (6, "c")]
+    df = spark.createDataFrame(rows, "i long, k string")
+    got = sorted(map(tuple, groups(df, "i", F.array("k")).collect()), key=str)
+    assert got == [(1, "1"), (2, "1"), (3, "1"), (4, "4"), (5, "5"), (6, "5"), (None, None)]

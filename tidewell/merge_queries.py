@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import text as T
 from tidewell.operators import search_index as X
 from tidewell.operators.containment import containments, groups, with_checkpoints
+from tidewell.operators.relational import spread
 from tidewell.queries import SLUG, query, table
 from tidewell.sources.sinks import _files
 from tidewell.streaming import freshness as S
@@ -31,7 +32,8 @@ r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
 SELECT a AS p_partkey, min(CAST(b AS VARCHAR)) AS root FROM r GROUP BY 1""")
 def duplicate_groups(spark, sf):
     """Each part's class under likely duplication: of one brand and type, one name within the other, and so on."""
-    rows = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", T.slugify(F.col("p_name")).alias("s"))
+    part = spread(table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_name"))
+    rows = part.select("p_partkey", "p_brand", "p_type", T.slugify(F.col("p_name")).alias("s"))
     return groups(rows, "p_partkey", F.array().cast("array<string>"), ["p_brand", "p_type"], "s")
 
 
