@@ -172,3 +172,16 @@ def test_cascade_reads_references_as_its_sql_does(spark, tmp_path):
     got = QUERIES["selector_cascade"](spark, str(tmp_path)).select("page_id", "selector", "n", "first_text").orderBy("page_id").collect()
     assert list(map(tuple, got)) == expected
     assert {r[3] for r in expected} >= {"cut &amp", 'a &quot;b&quot; &quot; &#39;c&#39;'}
+
+
+def test_pages_are_read_in_portions(monkeypatch):
+    import pyarrow as pa
+
+    html = [f"<ul><li>{i}</li></ul>" * (i % 5) for i in range(50)] + [None, "<p>" + "x" * 500 + "</p>", ""]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(html))), "html": pa.array(html, pa.string())})
+    whole = [r for b in PT._read([batch]) for r in b.to_pylist()]
+    monkeypatch.setattr(PT, "PORTION", 100)
+    parts = list(PT._read([batch]))
+    assert len(parts) > 20 and max(b.num_rows for b in parts) < len(html)
+    assert [r for b in parts for r in b.to_pylist()] == whole
+    assert sum(b.num_rows for b in PT._read([batch.slice(0, 0)])) == 0

@@ -20,6 +20,7 @@ from collections.abc import Mapping, Sequence
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,19 +92,36 @@ class _Reader(HTMLParser):
         return "".join(self.text), self.rows
 
 
+#: code points of pages that are read into elements at a time; elements take some ten bytes for each until they are Arrow arrays
+PORTION = 1 << 20
+
+
+def _portions(html: pa.Array):
+    """(start, count) of runs of pages of at most PORTION code points together, or of one longer page."""
+    start, size = 0, 0
+    for i, n in enumerate(pc.utf8_length(html).to_pylist()):
+        if i > start and size + (n or 0) > PORTION:
+            yield start, i - start
+            start, size = i, 0
+        size += n or 0
+    yield start, len(html) - start
+
+
 def _read(batches):
-    for batch in batches:
-        texts, rows, ends = [], [], [0]
-        for html in batch.column(batch.num_columns - 1):
-            text, own = _Reader().page(html.as_py() or "")
-            texts.append(text)
-            rows += own
-            ends.append(len(rows))
-        columns = list(zip(*rows, strict=True)) or [[] for _ in _FIELDS]
-        columns[8] = [list(a.items()) for a in columns[8]]
-        made = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _FIELDS, strict=True)], [n for n, _ in _FIELDS])
-        nodes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), nodes], [*batch.schema.names[:-1], "_text", "_nodes"])
+    for whole in batches:
+        for start, count in _portions(whole.column(whole.num_columns - 1)):
+            batch = whole.slice(start, count)
+            texts, rows, ends = [], [], [0]
+            for html in batch.column(batch.num_columns - 1):
+                text, own = _Reader().page(html.as_py() or "")
+                texts.append(text)
+                rows += own
+                ends.append(len(rows))
+            columns = list(zip(*rows, strict=True)) or [[] for _ in _FIELDS]
+            columns[8] = [list(a.items()) for a in columns[8]]
+            made = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _FIELDS, strict=True)], [n for n, _ in _FIELDS])
+            nodes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), nodes], [*batch.schema.names[:-1], "_text", "_nodes"])
 
 
 def elements(pages: DataFrame, html: str = "html", *keep: str) -> DataFrame:
