@@ -351,3 +351,14 @@ def test_top_combinations_move_requests_only(spark):
 
     plan = QUERIES["pay_top5"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan[: plan.index("Generate inline")] and "Exchange hashpartitioning(request_id" in plan
+
+
+def test_pairs_are_made_once_without_an_aggregate(spark):
+    columns = "a long, b string, m string, bank string, t string"
+    rows = [(1, "h", "m", None, "Spa"), (2, "h", "m", None, "spa"), (3, "h", "m", None, "Spa day"), (4, "h", "m", None, "day"), (5, "g", "m", None, "spa")]
+    want = [(1, 2), (1, 3), (2, 3), (3, 4)]
+    df = R.likely_duplicates(spark.createDataFrame(rows, columns), "a", "b", "m", "bank", "t", [])
+    assert "Aggregate [a#" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, df.collect())) == want
+    again = R.likely_duplicates(spark.createDataFrame([*rows, rows[0], (1, "h", "m", None, "spa day")], columns), "a", "b", "m", "bank", "t", [])
+    assert sorted(map(tuple, again.collect())) == sorted([*want, (1, 4)])
